@@ -1,0 +1,43 @@
+"""Numeric and timestamp typing rules of the canonical layers.
+
+* Integer casts round half to even, the way the warehouse SQL the models
+  were written for does (Spark's plain cast truncates).
+* ``numeric`` columns are ``decimal(18,3)``; their sums ``decimal(38,3)``.
+* Averages are taken over doubles.
+* Timestamps are zone-less (``timestamp_ntz``).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
+
+MONEY = DecimalType(18, 3)
+MONEY_SUM = DecimalType(38, 3)
+
+
+def _c(col) -> Column:
+    return F.col(col) if isinstance(col, str) else col
+
+
+def round_half_even_int(col) -> Column:
+    """``cast(x as integer)`` with rounding: 1.5 -> 2, 2.5 -> 2, -1.7 -> -2."""
+    return F.rint(_c(col).cast("double")).cast("int")
+
+
+def money(col) -> Column:
+    return _c(col).cast(MONEY)
+
+
+def money_sum(col) -> Column:
+    """Exact sum of a money column, widened like the warehouse does."""
+    return F.sum(money(col)).cast(MONEY_SUM)
+
+
+def as_double(col) -> Column:
+    return _c(col).cast("double")
+
+
+def to_ntz(col) -> Column:
+    return _c(col).cast("timestamp_ntz")
