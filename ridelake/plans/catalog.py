@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["models"]
+_MODULES = ["models", "adhoc", "quality"]
 
 
 def _load():
