@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["models", "adhoc", "quality"]
+_MODULES = ["models", "adhoc", "quality", "io", "loads"]
 
 
 def _load():
