@@ -175,8 +175,8 @@ def q_rerun_idempotent(spark, sf):
 def q_load_append(spark, sf):
     t = tb.trips(spark, sf)
     target = scratch_path(spark, "append")
-    load.append(tb.canonical(t, tb.T0), target, ["taxi_type"])
-    load.append(tb.canonical(tb.reextracted(t), tb.T1), target, ["taxi_type"])
+    load.append(tb.canonical_rows(t, tb.T0), target, ["taxi_type"])
+    load.append(tb.canonical_rows(tb.reextracted(t), tb.T1), target, ["taxi_type"])
     return _read_ingestion(spark, target)
 
 

@@ -27,7 +27,7 @@ def q_load_time_interval(spark, sf):
     t = tb.trips(spark, sf)
     target = scratch_path(spark, "staging")
     pay = tb.payment_lookup(spark)
-    first = marts.staging_trips(tb.canonical(t, tb.T0), pay, models.RUN_START, models.RUN_END)
+    first = marts.staging_trips(tb.canonical_rows(t, tb.T0), pay, models.RUN_START, models.RUN_END)
     load.time_interval(_staging_with_month(first), target, "pickup_datetime",
                        models.RUN_START, models.RUN_END, "pickup_month")
     both = tb.raw_two_extractions(spark, sf)

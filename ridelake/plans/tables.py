@@ -131,7 +131,12 @@ def zone_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def payment_lookup(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(PAYMENT_TYPES, "payment_type_id int, payment_type_name string")
+    """The seed as an inline VALUES relation: it carries exact size
+    statistics, so the checked broadcast accepts it."""
+    values = ", ".join(f"({i}, '{n}')" for i, n in PAYMENT_TYPES)
+    return spark.sql(f"SELECT CAST(payment_type_id AS INT) AS payment_type_id, "
+                     f"payment_type_name FROM VALUES {values} AS p(payment_type_id, "
+                     f"payment_type_name)")
 
 
 def canonical(t: DataFrame, extracted_at: str) -> DataFrame:
@@ -148,9 +153,50 @@ def reextracted(t: DataFrame) -> DataFrame:
                          .otherwise(F.col("tip_amount") + 1.0)))
 
 
+def canonical_rows(t: DataFrame, extracted_at) -> DataFrame:
+    """Canonical 21 columns for both trip types in one pass over ``t``
+    (same result as ``canonical``, which reads each source separately).
+    ``extracted_at`` may be a string or a column."""
+    ts = extracted_at if not isinstance(extracted_at, str) else F.lit(extracted_at)
+    as_int = lambda c: F.rint(F.col(c).cast("double")).cast("int")
+    return t.select(
+        F.col("taxi_type"),
+        F.col("pickup_datetime").cast("timestamp_ntz").alias("pickup_datetime"),
+        F.col("dropoff_datetime").cast("timestamp_ntz").alias("dropoff_datetime"),
+        as_int("pickup_location_id").alias("pickup_location_id"),
+        as_int("dropoff_location_id").alias("dropoff_location_id"),
+        as_int("passenger_count").alias("passenger_count"),
+        F.col("trip_distance").cast("double").alias("trip_distance"),
+        as_int("rate_code_id").alias("ratecode_id"),
+        F.col("store_and_fwd_flag").cast("string").alias("store_and_fwd_flag"),
+        as_int("payment_type").alias("payment_type"),
+        *[F.col(c).cast("double").alias(c) for c in (
+            "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount",
+            "improvement_surcharge", "total_amount", "congestion_surcharge")],
+        F.when(F.col("taxi_type") == "yellow", F.col("airport_fee").cast("double"))
+         .alias("airport_fee"),
+        as_int("vendor_id").alias("vendor_id"),
+        ts.cast("timestamp_ntz").alias("extracted_at"),
+    )
+
+
+def with_reextraction(t: DataFrame) -> DataFrame:
+    """Every trip once at T0, urgent orders a second time at T1 with the
+    changed tip, produced by one pass over ``t`` (explode of 1 or 2 versions)."""
+    urgent = F.col("order_priority") == REEXTRACTED_PRIORITY
+    versions = F.when(urgent, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    changed_tip = (F.when(F.col("rate_code_id") == 1, F.lit(-1.0))
+                   .otherwise(F.col("tip_amount") + 1.0))
+    return (t.withColumn("_version", F.explode(versions))
+            .withColumn("tip_amount", F.when(F.col("_version") == 1, changed_tip)
+                        .otherwise(F.col("tip_amount")))
+            .withColumn("_extracted_at", F.when(F.col("_version") == 1, F.lit(T1))
+                        .otherwise(F.lit(T0))))
+
+
 def raw_two_extractions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = trips(spark, sf_dir)
-    return canonical(t, T0).unionByName(canonical(reextracted(t), T1))
+    v = with_reextraction(trips(spark, sf_dir))
+    return canonical_rows(v, F.col("_extracted_at"))
 
 
 def fhv_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

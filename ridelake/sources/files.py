@@ -162,26 +162,38 @@ def month_paths(start, end, types: list[str], pattern: str) -> list[tuple[str, d
             for m in month_starts(start, end) for t in types]
 
 
+def present(spark: SparkSession, paths: list[str]) -> set[str]:
+    """The subset of ``paths`` that exist, from one listing per parent
+    folder (one call per folder instead of one per planned path)."""
+    by_parent: dict[str, list[str]] = {}
+    for p in paths:
+        parent, _, name = p.rstrip("/").rpartition("/")
+        by_parent.setdefault(parent, []).append(p)
+    found = set()
+    for parent, children in by_parent.items():
+        names = set(fs.list_names(spark, parent))
+        found.update(c for c in children if c.rstrip("/").rpartition("/")[2] in names)
+    return found
+
+
 def month_plan(spark: SparkSession, start, end, types: list[str], pattern: str) -> DataFrame:
     """The file plan as a DataFrame with an ``exists`` flag per path.
 
-    The plan has months x types rows (bounded by the window, not the data);
-    existence is a metadata call per planned path.
+    The plan has months x types rows (bounded by the window, not the data).
     """
-    rows = [(t, m, p, fs.has_data_files(spark, p)) for t, m, p in
-            month_paths(start, end, types, pattern)]
+    planned = month_paths(start, end, types, pattern)
+    have = present(spark, [p for _, _, p in planned])
+    rows = [(t, m, p, p in have) for t, m, p in planned]
     return spark.createDataFrame(rows, "taxi_type string, month date, path string, exists boolean")
 
 
 def existing(spark: SparkSession, paths: list[str]) -> list[str]:
-    """Only the paths that hold data; absent ones are reported and skipped."""
-    keep = []
+    """Only the paths that exist; absent ones are reported and skipped."""
+    have = present(spark, paths)
     for p in paths:
-        if fs.has_data_files(spark, p):
-            keep.append(p)
-        else:
+        if p not in have:
             log.info("skipping missing file: %s", p)
-    return keep
+    return [p for p in paths if p in have]
 
 
 def read_seed(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:

@@ -46,6 +46,14 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders directly below ``path`` (empty if absent)."""
+    fs, p = _fs_and_path(spark, path)
+    if not fs.exists(p):
+        return []
+    return [s.getPath().getName() for s in fs.listStatus(p)]
+
+
 def has_data_files(spark: SparkSession, path: str) -> bool:
     """True when ``path`` holds at least one visible data file below it."""
     fs, p = _fs_and_path(spark, path)
