@@ -11,8 +11,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+
+from ridelake.functions.sqltext import ident, literal, sql
 from pyspark.sql.types import StructType
 
 RESULT_SCHEMA = ("table_name string, check_name string, column_name string, "
@@ -54,17 +55,18 @@ def sql_equals(name: str, query: str, value) -> Check:
     return Check(name, (), query=query, expected=value)
 
 
-def _failing(check: Check) -> Column:
-    """Row predicate that marks a failing row; NULL never fails (except not_null)."""
-    c = F.col(check.columns[0])
+def _failing_sql(check: Check) -> str:
+    """Predicate text marking a failing row; NULL never fails (except not_null)."""
+    c = ident(check.columns[0])
     if check.name == "not_null":
-        return c.isNull()
+        return f"{c} IS NULL"
     if check.name == "non_negative":
-        return c < 0
+        return f"{c} < 0"
     if check.name == "positive":
-        return c <= 0
+        return f"{c} <= 0"
     if check.name == "accepted_values":
-        return c.isNotNull() & ~c.isin(list(check.values))
+        values = ", ".join(literal(v) for v in check.values)
+        return f"{c} IS NOT NULL AND {c} NOT IN ({values})"
     raise ValueError(f"not a row-level check: {check.name}")
 
 
@@ -73,41 +75,29 @@ ROW_LEVEL = {"not_null", "non_negative", "positive", "accepted_values"}
 
 def run_checks(df: DataFrame, checks: list[Check], table_name: str = "",
                fail_on_error: bool = False) -> DataFrame:
-    spark = df.sparkSession
-    parts: list[DataFrame] = []
+    parts: list[str] = []
     row_checks = [c for c in checks if c.name in ROW_LEVEL]
     if row_checks:
-        counts = df.agg(*[F.count_if(_failing(c)).alias(f"f{i}")
-                          for i, c in enumerate(row_checks)])
-        # one pass over the data, then the single result row is unpivoted
-        stacked = ", ".join(
-            f"'{c.name}', '{','.join(c.columns)}', f{i}" for i, c in enumerate(row_checks))
-        parts.append(counts.selectExpr(
-            f"stack({len(row_checks)}, {stacked}) as (check_name, column_name, failures)"))
+        # one pass over the data; its single result row is then unpivoted
+        counts = ", ".join(f"count_if({_failing_sql(c)}) AS f{i}"
+                           for i, c in enumerate(row_checks))
+        stacked = ", ".join(f"{literal(c.name)}, {literal(','.join(c.columns))}, f{i}"
+                            for i, c in enumerate(row_checks))
+        parts.append(f"SELECT stack({len(row_checks)}, {stacked}) AS "
+                     f"(check_name, column_name, failures) FROM (SELECT {counts} FROM {{src}})")
     for c in checks:
         if c.name == "unique":
-            dup_keys = (df.groupBy(*c.columns).count().filter(F.col("count") > 1)
-                        .agg(F.count(F.lit(1)).alias("failures")))
-            parts.append(dup_keys.select(F.lit("unique").alias("check_name"),
-                                         F.lit(",".join(c.columns)).alias("column_name"),
-                                         "failures"))
+            keys = ", ".join(ident(k) for k in c.columns)
+            parts.append(f"SELECT 'unique', {literal(','.join(c.columns))}, COUNT(1) FROM "
+                         f"(SELECT 1 FROM {{src}} GROUP BY {keys} HAVING COUNT(1) > 1)")
         elif c.query is not None:
-            result = spark.sql(c.query)
-            actual = result.select(F.col(result.columns[0]).alias("v"))
-            parts.append(actual.select(
-                F.lit(c.name).alias("check_name"), F.lit("").alias("column_name"),
-                F.when(F.col("v") == F.lit(c.expected), F.lit(0))
-                 .otherwise(F.lit(1)).cast("bigint").alias("failures")))
+            parts.append(f"SELECT {literal(c.name)}, '', CASE WHEN ({c.query}) = "
+                         f"{literal(c.expected)} THEN 0 ELSE 1 END")
         elif c.name not in ROW_LEVEL:
             raise ValueError(f"unknown check {c.name}")
     if not parts:
-        return spark.createDataFrame([], RESULT_SCHEMA)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    out = out.select(F.lit(table_name).alias("table_name"), "check_name", "column_name",
-                     F.col("failures").cast("bigint").alias("failures"),
-                     (F.col("failures") == 0).alias("passed"))
+        return df.sparkSession.createDataFrame([], RESULT_SCHEMA)
+    out = sql(df, _wrap(table_name, parts), src=df)
     if fail_on_error:
         # the result has one row per check, so collecting it is bounded
         failed = [r for r in out.collect() if not r["passed"]]
@@ -116,6 +106,15 @@ def run_checks(df: DataFrame, checks: list[Check], table_name: str = "",
     return out
 
 
+def _wrap(table_name: str, parts: list[str]) -> str:
+    named = [f"SELECT * FROM ({p}) AS q{i}(check_name, column_name, failures)"
+             for i, p in enumerate(parts)]
+    return (f"SELECT {literal(table_name)} AS table_name, CAST(check_name AS STRING) AS "
+            f"check_name, CAST(column_name AS STRING) AS column_name, "
+            f"CAST(failures AS BIGINT) AS failures, failures = 0 AS passed "
+            f"FROM ({' UNION ALL '.join(named)})")
+
+
 def check_schema(df: DataFrame, contract: StructType) -> DataFrame:
     """Declared columns and types against the frame's schema, one row per column."""
     spark: SparkSession = df.sparkSession

@@ -13,32 +13,38 @@ too.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
+from ridelake.functions.sqltext import ident, sql
 
-def _order(df: DataFrame, keys, order_by) -> list:
+
+def order_sql(columns: list[str], keys, order_by) -> str:
+    """ORDER BY text: ``order_by`` items, then every other column ascending."""
     used = {k.lower() for k in keys}
-    out = []
+    parts = []
     for item in order_by:
         name, direction = item if isinstance(item, tuple) else (item, "asc")
         used.add(name.lower())
-        col = F.col(name)
-        out.append(col.desc_nulls_last() if direction == "desc" else col.asc_nulls_last())
-    for c in df.columns:
-        if c.lower() not in used:
-            out.append(F.col(c).asc_nulls_last())
-    return out
+        parts.append(f"{ident(name)} {'DESC' if direction == 'desc' else 'ASC'} NULLS LAST")
+    parts += [f"{ident(c)} ASC NULLS LAST" for c in columns if c.lower() not in used]
+    return ", ".join(parts)
+
+
+def row_number_sql(columns: list[str], keys, order_by) -> str:
+    part = ", ".join(ident(k) for k in keys)
+    return f"ROW_NUMBER() OVER (PARTITION BY {part} ORDER BY {order_sql(columns, keys, order_by)})"
 
 
 def number_rows(df: DataFrame, keys, order_by, rn: str = "rn") -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(*_order(df, keys, order_by))
-    return df.withColumn(rn, F.row_number().over(w))
+    rownum = row_number_sql(df.columns, keys, order_by)
+    return sql(df, f"SELECT *, {rownum} AS {ident(rn)} FROM {{src}}", src=df)
 
 
 def keep_first(df: DataFrame, keys, order_by) -> DataFrame:
     """``DISTINCT ON (keys) ... ORDER BY keys, order_by`` (first wins)."""
-    return number_rows(df, keys, order_by).filter(F.col("rn") == 1).drop("rn")
+    rownum = row_number_sql(df.columns, keys, order_by)
+    return sql(df, f"SELECT * EXCEPT (_rn) FROM (SELECT *, {rownum} AS _rn FROM {{src}}) "
+                   f"WHERE _rn = 1", src=df)
 
 
 def keep_latest(df: DataFrame, keys, ts_col: str) -> DataFrame:

@@ -23,6 +23,10 @@ from ridelake.sources.files import list_files, month_starts
 
 
 def _writer(df: DataFrame, mode: str, partition_by: list[str] | None, dynamic: bool = False):
+    if partition_by:
+        # rows of one partition value go to few tasks (few files per folder);
+        # AQE splits a skewed value over several tasks and merges small ones
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode(mode)
     if mode == "overwrite":
         w = w.option("partitionOverwriteMode", "dynamic" if dynamic else "static")
@@ -189,18 +193,19 @@ def write_partitioned(df: DataFrame, target: str, ts_col: str, cluster_cols: lis
     """Partition by the day (or month) of ``ts_col`` and cluster by
     ``cluster_cols`` inside each file.
 
-    A range repartition on (partition, cluster columns) gives each task a
-    contiguous slice, so a large partition is split over several balanced
-    tasks and each file holds sorted, min/max-skippable row groups.
-    Returns the name of the partition column.
+    A rebalance on the partition column keeps each day in few files (AQE
+    splits a skewed day over several tasks), and sorting inside each task by
+    the cluster columns gives row groups whose min/max statistics let
+    filters on those columns skip data.  ``files`` forces a file count per
+    write instead.  Returns the name of the partition column.
     """
     part = f"{ts_col}_{granularity}"
     expr = F.to_date(ts_col) if granularity == "day" else F.trunc(ts_col, "month")
     out = df.withColumn(part, expr)
-    n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    out = (out.repartitionByRange(n, part, *cluster_cols)
-           .sortWithinPartitions(part, *cluster_cols))
-    _writer(out, "overwrite", [part]).parquet(target)
+    out = out.repartition(files, part) if files else out.hint("rebalance", part)
+    out = out.sortWithinPartitions(part, *cluster_cols)
+    out.write.mode("overwrite").option("partitionOverwriteMode", "static") \
+        .partitionBy(part).parquet(target)
     return part
 
 

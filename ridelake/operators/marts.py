@@ -3,12 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from ridelake.functions.numeric import MONEY, money_sum
-from ridelake.functions.time import in_window, month_start
-from ridelake.operators.dedup import keep_first, number_rows
-from ridelake.operators.joins import maybe_broadcast, with_zone
+from ridelake.functions.sqltext import broadcast_hint, ident, sql, window_sql
+from ridelake.operators.dedup import keep_first, row_number_sql
 
 FACT_COLUMNS = [
     "vendor_id", "rate_code_id", "pickup_location_id", "dropoff_location_id",
@@ -43,22 +40,19 @@ MART_SUMS = [
 
 def dim_zones(zone_lookup: DataFrame) -> DataFrame:
     """Zone lookup with model column names."""
-    return zone_lookup.select(
-        F.col("LocationID").cast("int").alias("location_id"),
-        F.col("Borough").alias("borough"),
-        F.col("Zone").alias("zone"),
-        F.col("service_zone").alias("service_zone"),
-    )
+    return sql(zone_lookup, "SELECT CAST(LocationID AS INT) AS location_id, Borough AS borough, "
+                            "Zone AS zone, service_zone FROM {z}", z=zone_lookup)
 
 
 def union_trips(stg_green: DataFrame, stg_yellow: DataFrame) -> DataFrame:
     """Align green and yellow staging on one column list and stack them."""
-    green = stg_green.withColumn("service_type", F.lit("Green"))
-    yellow = (stg_yellow
-              .withColumn("trip_type", F.lit(1).cast("int"))
-              .withColumn("ehail_fee", F.lit(0).cast(MONEY))
-              .withColumn("service_type", F.lit("Yellow")))
-    return green.select(*FACT_COLUMNS).unionByName(yellow.select(*FACT_COLUMNS))
+    yellow_cols = {"trip_type": "CAST(1 AS INT) AS trip_type",
+                   "ehail_fee": "CAST(0 AS DECIMAL(18,3)) AS ehail_fee"}
+    green = ", ".join(ident(c) for c in FACT_COLUMNS[:-1])
+    yellow = ", ".join(yellow_cols.get(c, ident(c)) for c in FACT_COLUMNS[:-1])
+    return sql(stg_green, f"SELECT {green}, 'Green' AS service_type FROM {{g}} "
+                          f"UNION ALL SELECT {yellow}, 'Yellow' AS service_type FROM {{y}}",
+               g=stg_green, y=stg_yellow)
 
 
 def dedup_trips(unioned: DataFrame) -> DataFrame:
@@ -67,27 +61,31 @@ def dedup_trips(unioned: DataFrame) -> DataFrame:
 
 
 def fct_trips(stg_green: DataFrame, stg_yellow: DataFrame, zones: DataFrame) -> DataFrame:
+    """Union, first-wins dedup, then both zone roles looked up (left joins:
+    unknown zones are kept).  The zone key must be unique (``check_unique``)
+    or the joins would fan rows out."""
     trips = dedup_trips(union_trips(stg_green, stg_yellow))
-    trips = with_zone(trips, zones, "pickup_location_id", "pickup")
-    trips = with_zone(trips, zones, "dropoff_location_id", "dropoff")
-    return trips
+    hint = broadcast_hint({"pz": zones, "dz": zones})
+    return sql(trips, f"""
+        SELECT {hint} d.*, pz.borough AS pickup_borough, pz.zone AS pickup_zone,
+               dz.borough AS dropoff_borough, dz.zone AS dropoff_zone
+        FROM {{d}} d
+        LEFT JOIN {{z}} pz ON d.pickup_location_id = pz.location_id
+        LEFT JOIN {{z}} dz ON d.dropoff_location_id = dz.location_id""", d=trips, z=zones)
 
 
 def monthly_zone_revenue(fct: DataFrame) -> DataFrame:
-    aggs = [money_sum(src).alias(dst) for src, dst in MART_SUMS]
-    aggs += [
-        F.count(F.lit(1)).alias("total_monthly_trips"),
-        F.round(F.avg(F.col("passenger_count").cast("double")), 6)
-         .alias("avg_monthly_passenger_count"),
-        F.round(F.avg(F.col("trip_distance").cast("double")), 6)
-         .alias("avg_monthly_trip_distance"),
-    ]
-    return (fct
-            .groupBy(
-                F.coalesce(F.col("pickup_zone"), F.lit("Unknown Zone")).alias("pickup_zone"),
-                month_start("pickup_datetime").alias("revenue_month"),
-                F.col("service_type"))
-            .agg(*aggs))
+    sums = ", ".join(f"CAST(SUM(CAST({ident(s)} AS DECIMAL(18,3))) AS DECIMAL(38,3)) AS {ident(d)}"
+                     for s, d in MART_SUMS)
+    return sql(fct, f"""
+        SELECT COALESCE(pickup_zone, 'Unknown Zone') AS pickup_zone,
+               CAST(date_trunc('month', pickup_datetime) AS TIMESTAMP_NTZ) AS revenue_month,
+               service_type, {sums},
+               COUNT(1) AS total_monthly_trips,
+               ROUND(AVG(CAST(passenger_count AS DOUBLE)), 6) AS avg_monthly_passenger_count,
+               ROUND(AVG(CAST(trip_distance AS DOUBLE)), 6) AS avg_monthly_trip_distance
+        FROM {{f}}
+        GROUP BY 1, 2, 3""", f=fct)
 
 
 def staging_trips(raw: DataFrame, payments: DataFrame, start, end) -> DataFrame:
@@ -96,26 +94,26 @@ def staging_trips(raw: DataFrame, payments: DataFrame, start, end) -> DataFrame:
     The validity filter is applied to the numbered rows, after the dedup: if
     the newest copy of a trip is invalid the whole trip disappears.
     """
-    window = raw.filter(in_window("pickup_datetime", start, end))
-    numbered = number_rows(window, STAGING_DEDUP_KEYS, [("extracted_at", "desc")])
-    pay = maybe_broadcast(payments.select("payment_type_id", "payment_type_name"))
-    joined = numbered.join(pay, numbered["payment_type"] == pay["payment_type_id"], "left")
-    valid = (
-        (F.col("rn") == 1)
-        & F.col("pickup_datetime").isNotNull()
-        & F.col("dropoff_datetime").isNotNull()
-        & (F.col("dropoff_datetime") >= F.col("pickup_datetime"))
-        & (F.col("fare_amount") >= 0)
-        & (F.col("total_amount") >= 0)
-        & (F.col("tip_amount") >= 0)
-    )
-    return joined.filter(valid).select(*STAGING_COLUMNS)
+    rownum = row_number_sql(raw.columns, STAGING_DEDUP_KEYS, [("extracted_at", "desc")])
+    cols = ", ".join("p.payment_type_name" if c == "payment_type_name" else f"d.{ident(c)}"
+                     for c in STAGING_COLUMNS)
+    hint = broadcast_hint({"p": payments})
+    return sql(raw, f"""
+        SELECT {hint} {cols}
+        FROM (SELECT *, {rownum} AS _rn FROM {{raw}}
+              WHERE {window_sql('pickup_datetime', start, end)}) d
+        LEFT JOIN {{pay}} p ON d.payment_type = p.payment_type_id
+        WHERE d._rn = 1
+          AND d.pickup_datetime IS NOT NULL AND d.dropoff_datetime IS NOT NULL
+          AND d.dropoff_datetime >= d.pickup_datetime
+          AND d.fare_amount >= 0 AND d.total_amount >= 0 AND d.tip_amount >= 0""",
+               raw=raw, pay=payments)
 
 
 def trips_report(staging: DataFrame, start, end) -> DataFrame:
-    return (staging
-            .filter(in_window("pickup_datetime", start, end))
-            .groupBy("taxi_type", "payment_type_name",
-                     F.to_date("pickup_datetime").alias("pickup_date"))
-            .agg(F.count(F.lit(1)).alias("trip_count"),
-                 F.round(F.sum("total_amount"), 2).alias("total_amount_sum")))
+    return sql(staging, f"""
+        SELECT taxi_type, payment_type_name, CAST(pickup_datetime AS DATE) AS pickup_date,
+               COUNT(1) AS trip_count, ROUND(SUM(total_amount), 2) AS total_amount_sum
+        FROM {{s}}
+        WHERE {window_sql('pickup_datetime', start, end)}
+        GROUP BY 1, 2, 3""", s=staging)

@@ -17,7 +17,7 @@ from pyspark.sql.types import (
     TimestampNTZType,
 )
 
-from ridelake.functions.numeric import MONEY, round_half_even_int
+from ridelake.functions.sqltext import ident, literal, sql
 
 # ---------------------------------------------------------------------------
 # Source column -> model column and kind, per trip source.
@@ -122,39 +122,41 @@ CANDIDATES = {
 }
 
 
-def resolve(df: DataFrame, name: str) -> str | None:
+def resolve(df: DataFrame, name: str, columns: list[str] | None = None) -> str | None:
     """Actual column name of ``name`` in ``df``, matched case-insensitively."""
     lower = name.lower()
-    for c in df.columns:
+    for c in columns if columns is not None else df.columns:
         if c.lower() == lower:
             return c
     return None
 
 
-def typed(col: Column, kind: str) -> Column:
-    if kind == "int":
-        return round_half_even_int(col)
-    if kind == "money":
-        return col.cast(MONEY)
-    if kind == "timestamp":
-        return col.cast("timestamp_ntz")
-    if kind == "string":
-        return col.cast("string")
-    return col.cast(kind)
+_KIND_SQL = {
+    "int": "CAST(rint(CAST({c} AS DOUBLE)) AS INT)",
+    "money": "CAST({c} AS DECIMAL(18,3))",
+    "timestamp": "CAST({c} AS TIMESTAMP_NTZ)",
+    "string": "CAST({c} AS STRING)",
+}
+
+
+def typed_sql(expr: str, kind: str) -> str:
+    """SQL text of ``expr`` cast per the model's typing rules."""
+    return _KIND_SQL.get(kind, "CAST({c} AS " + kind + ")").format(c=expr)
 
 
 def project(df: DataFrame, mapping, required: list[str] | None = None) -> DataFrame:
     """Rename + cast per ``mapping`` and keep rows whose ``required`` source
     columns are not NULL (the filter is pushed to the scan)."""
-    for src in required or []:
-        df = df.filter(F.col(resolve(df, src) or src).isNotNull())
-    cols = []
+    columns = df.columns
+    exprs = []
     for src, dst, kind in mapping:
-        actual = resolve(df, src)
+        actual = resolve(df, src, columns)
         if actual is None:
-            raise ValueError(f"source column {src!r} missing; have {df.columns}")
-        cols.append(typed(F.col(actual), kind).alias(dst))
-    return df.select(*cols)
+            raise ValueError(f"source column {src!r} missing; have {columns}")
+        exprs.append(f"{typed_sql(ident(actual), kind)} AS {ident(dst)}")
+    conds = [f"{ident(resolve(df, r, columns) or r)} IS NOT NULL" for r in required or []]
+    where = f" WHERE {' AND '.join(conds)}" if conds else ""
+    return sql(df, f"SELECT {', '.join(exprs)} FROM {{src}}{where}", src=df)
 
 
 def stg_yellow(raw: DataFrame) -> DataFrame:
@@ -182,23 +184,29 @@ def pick(df: DataFrame, dtype, *candidates: str) -> Column:
 def standardize(df: DataFrame, taxi_type: str, extracted_at) -> DataFrame:
     """Any trip source -> the canonical 21 columns in fixed order.
 
-    ``extracted_at`` is a run argument rather than ``now()`` so that a re-run
-    produces the same rows.
+    Each column takes the first candidate source column present in the
+    schema (not a per-row coalesce), else NULL.  ``extracted_at`` is a run
+    argument rather than ``now()`` so that a re-run produces the same rows.
     """
-    cols = []
+    columns = df.columns
+    exprs = []
     for field in CANONICAL_SCHEMA.fields:
-        name = field.name
+        name, sql_type = field.name, field.dataType.simpleString()
         if name == "taxi_type":
-            col = F.lit(taxi_type).cast("string")
+            expr = literal(taxi_type)
         elif name == "extracted_at":
-            col = F.lit(str(extracted_at)).cast("timestamp_ntz")
-        elif isinstance(field.dataType, IntegerType):
-            src = pick(df, "double", *CANDIDATES[name])
-            col = round_half_even_int(src)
+            expr = f"CAST({literal(str(extracted_at))} AS TIMESTAMP_NTZ)"
         else:
-            col = pick(df, field.dataType, *CANDIDATES[name])
-        cols.append(col.alias(name))
-    return df.select(*cols)
+            actual = next((a for a in (resolve(df, c, columns) for c in CANDIDATES[name]) if a),
+                          None)
+            if actual is None:
+                expr = f"CAST(NULL AS {sql_type})"
+            elif isinstance(field.dataType, IntegerType):
+                expr = typed_sql(ident(actual), "int")
+            else:
+                expr = f"CAST({ident(actual)} AS {sql_type})"
+        exprs.append(f"{expr} AS {ident(name)}")
+    return sql(df, f"SELECT {', '.join(exprs)} FROM {{src}}", src=df)
 
 
 def empty_canonical(spark) -> DataFrame:

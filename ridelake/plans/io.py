@@ -25,7 +25,7 @@ LINE_COLS = ["l_orderkey", "l_extendedprice", "l_shipdate"]
 # ends, starting mid-month.
 PLAN_START, PLAN_END = "1994-11-15", "2002-03-01"
 PLAN_TYPES = ["yellow", "green", "fhv"]
-PAGE_SIZE = 100
+PAGE_SIZE = 500
 
 
 def q_scan_parquet(spark, sf):
@@ -69,7 +69,7 @@ def q_external_table(spark, sf):
 
 
 def q_paged_json_source(spark, sf):
-    """Customers served as pages of 100 records; read until an empty page."""
+    """Customers served as pages of 500 records; read until an empty page."""
     cust = tb.table(spark, sf, "customer")
     root = scratch_path(spark, "pages")
     (cust.withColumn("page", (F.col("c_custkey") / PAGE_SIZE).cast("long") + 1)

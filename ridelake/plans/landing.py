@@ -22,11 +22,10 @@ PICKUP = {"yellow": "tpep_pickup_datetime", "green": "lpep_pickup_datetime"}
 def build(spark: SparkSession, sf: str) -> str:
     root = scratch_path(spark, "landing")
     t = tb.trips(spark, sf)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     for typ, raw in (("yellow", tb.yellow_raw(t)), ("green", tb.green_raw(t))):
         ts = PICKUP[typ]
         (raw.withColumn("month", F.date_format(ts, "yyyy-MM"))
-            .repartitionByRange(n, "month", ts)
+            .hint("rebalance", "month")
             .write.partitionBy("month").parquet(f"{root}/taxi_type={typ}"))
     return root
 

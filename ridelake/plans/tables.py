@@ -26,10 +26,10 @@ read):
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ridelake.operators.joins import join_dim
+from ridelake.functions.sqltext import broadcast_hint, literal, sql
 from ridelake.operators.staging import standardize
+from ridelake.sources.files import ensure_parallelism, read_input
 
 # Fixed values of the adapters.
 T0 = "2002-01-01 00:00:00"
@@ -41,177 +41,171 @@ PAYMENT_TYPES = [(1, "Credit card"), (2, "Cash")]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_input(spark, f"{sf_dir}/{name}.parquet")
+
+
+# Select list of the trip view over lineitem l, orders o, supplier s, customer c.
+_TRIP_COLUMNS = """
+    CASE WHEN l.l_linestatus = 'O' THEN 'green' ELSE 'yellow' END AS taxi_type,
+    NULLIF(l.l_linenumber, 7) AS vendor_id,
+    l.l_linenumber AS rate_code_id,
+    s.s_nationkey AS pickup_location_id,
+    c.c_nationkey AS dropoff_location_id,
+    o.o_orderdate AS pickup_datetime,
+    l.l_shipdate AS dropoff_datetime,
+    l.l_linestatus AS store_and_fwd_flag,
+    l.l_quantity AS passenger_count,
+    l.l_quantity AS trip_distance,
+    CASE l.l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 WHEN 'R' THEN 3 END AS payment_type,
+    l.l_extendedprice AS fare_amount,
+    l.l_tax AS extra, l.l_tax AS mta_tax,
+    l.l_discount AS tip_amount, l.l_discount AS tolls_amount,
+    l.l_tax AS improvement_surcharge,
+    l.l_extendedprice AS total_amount,
+    l.l_tax AS congestion_surcharge,
+    l.l_discount AS airport_fee,
+    o.o_orderpriority AS order_priority"""
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
-        "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
-    orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
-    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    j = li.join(orders, li["l_orderkey"] == orders["o_orderkey"])
-    j = join_dim(j, supplier, j["l_suppkey"] == supplier["s_suppkey"], "inner")
-    j = join_dim(j, customer, j["o_custkey"] == customer["c_custkey"], "inner")
-    return j.select(
-        F.when(F.col("l_linestatus") == "O", "green").otherwise("yellow").alias("taxi_type"),
-        F.nullif(F.col("l_linenumber"), F.lit(7)).alias("vendor_id"),
-        F.col("l_linenumber").alias("rate_code_id"),
-        F.col("s_nationkey").alias("pickup_location_id"),
-        F.col("c_nationkey").alias("dropoff_location_id"),
-        F.col("o_orderdate").alias("pickup_datetime"),
-        F.col("l_shipdate").alias("dropoff_datetime"),
-        F.col("l_linestatus").alias("store_and_fwd_flag"),
-        F.col("l_quantity").alias("passenger_count"),
-        F.col("l_quantity").alias("trip_distance"),
-        F.when(F.col("l_returnflag") == "A", 1)
-         .when(F.col("l_returnflag") == "N", 2)
-         .when(F.col("l_returnflag") == "R", 3).alias("payment_type"),
-        F.col("l_extendedprice").alias("fare_amount"),
-        F.col("l_tax").alias("extra"),
-        F.col("l_tax").alias("mta_tax"),
-        F.col("l_discount").alias("tip_amount"),
-        F.col("l_discount").alias("tolls_amount"),
-        F.col("l_tax").alias("improvement_surcharge"),
-        F.col("l_extendedprice").alias("total_amount"),
-        F.col("l_tax").alias("congestion_surcharge"),
-        F.col("l_discount").alias("airport_fee"),
-        F.col("o_orderpriority").alias("order_priority"),
-    )
+    """Line items with their order, supplier and customer: lineitem x orders
+    is a shuffle join on the order key at scale; supplier and customer are
+    broadcast only while their size estimate stays under the limit."""
+    # the probe side feeds three joins, projections and a pre-shuffle sort:
+    # spread it if it arrived as too few splits (a no-op on large inputs)
+    li = ensure_parallelism(table(spark, sf_dir, "lineitem"))
+    orders = table(spark, sf_dir, "orders")
+    supplier = table(spark, sf_dir, "supplier")
+    customer = table(spark, sf_dir, "customer")
+    hint = broadcast_hint({"s": supplier, "c": customer})
+    return sql(li, f"""
+        SELECT {hint} {_TRIP_COLUMNS}
+        FROM {{li}} l
+        JOIN {{o}} o ON l.l_orderkey = o.o_orderkey
+        JOIN {{s}} s ON l.l_suppkey = s.s_suppkey
+        JOIN {{c}} c ON o.o_custkey = c.c_custkey""", li=li, o=orders, s=supplier, c=customer)
 
 
 def yellow_raw(t: DataFrame) -> DataFrame:
     """Yellow trips under the yellow source's column names."""
-    return t.filter(F.col("taxi_type") == "yellow").select(
-        F.col("vendor_id").alias("VendorID"),
-        F.col("pickup_datetime").alias("tpep_pickup_datetime"),
-        F.col("dropoff_datetime").alias("tpep_dropoff_datetime"),
-        "passenger_count", "trip_distance",
-        F.col("rate_code_id").alias("RatecodeID"),
-        "store_and_fwd_flag",
-        F.col("pickup_location_id").alias("PULocationID"),
-        F.col("dropoff_location_id").alias("DOLocationID"),
-        "payment_type", "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount",
-        "improvement_surcharge", "total_amount", "congestion_surcharge",
-        F.col("airport_fee").alias("Airport_fee"),
-    )
+    return sql(t, """
+        SELECT vendor_id AS VendorID, pickup_datetime AS tpep_pickup_datetime,
+               dropoff_datetime AS tpep_dropoff_datetime, passenger_count, trip_distance,
+               rate_code_id AS RatecodeID, store_and_fwd_flag,
+               pickup_location_id AS PULocationID, dropoff_location_id AS DOLocationID,
+               payment_type, fare_amount, extra, mta_tax, tip_amount, tolls_amount,
+               improvement_surcharge, total_amount, congestion_surcharge,
+               airport_fee AS Airport_fee
+        FROM {t} WHERE taxi_type = 'yellow'""", t=t)
 
 
 def green_raw(t: DataFrame) -> DataFrame:
     """Green trips under the green source's names; no airport fee column."""
-    return t.filter(F.col("taxi_type") == "green").select(
-        F.col("vendor_id").alias("VendorID"),
-        F.col("pickup_datetime").alias("lpep_pickup_datetime"),
-        F.col("dropoff_datetime").alias("lpep_dropoff_datetime"),
-        "store_and_fwd_flag",
-        F.col("rate_code_id").alias("RatecodeID"),
-        F.col("pickup_location_id").alias("PULocationID"),
-        F.col("dropoff_location_id").alias("DOLocationID"),
-        "passenger_count", "trip_distance", "fare_amount", "extra", "mta_tax",
-        "tip_amount", "tolls_amount",
-        F.col("tip_amount").alias("ehail_fee"),
-        "improvement_surcharge", "total_amount", "payment_type",
-        F.when(F.col("payment_type") == 3, 2).otherwise(1).alias("trip_type"),
-        "congestion_surcharge",
-    )
+    return sql(t, """
+        SELECT vendor_id AS VendorID, pickup_datetime AS lpep_pickup_datetime,
+               dropoff_datetime AS lpep_dropoff_datetime, store_and_fwd_flag,
+               rate_code_id AS RatecodeID, pickup_location_id AS PULocationID,
+               dropoff_location_id AS DOLocationID, passenger_count, trip_distance,
+               fare_amount, extra, mta_tax, tip_amount, tolls_amount,
+               tip_amount AS ehail_fee, improvement_surcharge, total_amount, payment_type,
+               CASE WHEN payment_type = 3 THEN 2 ELSE 1 END AS trip_type,
+               congestion_surcharge
+        FROM {t} WHERE taxi_type = 'green'""", t=t)
 
 
 def zone_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zone lookup as the source file has it (LocationID, Borough, Zone, service_zone)."""
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
-    return (nation.join(region, nation["n_regionkey"] == region["r_regionkey"])
-            .filter(F.col("r_name") != REGION_WITHOUT_ZONES)
-            .select(F.col("n_nationkey").alias("LocationID"),
-                    F.col("r_name").alias("Borough"),
-                    F.col("n_name").alias("Zone"),
-                    F.lit(SERVICE_ZONE).alias("service_zone")))
+    return sql(nation, f"""
+        SELECT n.n_nationkey AS LocationID, r.r_name AS Borough, n.n_name AS Zone,
+               {literal(SERVICE_ZONE)} AS service_zone
+        FROM {{n}} n JOIN {{r}} r ON n.n_regionkey = r.r_regionkey
+        WHERE r.r_name <> {literal(REGION_WITHOUT_ZONES)}""", n=nation, r=region)
 
 
 def payment_lookup(spark: SparkSession) -> DataFrame:
     """The seed as an inline VALUES relation: it carries exact size
     statistics, so the checked broadcast accepts it."""
-    values = ", ".join(f"({i}, '{n}')" for i, n in PAYMENT_TYPES)
+    values = ", ".join(f"({i}, {literal(n)})" for i, n in PAYMENT_TYPES)
     return spark.sql(f"SELECT CAST(payment_type_id AS INT) AS payment_type_id, "
                      f"payment_type_name FROM VALUES {values} AS p(payment_type_id, "
                      f"payment_type_name)")
 
 
 def canonical(t: DataFrame, extracted_at: str) -> DataFrame:
-    """Both trip types standardised to the 21 canonical columns."""
+    """Both trip types standardised to the 21 canonical columns, each from
+    its own source shape (the ``standardize`` operator)."""
     return (standardize(yellow_raw(t), "yellow", extracted_at)
             .unionByName(standardize(green_raw(t), "green", extracted_at)))
 
 
 def reextracted(t: DataFrame) -> DataFrame:
     """Urgent orders as a second extraction would see them: tips changed."""
-    return (t.filter(F.col("order_priority") == REEXTRACTED_PRIORITY)
-            .withColumn("tip_amount",
-                        F.when(F.col("rate_code_id") == 1, F.lit(-1.0))
-                         .otherwise(F.col("tip_amount") + 1.0)))
+    changed = "CASE WHEN rate_code_id = 1 THEN -1.0D ELSE tip_amount + 1.0D END AS tip_amount"
+    cols = ", ".join(changed if c == "tip_amount" else c for c in t.columns)
+    return sql(t, f"""
+        SELECT {cols} FROM {{t}}
+        WHERE order_priority = {literal(REEXTRACTED_PRIORITY)}""", t=t)
 
 
-def canonical_rows(t: DataFrame, extracted_at) -> DataFrame:
+def _canonical_select(tip: str, extracted_at: str) -> str:
+    ints = "CAST(rint(CAST({} AS DOUBLE)) AS INT)"
+    return f"""
+        taxi_type,
+        CAST(pickup_datetime AS TIMESTAMP_NTZ) AS pickup_datetime,
+        CAST(dropoff_datetime AS TIMESTAMP_NTZ) AS dropoff_datetime,
+        {ints.format('pickup_location_id')} AS pickup_location_id,
+        {ints.format('dropoff_location_id')} AS dropoff_location_id,
+        {ints.format('passenger_count')} AS passenger_count,
+        CAST(trip_distance AS DOUBLE) AS trip_distance,
+        {ints.format('rate_code_id')} AS ratecode_id,
+        CAST(store_and_fwd_flag AS STRING) AS store_and_fwd_flag,
+        {ints.format('payment_type')} AS payment_type,
+        CAST(fare_amount AS DOUBLE) AS fare_amount, CAST(extra AS DOUBLE) AS extra,
+        CAST(mta_tax AS DOUBLE) AS mta_tax, CAST({tip} AS DOUBLE) AS tip_amount,
+        CAST(tolls_amount AS DOUBLE) AS tolls_amount,
+        CAST(improvement_surcharge AS DOUBLE) AS improvement_surcharge,
+        CAST(total_amount AS DOUBLE) AS total_amount,
+        CAST(congestion_surcharge AS DOUBLE) AS congestion_surcharge,
+        CASE WHEN taxi_type = 'yellow' THEN CAST(airport_fee AS DOUBLE) END AS airport_fee,
+        {ints.format('vendor_id')} AS vendor_id,
+        CAST({extracted_at} AS TIMESTAMP_NTZ) AS extracted_at"""
+
+
+def canonical_rows(t: DataFrame, extracted_at: str) -> DataFrame:
     """Canonical 21 columns for both trip types in one pass over ``t``
-    (same result as ``canonical``, which reads each source separately).
-    ``extracted_at`` may be a string or a column."""
-    ts = extracted_at if not isinstance(extracted_at, str) else F.lit(extracted_at)
-    as_int = lambda c: F.rint(F.col(c).cast("double")).cast("int")
-    return t.select(
-        F.col("taxi_type"),
-        F.col("pickup_datetime").cast("timestamp_ntz").alias("pickup_datetime"),
-        F.col("dropoff_datetime").cast("timestamp_ntz").alias("dropoff_datetime"),
-        as_int("pickup_location_id").alias("pickup_location_id"),
-        as_int("dropoff_location_id").alias("dropoff_location_id"),
-        as_int("passenger_count").alias("passenger_count"),
-        F.col("trip_distance").cast("double").alias("trip_distance"),
-        as_int("rate_code_id").alias("ratecode_id"),
-        F.col("store_and_fwd_flag").cast("string").alias("store_and_fwd_flag"),
-        as_int("payment_type").alias("payment_type"),
-        *[F.col(c).cast("double").alias(c) for c in (
-            "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount",
-            "improvement_surcharge", "total_amount", "congestion_surcharge")],
-        F.when(F.col("taxi_type") == "yellow", F.col("airport_fee").cast("double"))
-         .alias("airport_fee"),
-        as_int("vendor_id").alias("vendor_id"),
-        ts.cast("timestamp_ntz").alias("extracted_at"),
-    )
-
-
-def with_reextraction(t: DataFrame) -> DataFrame:
-    """Every trip once at T0, urgent orders a second time at T1 with the
-    changed tip, produced by one pass over ``t`` (explode of 1 or 2 versions)."""
-    urgent = F.col("order_priority") == REEXTRACTED_PRIORITY
-    versions = F.when(urgent, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    changed_tip = (F.when(F.col("rate_code_id") == 1, F.lit(-1.0))
-                   .otherwise(F.col("tip_amount") + 1.0))
-    return (t.withColumn("_version", F.explode(versions))
-            .withColumn("tip_amount", F.when(F.col("_version") == 1, changed_tip)
-                        .otherwise(F.col("tip_amount")))
-            .withColumn("_extracted_at", F.when(F.col("_version") == 1, F.lit(T1))
-                        .otherwise(F.lit(T0))))
+    (same rows as ``canonical``, which reads each source separately)."""
+    return sql(t, f"SELECT {_canonical_select('tip_amount', literal(extracted_at))} FROM {{t}}",
+               t=t)
 
 
 def raw_two_extractions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = with_reextraction(trips(spark, sf_dir))
-    return canonical_rows(v, F.col("_extracted_at"))
+    """Every trip once at T0, urgent orders a second time at T1 with the
+    changed tip, produced by one pass over the trip join (each row explodes
+    into one or two versions)."""
+    t = trips(spark, sf_dir)
+    urgent = f"order_priority = {literal(REEXTRACTED_PRIORITY)}"
+    tip = ("CASE WHEN _version = 1 THEN (CASE WHEN rate_code_id = 1 THEN -1.0D "
+           "ELSE tip_amount + 1.0D END) ELSE tip_amount END")
+    ts = f"CASE WHEN _version = 1 THEN {literal(T1)} ELSE {literal(T0)} END"
+    return sql(t, f"""
+        SELECT {_canonical_select(tip, ts)}
+        FROM {{t}} LATERAL VIEW explode(CASE WHEN {urgent} THEN array(0, 1) ELSE array(0) END)
+             v AS _version""", t=t)
 
 
 def fhv_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
-    return ev.select(
-        F.when(F.col("event_type") == "error", F.lit(None).cast("string"))
-         .when(F.col("event_type") == "view", F.lit(""))
-         .otherwise(F.col("event_type")).alias("dispatching_base_num"),
-        F.col("ts").alias("pickup_datetime"),
-        F.col("ts").alias("dropOff_datetime"),
-        F.nullif(F.col("user_id") % 25, F.lit(0)).alias("PUlocationID"),
-        F.nullif(F.col("user_id") % 7, F.lit(0)).alias("DOlocationID"),
-        F.lit(None).cast("int").alias("SR_Flag"),
-        F.col("event_type").alias("Affiliated_base_number"),
-    )
+    return sql(ev, """
+        SELECT CASE WHEN event_type = 'error' THEN CAST(NULL AS STRING)
+                    WHEN event_type = 'view' THEN '' ELSE event_type END AS dispatching_base_num,
+               ts AS pickup_datetime, ts AS dropOff_datetime,
+               NULLIF(user_id % 25, 0) AS PUlocationID,
+               NULLIF(user_id % 7, 0) AS DOlocationID,
+               CAST(NULL AS INT) AS SR_Flag,
+               event_type AS Affiliated_base_number
+        FROM {ev}""", ev=ev)
 
 
 # ---------------------------------------------------------------------------

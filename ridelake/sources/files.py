@@ -35,6 +35,41 @@ def read_parquet(spark: SparkSession, *paths: str, columns: list[str] | None = N
     return df.select(*columns) if columns else df
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
+def read_input(spark: SparkSession, path: str) -> DataFrame:
+    """Read an immutable input table.  Its footer schema is looked up once per
+    process and then passed explicitly, so later reads start no schema
+    inference job."""
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        schema = spark.read.parquet(path).schema
+        _SCHEMAS[path] = schema
+    return spark.read.schema(schema).parquet(path)
+
+
+def ensure_parallelism(df: DataFrame) -> DataFrame:
+    """Spread the rows of a large input that arrived as too few splits.
+
+    Files that cannot be split (one row group, gzip) are read by one task
+    each; everything fused onto that scan then runs on a few cores.  When the
+    scan has fewer partitions than the cluster's default parallelism and the
+    table is too large to be a broadcast side, the rows are spread once.  On
+    a large input (many splits) this is a no-op.
+    """
+    from ridelake.operators.joins import estimated_bytes
+
+    spark = df.sparkSession
+    target = spark.sparkContext.defaultParallelism
+    limit = int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold").rstrip("b") or 0)
+    if estimated_bytes(df) <= limit:
+        return df
+    if df._jdf.rdd().getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
 def read_csv(spark: SparkSession, *paths: str, schema: StructType | str | None = None,
              header: bool = True, infer: bool = False, repartition: int | None = None,
              **options) -> DataFrame:
@@ -97,17 +132,19 @@ def list_files(spark: SparkSession, path: str, suffix: str = ".parquet") -> list
 def read_union_by_name(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Read files whose schemas differ and stack them by column name.
 
-    Files are grouped by footer schema, each group is one scan, every column
+    Footers are read by executors (one job for all files); files are grouped
+    by schema, each group is one scan with that schema, every column
     is cast to the widest type seen, and columns a group lacks are NULL.
     Column names match case-insensitively (the first spelling seen wins).
     """
+    from ridelake.sources.footers import footer_schemas
+
     files = [f for p in paths for f in list_files(spark, p)]
     if not files:
         raise FileNotFoundError(f"no parquet files under {paths}")
     groups: dict[str, list[str]] = {}
     schemas: dict[str, StructType] = {}
-    for f in files:
-        schema = spark.read.parquet(f).schema
+    for f, schema in sorted(footer_schemas(spark, files).items()):
         key = schema.json()
         groups.setdefault(key, []).append(f)
         schemas[key] = schema
@@ -120,7 +157,7 @@ def read_union_by_name(spark: SparkSession, paths: list[str]) -> DataFrame:
             target[k] = widest(target[k], field.dataType) if k in target else field.dataType
     frames = []
     for key, group in groups.items():
-        df = spark.read.parquet(*group)
+        df = spark.read.schema(schemas[key]).parquet(*group)
         have = {c.lower(): c for c in df.columns}
         frames.append(df.select(*[
             (F.col(have[k]).cast(t) if k in have else F.lit(None).cast(t)).alias(spelling[k])

@@ -1,9 +1,7 @@
 """Bytes a query would scan, from parquet footers read by executors.
 
-The file list is a DataFrame; ``mapInPandas`` opens each file's footer in a
-task and emits the compressed and uncompressed size of every column chunk.
-Sizes are summed per column, then per requested column set.  An empty set
-(``count(*)``) costs 0 bytes: the row count is in the footers.
+Column-chunk sizes are summed per column, then per requested column set.
+An empty set (``count(*)``) costs 0 bytes: the row count is in the footers.
 """
 
 from __future__ import annotations
@@ -12,38 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridelake.sources.files import list_files
-
-_CHUNK_SCHEMA = "path string, column_name string, compressed long, uncompressed long, rows long"
-
-
-def _footer_chunks(batches):
-    import pandas as pd
-    import pyarrow.fs as pafs
-    import pyarrow.parquet as pq
-
-    for pdf in batches:
-        out = []
-        for uri in pdf["path"]:
-            norm = "file:///" + uri[len("file:"):].lstrip("/") if uri.startswith("file:") else uri
-            filesystem, rel = pafs.FileSystem.from_uri(norm)
-            with filesystem.open_input_file(rel) as fh:
-                md = pq.ParquetFile(fh).metadata
-            for g in range(md.num_row_groups):
-                rg = md.row_group(g)
-                for c in range(rg.num_columns):
-                    chunk = rg.column(c)
-                    out.append((uri, chunk.path_in_schema, chunk.total_compressed_size,
-                                chunk.total_uncompressed_size, rg.num_rows))
-        yield pd.DataFrame(out, columns=["path", "column_name", "compressed",
-                                         "uncompressed", "rows"])
+from ridelake.sources.footers import column_chunks
 
 
 def column_sizes(spark: SparkSession, path: str) -> DataFrame:
-    files = list_files(spark, path)
-    n = max(1, min(len(files), int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    listing = spark.createDataFrame([(f,) for f in files], "path string").repartition(n)
-    chunks = listing.mapInPandas(_footer_chunks, _CHUNK_SCHEMA)
-    return chunks.groupBy("column_name").agg(
+    return column_chunks(spark, list_files(spark, path)).groupBy("column_name").agg(
         F.sum("compressed").alias("compressed_bytes"),
         F.sum("uncompressed").alias("uncompressed_bytes"))
 
