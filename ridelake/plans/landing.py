@@ -34,17 +34,29 @@ def pattern(root: str) -> str:
     return PATTERN.replace("{root}", root)
 
 
+def _planned_months(spark: SparkSession, root: str, typ: str, start, end) -> list[str]:
+    """Months of the window whose file exists for ``typ`` (missing ones are
+    skipped), as the partition values of the landing folder."""
+    planned = month_paths(start, end, [typ], pattern(root))
+    have = set(existing(spark, [p for _, _, p in planned]))
+    return [f"{m.year}-{m.month:02d}" for _, m, p in planned if p in have]
+
+
+def _read_months(spark: SparkSession, root: str, typ: str, months: list[str]) -> DataFrame:
+    """One scan of the type's folder, pruned to the planned months."""
+    return (spark.read.parquet(f"{root}/taxi_type={typ}")
+            .filter(F.col("month").cast("string").isin(months)))
+
+
 def ingest(spark: SparkSession, root: str, start, end, types: list[str],
            extracted_at: str) -> DataFrame:
     """Months of the window x types -> existing files -> one scan per type ->
     canonical columns -> one stacked frame (empty but typed when no file)."""
     frames = []
     for typ in types:
-        paths = existing(spark, [p for t, _, p in month_paths(start, end, [typ], pattern(root))])
-        if not paths:
-            continue
-        df = spark.read.option("basePath", f"{root}/taxi_type={typ}").parquet(*paths)
-        frames.append(standardize(df, typ, extracted_at))
+        months = _planned_months(spark, root, typ, start, end)
+        if months:
+            frames.append(standardize(_read_months(spark, root, typ, months), typ, extracted_at))
     if not frames:
         return empty_canonical(spark)
     out = frames[0]
@@ -54,15 +66,14 @@ def ingest(spark: SparkSession, root: str, start, end, types: list[str],
 
 
 def read_counts(spark: SparkSession, root: str, start, end, types: list[str]) -> DataFrame:
-    """Rows per (type, month) of all existing files in the window, by one
-    scan per type; the month comes from the folder name."""
+    """Rows per (type, month) of all existing files in the window: one scan
+    per type, the month taken from the folder name."""
     frames = []
     for typ in types:
-        paths = existing(spark, [p for t, _, p in month_paths(start, end, [typ], pattern(root))])
-        if paths:
-            df = spark.read.option("basePath", f"{root}/taxi_type={typ}").parquet(*paths)
-            frames.append(df.select(F.lit(typ).alias("taxi_type"),
-                                    F.col("month").cast("string").alias("month")))
+        months = _planned_months(spark, root, typ, start, end)
+        if months:
+            frames.append(_read_months(spark, root, typ, months).select(
+                F.lit(typ).alias("taxi_type"), F.col("month").cast("string").alias("month")))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
