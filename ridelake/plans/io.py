@@ -73,7 +73,7 @@ def q_paged_json_source(spark, sf):
     cust = tb.table(spark, sf, "customer")
     root = scratch_path(spark, "pages")
     (cust.withColumn("page", (F.col("c_custkey") / PAGE_SIZE).cast("long") + 1)
-         .repartition("page").write.partitionBy("page").json(root))
+         .hint("rebalance", "page").write.partitionBy("page").json(root))
     ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cust.schema.fields)
     return paged.read_pages(spark, root + "/page={page}", ddl, partitions=4)
 
@@ -88,7 +88,7 @@ def q_seed_lookup(spark, sf):
 def q_file_inventory(spark, sf):
     orders = tb.table(spark, sf, "orders")
     path = scratch_path(spark, "inventory")
-    (orders.withColumn("o_year", F.year("o_orderdate")).repartition("o_year")
+    (orders.withColumn("o_year", F.year("o_orderdate")).hint("rebalance", "o_year")
            .write.partitionBy("o_year").option("header", True).csv(path))
     inv = files.file_inventory(spark, path)
     return inv.select(F.regexp_extract("file_path", r"o_year=(\d+)", 1).cast("int").alias("o_year"),
@@ -99,7 +99,7 @@ def q_csv_to_parquet(spark, sf):
     orders = tb.table(spark, sf, "orders")
     src = scratch_path(spark, "csvsrc")
     out = scratch_path(spark, "csvout")
-    (orders.withColumn("o_year", F.year("o_orderdate")).repartition("o_year")
+    (orders.withColumn("o_year", F.year("o_orderdate")).hint("rebalance", "o_year")
            .write.partitionBy("o_year").option("header", True)
            .option("compression", "gzip").csv(src))
     load.csv_to_parquet(spark, src, out, orders.schema)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ridelake.functions.sqltext import literal
 from ridelake.sources.files import list_files
 from ridelake.sources.footers import column_chunks
 
@@ -21,9 +22,13 @@ def column_sizes(spark: SparkSession, path: str) -> DataFrame:
 
 def scan_cost(spark: SparkSession, path: str, column_sets: dict[str, list[str]]) -> DataFrame:
     sizes = column_sizes(spark, path)
-    pairs = [(name, c) for name, cols in column_sets.items() for c in (cols or [None])]
-    sets = spark.createDataFrame(pairs, "set_name string, column_name string")
-    return (sets.join(sizes, "column_name", "left")
+    # the requested sets as an inline VALUES relation (exact size statistics)
+    values = ", ".join(f"({literal(name)}, {literal(c)})"
+                       for name, cols in column_sets.items() for c in (cols or [None]))
+    sets = spark.sql(f"SELECT CAST(set_name AS STRING) AS set_name, CAST(column_name AS STRING)"
+                     f" AS column_name FROM VALUES {values} AS s(set_name, column_name)")
+    # one row per column: bounded by the schema width, so safe to broadcast
+    return (sets.join(F.broadcast(sizes), "column_name", "left")
             .groupBy("set_name")
             .agg(F.coalesce(F.sum("compressed_bytes"), F.lit(0)).cast("bigint")
                  .alias("compressed_bytes"),
