@@ -182,10 +182,16 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
-def replace_table(df: DataFrame, name: str, location: str) -> DataFrame:
-    """``CREATE OR REPLACE TABLE name AS SELECT``, stored at ``location``."""
+def replace_table(df: DataFrame, name: str, location: str, analyze: bool = True) -> DataFrame:
+    """``CREATE OR REPLACE TABLE name AS SELECT``, stored at ``location``.
+    With ``analyze`` the table's size and row count are recorded for the
+    cost-based optimizer (a materialised table has statistics, files alone
+    only have sizes)."""
+    spark = df.sparkSession
     df.write.mode("overwrite").option("path", location).saveAsTable(name)
-    return df.sparkSession.table(name)
+    if analyze:
+        spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS")
+    return spark.table(name)
 
 
 def write_partitioned(df: DataFrame, target: str, ts_col: str, cluster_cols: list[str],

@@ -122,6 +122,11 @@ CANDIDATES = {
 }
 
 
+def lower_columns(df: DataFrame) -> DataFrame:
+    """All column names lower-cased (one projection, no data movement)."""
+    return df.toDF(*[c.lower() for c in df.columns])
+
+
 def resolve(df: DataFrame, name: str, columns: list[str] | None = None) -> str | None:
     """Actual column name of ``name`` in ``df``, matched case-insensitively."""
     lower = name.lower()

@@ -134,6 +134,11 @@ def q_repartition_write(spark, sf):
                                   scratch_path(spark, "repart"), 4)
 
 
+def q_metadata_count(spark, sf):
+    """Row count of the line items from parquet footers (no column data read)."""
+    return files.metadata_count(spark, f"{sf}/lineitem.parquet")
+
+
 def q_scan_cost(spark, sf):
     return scan_cost(spark, f"{sf}/lineitem.parquet",
                      {"one_column": ["l_suppkey"], "two_columns": ["l_suppkey", "l_partkey"],
@@ -211,6 +216,7 @@ QUERIES = {
     "partitioned_clustered": q_partitioned_clustered,
     "repartition_write": q_repartition_write,
     "scan_cost": q_scan_cost,
+    "metadata_count": q_metadata_count,
     "describe_columns": q_describe_columns,
     "standardize_trips": q_standardize_trips,
     "ingest_trips": q_ingest_trips,
@@ -231,6 +237,7 @@ _HAVE = """
 
 ORACLE = {
     "scan_parquet": f"SELECT {', '.join(LINE_COLS)} FROM lineitem",
+    "metadata_count": "SELECT COUNT(*) AS row_count FROM lineitem",
     "scan_csv": "SELECT * FROM lineitem",
     "scan_csv_gz": "SELECT * FROM orders",
     "scan_union_by_name": """

@@ -44,3 +44,15 @@ def test_top1_is_a_take_ordered(spark, sf_dir):
 def test_least_frequent_zone_aggregates_before_the_lookup(spark, sf_dir):
     plan = _plan(adhoc.q_least_frequent_zone(spark, sf_dir))
     assert "BroadcastHashJoin" in plan and plan.count("HashAggregate") >= 4
+
+
+def test_metadata_count_reads_footers_only(spark, sf_dir):
+    plan = _plan(io.q_metadata_count(spark, sf_dir))
+    assert "PushedAggregation: [COUNT(*)]" in plan
+
+
+def test_replace_table_records_statistics(spark, sf_dir):
+    df = io.q_replace_table(spark, sf_dir)
+    stats = spark.sql("DESCRIBE TABLE EXTENDED replaced_lineitem").filter("col_name = 'Statistics'")
+    assert "rows" in stats.first()["data_type"]
+    assert df.count() > 0
