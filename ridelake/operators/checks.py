@@ -116,16 +116,30 @@ def _wrap(table_name: str, parts: list[str]) -> str:
 
 
 def check_schema(df: DataFrame, contract: StructType) -> DataFrame:
-    """Declared columns and types against the frame's schema, one row per column."""
-    spark: SparkSession = df.sparkSession
-    actual = {f.name.lower(): f.dataType.simpleString() for f in df.schema.fields}
+    """Declared columns, types and nullability against the frame.
+
+    One row per column: expected and actual type, whether they match, and
+    for columns the contract declares non-nullable the number of NULL rows
+    (counted in one aggregation pass over the data).  Columns the frame has
+    but the contract lacks are reported too.
+    """
+    actual = {f.name.lower(): (f.name, f.dataType.simpleString()) for f in df.schema.fields}
+    required = [f for f in contract.fields if not f.nullable and f.name.lower() in actual]
+    counts = ", ".join(f"count_if({ident(actual[f.name.lower()][0])} IS NULL) AS {ident(f.name)}"
+                       for f in required) or "0 AS _none"
     rows = []
     for f in contract.fields:
-        got = actual.get(f.name.lower())
-        rows.append((f.name, f.dataType.simpleString(), got, got == f.dataType.simpleString()))
+        got = actual.get(f.name.lower(), (None, None))[1]
+        nulls = f"CAST(n.{ident(f.name)} AS BIGINT)" if f in required else "CAST(NULL AS BIGINT)"
+        rows.append(f"SELECT {literal(f.name)} AS column_name, "
+                    f"{literal(f.dataType.simpleString())} AS expected_type, "
+                    f"CAST({literal(got)} AS STRING) AS actual_type, "
+                    f"{literal(got == f.dataType.simpleString())} AS matches, "
+                    f"{nulls} AS null_rows FROM n")
     declared = {f.name.lower() for f in contract.fields}
-    for name, typ in actual.items():
-        if name not in declared:
-            rows.append((name, None, typ, False))
-    return spark.createDataFrame(
-        rows, "column_name string, expected_type string, actual_type string, matches boolean")
+    for key, (name, typ) in actual.items():
+        if key not in declared:
+            rows.append(f"SELECT {literal(name)}, CAST(NULL AS STRING), {literal(typ)}, FALSE, "
+                        f"CAST(NULL AS BIGINT) FROM n")
+    return sql(df, f"WITH n AS (SELECT {counts} FROM {{src}}) " + " UNION ALL ".join(rows),
+               src=df)

@@ -73,11 +73,17 @@ def out_of_period(df: DataFrame, ts_col: str, period_col: str,
 
 
 def describe(df: DataFrame) -> DataFrame:
-    """Column names and types as rows (schema only; no data is read)."""
-    rows = [(i + 1, f.name, f.dataType.simpleString(), f.nullable)
-            for i, f in enumerate(df.schema.fields)]
-    return df.sparkSession.createDataFrame(
-        rows, "ordinal int, column_name string, data_type string, nullable boolean")
+    """Column names and types as rows, with each column's non-NULL count from
+    one aggregation pass over the data."""
+    from ridelake.functions.sqltext import ident, literal, sql
+
+    fields = df.schema.fields
+    counts = ", ".join(f"count({ident(f.name)}) AS c{i}" for i, f in enumerate(fields))
+    stacked = ", ".join(f"{i + 1}, {literal(f.name)}, {literal(f.dataType.simpleString())}, "
+                        f"{literal(f.nullable)}, c{i}" for i, f in enumerate(fields))
+    return sql(df, f"SELECT stack({len(fields)}, {stacked}) AS "
+                   f"(ordinal, column_name, data_type, nullable, non_null_rows) "
+                   f"FROM (SELECT {counts} FROM {{src}})", src=df)
 
 
 def sample_rows(df: DataFrame, n: int, order_cols: list[str]) -> DataFrame:

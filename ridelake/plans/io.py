@@ -26,6 +26,12 @@ LINE_COLS = ["l_orderkey", "l_extendedprice", "l_shipdate"]
 PLAN_START, PLAN_END = "1994-11-15", "2002-03-01"
 PLAN_TYPES = ["yellow", "green", "fhv"]
 PAGE_SIZE = 500
+# Spark's types of the line item columns, in file order.
+LINEITEM_SPARK_TYPES = [
+    ("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_suppkey", "bigint"),
+    ("l_linenumber", "int"), ("l_quantity", "double"), ("l_extendedprice", "double"),
+    ("l_discount", "double"), ("l_tax", "double"), ("l_returnflag", "string"),
+    ("l_linestatus", "string"), ("l_shipdate", "timestamp_ntz")]
 
 
 def q_scan_parquet(spark, sf):
@@ -238,6 +244,10 @@ _HAVE = """
 ORACLE = {
     "scan_parquet": f"SELECT {', '.join(LINE_COLS)} FROM lineitem",
     "metadata_count": "SELECT COUNT(*) AS row_count FROM lineitem",
+    "describe_columns": " UNION ALL ".join(
+        f"SELECT {i + 1} AS ordinal, '{c}' AS column_name, '{t}' AS data_type, "
+        f"true AS nullable, COUNT({c}) AS non_null_rows FROM lineitem"
+        for i, (c, t) in enumerate(LINEITEM_SPARK_TYPES)),
     "scan_csv": "SELECT * FROM lineitem",
     "scan_csv_gz": "SELECT * FROM orders",
     "scan_union_by_name": """

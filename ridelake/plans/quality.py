@@ -10,15 +10,15 @@ from ridelake.plans import models, sqlbits as sb
 from ridelake.plans import tables as tb
 from ridelake.session import scratch_path
 
-# The staging table's declared contract (name, type).
+# The staging table's declared contract (name, type, nullable).
 STAGING_CONTRACT = StructType.fromJson({"type": "struct", "fields": [
-    {"name": n, "type": t, "nullable": True, "metadata": {}} for n, t in [
-        ("taxi_type", "string"), ("pickup_datetime", "timestamp_ntz"),
-        ("dropoff_datetime", "timestamp_ntz"), ("pickup_location_id", "integer"),
-        ("dropoff_location_id", "integer"), ("passenger_count", "integer"),
-        ("trip_distance", "double"), ("payment_type", "integer"),
-        ("payment_type_name", "string"), ("fare_amount", "double"),
-        ("total_amount", "double"), ("tip_amount", "double")]]})
+    {"name": n, "type": t, "nullable": nullable, "metadata": {}} for n, t, nullable in [
+        ("taxi_type", "string", False), ("pickup_datetime", "timestamp_ntz", False),
+        ("dropoff_datetime", "timestamp_ntz", False), ("pickup_location_id", "integer", True),
+        ("dropoff_location_id", "integer", True), ("passenger_count", "integer", True),
+        ("trip_distance", "double", True), ("payment_type", "integer", True),
+        ("payment_type_name", "string", True), ("fare_amount", "double", True),
+        ("total_amount", "double", True), ("tip_amount", "double", True)]]})
 STAGING_KEY = ["taxi_type", "pickup_datetime", "dropoff_datetime",
                "pickup_location_id", "dropoff_location_id"]
 
@@ -140,10 +140,13 @@ ORACLE = {
         ("dropoff_after_pickup", "",
          f"CASE WHEN ({_cnt('FCT', 'dropoff_datetime < pickup_datetime')}) = 0 "
          f"THEN 0 ELSE 1 END")])),
-    "check_schema_contract": "SELECT * FROM (VALUES " + ", ".join(
-        f"('{f.name}', '{f.dataType.simpleString()}', '{f.dataType.simpleString()}', true)"
-        for f in STAGING_CONTRACT.fields)
-        + ") v(column_name, expected_type, actual_type, matches)",
+    "check_schema_contract": tb.with_ctes("", "R", "P").rstrip() + ",\n" + _STG_CTE + "\n"
+        + " UNION ALL ".join(
+            f"SELECT '{f.name}' AS column_name, '{f.dataType.simpleString()}' AS expected_type, "
+            f"'{f.dataType.simpleString()}' AS actual_type, true AS matches, "
+            + (f"(SELECT COUNT(*) FROM STG WHERE {f.name} IS NULL)" if not f.nullable
+               else "CAST(NULL AS BIGINT)") + " AS null_rows"
+            for f in STAGING_CONTRACT.fields),
     "check_suite": tb.with_ctes("", "R", "P").rstrip() + ",\n" + _STG_CTE + "\n" + _rows(
         "staging.trips",
         [("not_null", c, _cnt("STG", f"{c} IS NULL"))

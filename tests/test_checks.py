@@ -37,8 +37,10 @@ def test_custom_sql_check(spark):
 
 
 def test_schema_contract(spark):
-    df = spark.createDataFrame([(1, "a", 2.0)], "a int, b string, extra double")
-    contract = StructType.fromDDL("a bigint, b string, c int")
+    from pyspark.sql.types import StringType, StructField
+    df = spark.createDataFrame([(1, "a", 2.0), (2, None, 3.0)], "a int, b string, extra double")
+    contract = StructType.fromDDL("a bigint, c int").add(StructField("b", StringType(), False))
     rows = {r["column_name"]: r for r in ck.check_schema(df, contract).collect()}
     assert not rows["a"]["matches"] and rows["b"]["matches"]
     assert rows["c"]["actual_type"] is None and not rows["extra"]["matches"]
+    assert rows["b"]["null_rows"] == 1 and rows["a"]["null_rows"] is None

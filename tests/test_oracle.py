@@ -46,4 +46,4 @@ def test_entry_smoke(spark):
 
 def test_every_query_has_an_oracle_or_is_documented():
     rows_only = set(KEYS) - set(entry.oracle_sql())
-    assert rows_only <= {"file_inventory", "repartition_write", "scan_cost", "describe_columns"}
+    assert rows_only <= {"file_inventory", "repartition_write", "scan_cost"}
