@@ -12,7 +12,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 
-from ridelake.operators.joins import DEFAULT_BROADCAST_LIMIT, estimated_bytes
+from ridelake.operators.joins import broadcast_limit, estimated_bytes
 
 
 def ident(name: str) -> str:
@@ -52,8 +52,11 @@ def sql(df: DataFrame, text: str, **frames: DataFrame) -> DataFrame:
     return df.sparkSession.sql(text, **frames)
 
 
-def broadcast_hint(frames: dict[str, DataFrame], limit: int = DEFAULT_BROADCAST_LIMIT) -> str:
+def broadcast_hint(frames: dict[str, DataFrame], limit: int | None = None) -> str:
     """``/*+ BROADCAST(alias) */`` for every aliased frame whose estimated
-    size is within ``limit``; larger ones are left to the planner."""
-    small = [alias for alias, df in frames.items() if estimated_bytes(df) <= limit]
+    size is within ``limit`` (default: the session's broadcast bound); larger
+    ones are left to the planner."""
+    small = [alias for alias, df in frames.items()
+             if estimated_bytes(df) <= (broadcast_limit(df.sparkSession) if limit is None
+                                        else limit)]
     return f"/*+ {', '.join(f'BROADCAST({a})' for a in small)} */" if small else ""

@@ -28,6 +28,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ridelake.functions.sqltext import broadcast_hint, literal, sql
+from ridelake.operators.joins import estimated_bytes
 from ridelake.operators.staging import standardize
 from ridelake.sources.files import ensure_parallelism, read_input
 
@@ -50,7 +51,7 @@ _TRIP_COLUMNS = """
     NULLIF(l.l_linenumber, 7) AS vendor_id,
     l.l_linenumber AS rate_code_id,
     s.s_nationkey AS pickup_location_id,
-    c.c_nationkey AS dropoff_location_id,
+    o.c_nationkey AS dropoff_location_id,
     o.o_orderdate AS pickup_datetime,
     l.l_shipdate AS dropoff_datetime,
     l.l_linestatus AS store_and_fwd_flag,
@@ -68,22 +69,32 @@ _TRIP_COLUMNS = """
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items with their order, supplier and customer: lineitem x orders
-    is a shuffle join on the order key at scale; supplier and customer are
-    broadcast only while their size estimate stays under the limit."""
-    # the probe side feeds three joins, projections and a pre-shuffle sort:
-    # spread it if it arrived as too few splits (a no-op on large inputs)
-    li = ensure_parallelism(table(spark, sf_dir, "lineitem"))
+    """Line items with their order, supplier and customer.
+
+    Customers are joined to orders first (orders are a quarter of the line
+    items), so when customer is too large to broadcast only orders are
+    shuffled by customer key; the line items are then shuffled once, by
+    order key.  Supplier and customer are broadcast only while their size
+    estimate stays under the limit.
+    """
+    li = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders")
     supplier = table(spark, sf_dir, "supplier")
     customer = table(spark, sf_dir, "customer")
-    hint = broadcast_hint({"s": supplier, "c": customer})
+    auto = int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold").rstrip("b") or -1)
+    if 0 <= estimated_bytes(orders) <= auto:
+        # orders will be broadcast, so the line items flow through three
+        # narrow joins into a pre-shuffle sort: spread them if they arrived
+        # as too few splits (a no-op on large inputs)
+        li = ensure_parallelism(li)
     return sql(li, f"""
-        SELECT {hint} {_TRIP_COLUMNS}
+        SELECT {broadcast_hint({"s": supplier})} {_TRIP_COLUMNS}
         FROM {{li}} l
-        JOIN {{o}} o ON l.l_orderkey = o.o_orderkey
-        JOIN {{s}} s ON l.l_suppkey = s.s_suppkey
-        JOIN {{c}} c ON o.o_custkey = c.c_custkey""", li=li, o=orders, s=supplier, c=customer)
+        JOIN (SELECT {broadcast_hint({"c": customer})}
+                     o.o_orderkey, o.o_orderdate, o.o_orderpriority, c.c_nationkey
+              FROM {{o}} o JOIN {{c}} c ON o.o_custkey = c.c_custkey) o
+          ON l.l_orderkey = o.o_orderkey
+        JOIN {{s}} s ON l.l_suppkey = s.s_suppkey""", li=li, o=orders, s=supplier, c=customer)
 
 
 def yellow_raw(t: DataFrame) -> DataFrame:

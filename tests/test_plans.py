@@ -56,3 +56,24 @@ def test_replace_table_records_statistics(spark, sf_dir):
     stats = spark.sql("DESCRIBE TABLE EXTENDED replaced_lineitem").filter("col_name = 'Statistics'")
     assert "rows" in stats.first()["data_type"]
     assert df.count() > 0
+
+
+def test_trip_join_without_broadcasts_shuffles_line_items_once(spark, sf_dir):
+    """The shape at scale, when no dimension fits a broadcast: customers join
+    orders first, line items are shuffled once by order key, no extra spread."""
+    from ridelake.plans import tables as tb
+    old = {k: spark.conf.get(k, None) for k in
+           ("spark.sql.autoBroadcastJoinThreshold", "ridelake.broadcast.maxBytes")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("ridelake.broadcast.maxBytes", "0")
+    try:
+        plan = _plan(tb.trips(spark, sf_dir))
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert "RoundRobinPartitioning" not in plan
+    assert plan.count("hashpartitioning(l_orderkey") == 1
+    assert plan.count("hashpartitioning(o_custkey") == 1
