@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ridelake.functions.time import in_window
 from ridelake.operators import load
 from ridelake.operators.diagnostics import describe
 from ridelake.plans import landing, models
