@@ -7,6 +7,7 @@ and green keep their own column names.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,13 +21,19 @@ PICKUP = {"yellow": "tpep_pickup_datetime", "green": "lpep_pickup_datetime"}
 
 
 def build(spark: SparkSession, sf: str) -> str:
+    """Write the monthly files of both types.  The trip join feeds both
+    writes, so it is kept (memory, spilling to disk) for their duration and
+    released after; a lost block is recomputed from its lineage."""
     root = scratch_path(spark, "landing")
-    t = tb.trips(spark, sf)
-    for typ, raw in (("yellow", tb.yellow_raw(t)), ("green", tb.green_raw(t))):
-        ts = PICKUP[typ]
-        (raw.withColumn("month", F.date_format(ts, "yyyy-MM"))
-            .hint("rebalance", "month")
-            .write.partitionBy("month").parquet(f"{root}/taxi_type={typ}"))
+    t = tb.trips(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for typ, raw in (("yellow", tb.yellow_raw(t)), ("green", tb.green_raw(t))):
+            ts = PICKUP[typ]
+            (raw.withColumn("month", F.date_format(ts, "yyyy-MM"))
+                .hint("rebalance", "month")
+                .write.partitionBy("month").parquet(f"{root}/taxi_type={typ}"))
+    finally:
+        t.unpersist()
     return root
 
 

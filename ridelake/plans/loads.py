@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from ridelake.operators import load, marts
@@ -24,16 +25,21 @@ def _staging_with_month(df):
 def q_load_time_interval(spark, sf):
     """Stage everything from the first extraction, then refresh one window
     from the raw table that holds both extractions."""
-    t = tb.trips(spark, sf)
-    target = scratch_path(spark, "staging")
-    pay = tb.payment_lookup(spark)
-    first = marts.staging_trips(tb.canonical_rows(t, tb.T0), pay, models.RUN_START, models.RUN_END)
-    load.time_interval(_staging_with_month(first), target, "pickup_datetime",
-                       models.RUN_START, models.RUN_END, "pickup_month")
-    both = tb.raw_two_extractions(spark, sf)
-    again = marts.staging_trips(both, pay, REFRESH_START, REFRESH_END)
-    load.time_interval(_staging_with_month(again), target, "pickup_datetime",
-                       REFRESH_START, REFRESH_END, "pickup_month")
+    # both loads read the trip join: keep it for their duration, then release
+    t = tb.trips(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        target = scratch_path(spark, "staging")
+        pay = tb.payment_lookup(spark)
+        first = marts.staging_trips(tb.canonical_rows(t, tb.T0), pay,
+                                    models.RUN_START, models.RUN_END)
+        load.time_interval(_staging_with_month(first), target, "pickup_datetime",
+                           models.RUN_START, models.RUN_END, "pickup_month")
+        both = tb.raw_two_extractions(spark, sf, t)
+        again = marts.staging_trips(both, pay, REFRESH_START, REFRESH_END)
+        load.time_interval(_staging_with_month(again), target, "pickup_datetime",
+                           REFRESH_START, REFRESH_END, "pickup_month")
+    finally:
+        t.unpersist()
     return spark.read.parquet(target).select(*marts.STAGING_COLUMNS)
 
 

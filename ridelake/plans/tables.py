@@ -191,11 +191,11 @@ def canonical_rows(t: DataFrame, extracted_at: str) -> DataFrame:
                t=t)
 
 
-def raw_two_extractions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_two_extractions(spark: SparkSession, sf_dir: str, t: DataFrame | None = None) -> DataFrame:
     """Every trip once at T0, urgent orders a second time at T1 with the
     changed tip, produced by one pass over the trip join (each row explodes
     into one or two versions)."""
-    t = trips(spark, sf_dir)
+    t = trips(spark, sf_dir) if t is None else t
     urgent = f"order_priority = {literal(REEXTRACTED_PRIORITY)}"
     tip = ("CASE WHEN _version = 1 THEN (CASE WHEN rate_code_id = 1 THEN -1.0D "
            "ELSE tip_amount + 1.0D END) ELSE tip_amount END")
