@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql.types import StructType
 
 from ridelake.operators import checks as ck
-from ridelake.operators import load
 from ridelake.plans import models, sqlbits as sb
 from ridelake.plans import tables as tb
 from ridelake.session import scratch_path
@@ -54,8 +53,8 @@ def _materialized(spark, df, name):
     """Write the model once (as the pipeline does before testing it) and
     return the written table, so several checks scan it instead of
     recomputing its plan."""
-    path = scratch_path(spark, name)
-    load.full_refresh(df, path)
+    path = scratch_path(spark, name)  # a fresh folder: one direct write
+    df.write.parquet(path)
     table = spark.read.parquet(path)
     table.createOrReplaceTempView(name)
     return table
