@@ -89,3 +89,13 @@ def describe(df: DataFrame) -> DataFrame:
 def sample_rows(df: DataFrame, n: int, order_cols: list[str]) -> DataFrame:
     """``n`` rows in a stated order (a top-n, so it is planned as one)."""
     return df.orderBy(*[F.col(c).asc_nulls_last() for c in order_cols]).limit(n)
+
+
+def distinct_count(df: DataFrame, col: str, exact: bool = True,
+                   relative_error: float = 0.01) -> DataFrame:
+    """``count(distinct col)``; with ``exact=False`` a HyperLogLog++ sketch
+    (``approx_count_distinct``) whose per-task state is a few KB, so no
+    shuffle of the distinct values is needed at any scale."""
+    agg = (F.countDistinct(col) if exact
+           else F.approx_count_distinct(col, rsd=relative_error))
+    return df.agg(agg.alias(f"distinct_{col}"))

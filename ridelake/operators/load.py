@@ -252,3 +252,14 @@ def csv_to_parquet(spark: SparkSession, inputs: str, out_dir: str, schema,
         for f in pending:
             fs.delete(spark, f)
     return [_STEM.sub("", f.rsplit("/", 1)[-1]) for f in pending]
+
+
+def write_bucketed(df: DataFrame, name: str, location: str, buckets: int,
+                   key_cols: list[str], sort_cols: list[str] | None = None) -> DataFrame:
+    """A catalog table bucketed (and sorted) on ``key_cols``: later joins and
+    aggregations of two tables bucketed the same way on the same key read
+    co-located buckets without a shuffle."""
+    (df.write.mode("overwrite").option("path", location)
+       .bucketBy(buckets, *key_cols).sortBy(*(sort_cols or key_cols))
+       .saveAsTable(name))
+    return df.sparkSession.table(name)

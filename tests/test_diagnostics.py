@@ -27,3 +27,10 @@ def test_null_profile_and_period(spark):
                                 "period date, ts timestamp_ntz")
     got = sorted(tuple(r) for r in dg.out_of_period(per, "ts", "period").collect())
     assert got == [(2008, 1), (2035, 1)]
+
+
+def test_distinct_count_exact_and_sketch(spark):
+    df = spark.range(5000).selectExpr("id % 1000 AS k")
+    assert dg.distinct_count(df, "k").first()[0] == 1000
+    approx = dg.distinct_count(df, "k", exact=False).first()[0]
+    assert abs(approx - 1000) <= 50

@@ -85,3 +85,19 @@ def test_line_items_are_never_the_broadcast_side(spark, sf_dir):
     from ridelake.plans import tables as tb
     plan = _plan(tb.trips(spark, sf_dir))
     assert "BuildLeft" not in plan
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, sf_dir):
+    from ridelake.operators.load import write_bucketed
+    from ridelake.session import scratch_path
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    a = write_bucketed(li, "b_lineitem", scratch_path(spark, "bl"), 8, ["l_orderkey"])
+    b = write_bucketed(orders, "b_orders", scratch_path(spark, "bo"), 8, ["o_orderkey"])
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(a.join(b, a["l_orderkey"] == b["o_orderkey"]))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in plan

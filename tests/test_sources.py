@@ -62,3 +62,11 @@ def test_seed_and_inventory(spark):
     assert seed.count() == 2 and seed.columns == ["payment_type_id", "payment_type_name"]
     inv = files.file_inventory(spark, root).first()
     assert inv["rows"] == 2 and inv["lines"] == 3 and inv["text_bytes"] == inv["file_size"]
+
+
+def test_csv_infer_path_for_exploration(spark):
+    root = scratch_path(spark, "csv-infer")
+    spark.createDataFrame([(1, 2.5, "x")], "a int, b double, c string") \
+        .write.option("header", True).csv(root)
+    df = files.read_csv(spark, root, infer=True)
+    assert [f.dataType.simpleString() for f in df.schema.fields] == ["int", "double", "string"]
