@@ -74,8 +74,9 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     Customers are joined to orders first (orders are a quarter of the line
     items), so when customer is too large to broadcast only orders are
     shuffled by customer key; the line items are then shuffled once, by
-    order key.  Supplier and customer are broadcast only while their size
-    estimate stays under the limit.
+    order key.  Supplier, customer and the orders-with-customer subquery
+    are broadcast only while their size estimate stays under the session's
+    bound; past it the planner shuffles instead.
     """
     li = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders")
