@@ -7,6 +7,7 @@ wrote as read back, so the oracle states the final content.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from ridelake.operators import load
@@ -183,10 +184,14 @@ def q_rerun_idempotent(spark, sf):
 
 
 def q_load_append(spark, sf):
-    t = tb.trips(spark, sf)
-    target = scratch_path(spark, "append")
-    load.append(tb.canonical_rows(t, tb.T0), target, ["taxi_type"])
-    load.append(tb.canonical_rows(tb.reextracted(t), tb.T1), target, ["taxi_type"])
+    # both appends read the trip join: keep it for their duration, then release
+    t = tb.trips(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        target = scratch_path(spark, "append")
+        load.append(tb.canonical_rows(t, tb.T0), target, ["taxi_type"])
+        load.append(tb.canonical_rows(tb.reextracted(t), tb.T1), target, ["taxi_type"])
+    finally:
+        t.unpersist()
     return _read_ingestion(spark, target)
 
 
