@@ -74,3 +74,38 @@ def test_stream_dedup_drops_late_copies(spark):
                     ["event_id"], "ts", delay="2 days")
     ids = sorted(r[0] for r in spark.read.parquet(out).select("event_id").collect())
     assert ids == list(range(21))
+
+
+def test_ingest_of_a_window_without_files_is_empty_but_typed(spark, sf_dir):
+    from ridelake.operators.staging import CANONICAL_COLUMNS
+    from ridelake.plans import landing
+    root = landing.build(spark, sf_dir)
+    out = landing.ingest(spark, root, "1980-01-01", "1980-03-01", ["yellow", "green"], tb.T0)
+    assert out.count() == 0 and out.columns == CANONICAL_COLUMNS
+
+
+def test_unknown_zone_is_grouped_in_the_mart(spark):
+    from ridelake.operators.staging import GREEN_STAGING, YELLOW_STAGING
+    d = dt.datetime(2024, 1, 5, 8)
+    zones = spark.createDataFrame([(1, "B", "Known", "Boro Zone")],
+                                  "location_id int, borough string, zone string, service_zone string")
+
+    def staged(mapping, loc, vendor):
+        cols = {dst: None for _, dst, _ in mapping}
+        cols.update(vendor_id=vendor, pickup_location_id=loc, dropoff_location_id=1,
+                    pickup_datetime=d, dropoff_datetime=d, passenger_count=1,
+                    trip_distance=1, fare_amount=1, total_amount=1)
+        types = {"int": "int", "money": "decimal(18,3)", "timestamp": "timestamp_ntz",
+                 "string": "string"}
+        schema = ", ".join(f"{dst} {types[k]}" for _, dst, k in mapping)
+        from decimal import Decimal
+        row = tuple(Decimal(cols[dst]) if k == "money" and cols[dst] is not None else cols[dst]
+                    for _, dst, k in mapping)
+        return spark.createDataFrame([row], schema)
+
+    green = staged(GREEN_STAGING, 1, 1).unionByName(staged(GREEN_STAGING, 99, 2)) \
+        .unionByName(staged(GREEN_STAGING, None, 3))
+    yellow = staged(YELLOW_STAGING, 1, 1)
+    mart = marts.monthly_zone_revenue(marts.fct_trips(green, yellow, zones))
+    got = {(r["pickup_zone"], r["service_type"]): r["total_monthly_trips"] for r in mart.collect()}
+    assert got == {("Known", "Green"): 1, ("Unknown Zone", "Green"): 2, ("Known", "Yellow"): 1}
