@@ -46,6 +46,7 @@ def full_refresh(df: DataFrame, target: str, partition_by: list[str] | None = No
     stage = scratch_path(spark, "refresh")
     _writer(df, "overwrite", partition_by).parquet(stage)
     _writer(spark.read.parquet(stage), "overwrite", partition_by).parquet(target)
+    fs.delete(spark, stage)  # the target now holds its own copy
 
 
 def _swap_partitions(spark: SparkSession, staged: DataFrame, target: str, partition_col: str,
@@ -63,6 +64,7 @@ def _swap_partitions(spark: SparkSession, staged: DataFrame, target: str, partit
         name = f"{partition_col}={value}"
         if name not in present:
             fs.delete(spark, f"{target}/{name}")
+    fs.delete(spark, stage)  # the swapped partitions hold their own copy
 
 
 def _key_window(key: str, start, end, granularity: str) -> Column:
