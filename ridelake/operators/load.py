@@ -139,14 +139,16 @@ def delete_insert(new: DataFrame, target: str, keys: list[str],
 
 
 def merge(new: DataFrame, target: str, keys: list[str], partition_col: str | None = None,
-          update_columns: list[str] | None = None) -> None:
+          update_columns: list[str] | None = None, check_keys: bool = True) -> None:
     """Upsert on a primary key: matched rows are updated (all columns, or only
     ``update_columns``), unmatched source rows are inserted.  The source key
-    must be unique, as for a SQL MERGE."""
+    must be unique, as for a SQL MERGE; ``check_keys=False`` skips that
+    check for sources unique by construction (e.g. grouped on the key)."""
     spark = new.sparkSession
-    dup = new.groupBy(*keys).count().filter(F.col("count") > 1).limit(1)
-    if dup.count():
-        raise ValueError(f"merge source has repeated keys {keys}")
+    if check_keys:
+        dup = new.groupBy(*keys).count().filter(F.col("count") > 1).limit(1)
+        if dup.count():
+            raise ValueError(f"merge source has repeated keys {keys}")
     if not fs.has_data_files(spark, target):
         _writer(new, "append", [partition_col] if partition_col else None).parquet(target)
         return

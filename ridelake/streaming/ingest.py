@@ -85,7 +85,9 @@ def daily_report_stream(spark: SparkSession, source_dir: str, target: str, check
         rows = rows.persist()
         try:
             if rows.take(1):
-                load.merge(rows, target, ["day", group_col], partition_col="month")
+                # one row per (day, group) by construction of the aggregation
+                load.merge(rows, target, ["day", group_col], partition_col="month",
+                           check_keys=False)
         finally:
             rows.unpersist()
 
