@@ -49,7 +49,8 @@ def build_session(
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime SQL settings to an existing session."""
+    """Apply the runtime SQL settings to an existing session and make the
+    package importable by its Python workers."""
     for key, value in DEFAULT_CONF.items():
         if key.startswith("spark.ui."):
             continue
@@ -58,9 +59,37 @@ def configure(spark: SparkSession) -> SparkSession:
         except Exception:  # static conf of a session we did not build
             pass
     scratch_root(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Add this package to the executors' Python path, as ``--py-files``
+    would: the paged data source and the footer readers run in Python
+    workers, which must import their module.  Done once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import os
+    import zipfile
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    fd, path = tempfile.mkstemp(prefix="ridelake-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w") as z:
+        for base, _, files in os.walk(pkg_dir):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(base, name)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)  # Spark copies it to every executor
+    _SHIPPED.add(sc.applicationId)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session; set one only if unset."""
     sc = spark.sparkContext
