@@ -70,3 +70,10 @@ def test_csv_infer_path_for_exploration(spark):
         .write.option("header", True).csv(root)
     df = files.read_csv(spark, root, infer=True)
     assert [f.dataType.simpleString() for f in df.schema.fields] == ["int", "double", "string"]
+
+
+def test_package_is_shipped_to_python_workers(spark):
+    from ridelake.session import ship_package
+    ship_package(spark)
+    includes = spark.sparkContext._python_includes
+    assert any(name.startswith("ridelake-") and name.endswith(".zip") for name in includes)
