@@ -20,9 +20,7 @@ The schema must be given with ``.schema(...)``.
 from __future__ import annotations
 
 import datetime as dt
-import glob
 import json
-import os
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -41,13 +39,22 @@ def _fetch(url_template: str, page: int) -> list[dict]:
         with urllib.request.urlopen(url, timeout=60) as resp:  # noqa: S310
             data = json.loads(resp.read().decode("utf-8"))
         return list(data or [])
-    path = url[len("file:"):] if url.startswith("file:") else url
-    if not os.path.isdir(path):
+    # a folder of JSON-lines files on any pyarrow file system (local,
+    # HDFS, object stores): the shared scratch folder on a cluster
+    import pyarrow.fs as pafs
+
+    norm = "file:///" + url[len("file:"):].lstrip("/") if url.startswith("file:") else url
+    filesystem, folder = pafs.FileSystem.from_uri(norm)
+    info = filesystem.get_file_info(folder)
+    if info.type != pafs.FileType.Directory:
         return []
+    names = sorted(f.path for f in filesystem.get_file_info(pafs.FileSelector(folder))
+                   if f.type == pafs.FileType.File and f.path.endswith(".json"))
     records: list[dict] = []
-    for name in sorted(glob.glob(os.path.join(path, "*.json"))):
-        with open(name, encoding="utf-8") as fh:
-            records.extend(json.loads(line) for line in fh if line.strip())
+    for name in names:
+        with filesystem.open_input_stream(name) as fh:
+            text = fh.read().decode("utf-8")
+        records.extend(json.loads(line) for line in text.splitlines() if line.strip())
     return records
 
 
