@@ -6,11 +6,13 @@ from . import oracle
 from .packing import op1_vector_packing
 from .sharding import op9_shard_documents
 from .simhash import op2_simhash_near_dedup
+from .suffix_dedup import op4_suffix_dedup
 from .url_filter import op7_url_filter
 
 QUERIES = {
     "op1_vector_packing": op1_vector_packing,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op7_url_filter": op7_url_filter,
     "op9_shard_documents": op9_shard_documents,
 }
