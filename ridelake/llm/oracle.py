@@ -53,4 +53,37 @@ SELECT page_id, host, path, r.h || r.p AS rule,
 FROM best
 """
 
-ORACLE = {"op7_url_filter": OP7}
+OP3 = f"""
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(text, '{_UPPER}', '{_LOWER}'),
+           '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') w FROM documents),
+b AS (
+  SELECT item_id, list_filter(regexp_split_to_array(translate(text, '{_UPPER}', '{_LOWER}'),
+           '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') w FROM benchmark),
+dw AS (SELECT doc_id, unnest(w) word, generate_subscripts(w, 1) - 1 p FROM d),
+bw AS (SELECT item_id, len(w) n, unnest(w) word, generate_subscripts(w, 1) - 1 q FROM b WHERE len(w) >= 6),
+-- every pair of equal words, on its diagonal: no seeds
+eq AS (SELECT doc_id, item_id, n, p - q AS shift, q FROM dw JOIN bw USING (word)),
+runs AS (
+  SELECT *, count(*) OVER (PARTITION BY doc_id, item_id, shift ORDER BY q
+                           RANGE BETWEEN CURRENT ROW AND 12 FOLLOWING) c
+  FROM eq QUALIFY count(*) OVER (PARTITION BY doc_id, item_id, shift) >= least(n, 13) * 0.8),
+starts AS (  -- window starts need not be equal words themselves
+  SELECT doc_id, item_id, n, shift, s.s AS s, count(*) c
+  FROM runs, (SELECT unnest(range(0, 4000)) s) s
+  WHERE s.s <= n - least(n, 13) AND q >= s.s AND q < s.s + least(n, 13)
+  GROUP BY doc_id, item_id, n, shift, s.s HAVING count(*) >= ceil(0.8 * least(n, 13))),
+span AS (
+  SELECT doc_id, item_id, n, shift, min(s) a, max(s) + least(n, 13) z FROM starts
+  GROUP BY doc_id, item_id, n, shift),
+scored AS (
+  SELECT span.doc_id, span.item_id, span.n, span.shift, a, z, count(*) e
+  FROM span JOIN eq ON eq.doc_id = span.doc_id AND eq.item_id = span.item_id
+       AND eq.shift = span.shift AND q >= a AND q < z
+  GROUP BY span.doc_id, span.item_id, span.n, span.shift, a, z)
+SELECT doc_id, item_id, shift + a AS doc_start, shift + z AS doc_end, a AS item_start, z AS item_end,
+       e AS n_equal, z - a AS n_overlap, n AS item_words
+FROM scored QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY e DESC, shift, a, z) = 1
+"""
+
+ORACLE = {"op3_spaced_seed_decontam": OP3, "op7_url_filter": OP7}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from . import oracle
+from .decontam import op3_spaced_seed_decontam
 from .packing import op1_vector_packing
 from .sharding import op9_shard_documents
 from .simhash import op2_simhash_near_dedup
@@ -12,6 +13,7 @@ from .url_filter import op7_url_filter
 QUERIES = {
     "op1_vector_packing": op1_vector_packing,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op3_spaced_seed_decontam": op3_spaced_seed_decontam,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op7_url_filter": op7_url_filter,
     "op9_shard_documents": op9_shard_documents,
