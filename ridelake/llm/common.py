@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -69,7 +70,7 @@ def with_fields(schema: T.StructType, *fields: tuple[str, T.DataType]) -> T.Stru
 
 
 def text_slices(batch: pa.RecordBatch, name: str = "text",
-                max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+                max_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch into slices of about ``max_bytes`` of text (one row at least),
     so that work arrays stay small whatever the batch holds."""
     col = batch.column(batch.schema.get_field_index(name))
@@ -112,6 +113,14 @@ def utf8_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
+#: What separates words of letters, digits and characters beyond ASCII.
+IS_MARK = np.zeros(256, bool)
+IS_MARK[[*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]] = True
+IS_NEWLINE = np.zeros(256, bool)
+IS_NEWLINE[0x0A] = True
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[0x41:0x5B] += 0x20
+
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -125,10 +134,14 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def space_words(data: np.ndarray, offsets: np.ndarray):
-    """Words (runs without ASCII white space) of concatenated texts: byte
-    starts, byte ends, the row each belongs to.  Words never cross rows."""
-    space = IS_SPACE[data]
+def split_words(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = IS_SPACE):
+    """Words (runs without bytes of the table ``between``) of concatenated
+    texts: byte starts, byte ends, the row each belongs to.  Words never cross
+    rows."""
+    if not len(data):
+        none = np.zeros(0, np.int64)
+        return none, none, none
+    space = between[data]
     word = ~space
     first = word.copy()
     first[1:] &= space[:-1]
@@ -143,17 +156,29 @@ def space_words(data: np.ndarray, offsets: np.ndarray):
     return starts, ends, rows
 
 
+_TABLE = mix64(np.arange(1, 257, dtype=np.uint64) * _ODD)
+_LONG = 1 << 16
+with np.errstate(over="ignore"):
+    _POWERS = np.cumprod(np.full(_LONG, np.uint64(0xD6E8FEB86659FD93)), dtype=np.uint64)
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of non-overlapping byte spans: each byte is mixed with its
-    place in the span, summed per span, and finalised with the length."""
+    """64-bit hashes of non-overlapping byte spans, in order: random byte values
+    times powers by place, summed per span and finalised with the length.  Very
+    long spans are hashed one at a time."""
     if not len(starts):
         return np.zeros(0, np.uint64)
     lens = ends - starts
-    total = int(lens.sum())
-    base = np.repeat(starts - np.concatenate(([0], np.cumsum(lens)[:-1])), lens)
-    at = np.arange(total, dtype=np.int64)
-    place = at + base - np.repeat(starts, lens)
-    b = data[at + base].astype(np.uint64)
-    v = mix64(b + (place.astype(np.uint64) << np.uint64(8)) + _ODD)
-    sums = np.add.reduceat(v, np.cumsum(lens) - lens)
+    if lens.max() > _LONG:
+        out = np.zeros(len(lens), np.uint64)
+        few = lens > _LONG
+        out[~few] = span_hashes(data, starts[~few], ends[~few])
+        out[few] = [int.from_bytes(hashlib.blake2b(data[s:e].tobytes(), digest_size=8).digest(), "big")
+                    for s, e in zip(starts[few].tolist(), ends[few].tolist())]
+        return out
+    first = np.cumsum(lens) - lens
+    place = np.arange(int(lens.sum()))
+    at = place + np.repeat(starts - first, lens)
+    place -= np.repeat(first, lens)
+    sums = np.add.reduceat(_TABLE[data[at]] * _POWERS[place], first)
     return mix64(sums + lens.astype(np.uint64) * _ODD)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from . import oracle
 from .decontam import op3_spaced_seed_decontam
 from .packing import op1_vector_packing
+from .quality_classifier import op10_weak_label_classifier
 from .sharding import op9_shard_documents
 from .simhash import op2_simhash_near_dedup
 from .suffix_dedup import op4_suffix_dedup
@@ -17,6 +18,7 @@ QUERIES = {
     "op4_suffix_dedup": op4_suffix_dedup,
     "op7_url_filter": op7_url_filter,
     "op9_shard_documents": op9_shard_documents,
+    "op10_weak_label_classifier": op10_weak_label_classifier,
 }
 
 ORACLE = oracle.ORACLE
