@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from . import oracle
 from .decontam import op3_spaced_seed_decontam
+from .licenses import op5_license_scan
 from .packing import op1_vector_packing
 from .quality_classifier import op10_weak_label_classifier
+from .quality_rules import op6_compression_bands
 from .sharding import op9_shard_documents
 from .simhash import op2_simhash_near_dedup
 from .suffix_dedup import op4_suffix_dedup
@@ -16,6 +18,8 @@ QUERIES = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_spaced_seed_decontam": op3_spaced_seed_decontam,
     "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_license_scan": op5_license_scan,
+    "op6_compression_bands": op6_compression_bands,
     "op7_url_filter": op7_url_filter,
     "op9_shard_documents": op9_shard_documents,
     "op10_weak_label_classifier": op10_weak_label_classifier,
