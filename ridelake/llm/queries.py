@@ -5,6 +5,7 @@ from __future__ import annotations
 from . import oracle
 from .decontam import op3_spaced_seed_decontam
 from .licenses import op5_license_scan
+from .lm_scoring import op8_masked_lm_scores
 from .packing import op1_vector_packing
 from .quality_classifier import op10_weak_label_classifier
 from .quality_rules import op6_compression_bands
@@ -21,6 +22,7 @@ QUERIES = {
     "op5_license_scan": op5_license_scan,
     "op6_compression_bands": op6_compression_bands,
     "op7_url_filter": op7_url_filter,
+    "op8_masked_lm_scores": op8_masked_lm_scores,
     "op9_shard_documents": op9_shard_documents,
     "op10_weak_label_classifier": op10_weak_label_classifier,
 }
