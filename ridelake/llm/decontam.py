@@ -69,8 +69,12 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = 13, share: flo
         tests = F.broadcast(tests)
     texts = docs.selectExpr("doc_id", f"{word_hashes('text')} AS h")
     need = f"CAST(ceil({share} * least({window}, size(ih))) AS INT)"
+    # the row number keeps what follows out of the join's condition: the join
+    # stays in generated code, which copies a document's hashes for hits only
     hits = (_seeds(texts, ["doc_id", "h"]).join(tests, "key")
-            .selectExpr("doc_id", "item_id", "size(ih) AS item_words", "at - item_at AS shift",
+            .selectExpr("doc_id", "h", "ih", "at", "item_id", "item_at",
+                        "monotonically_increasing_id() AS hit")
+            .selectExpr("hit", "doc_id", "item_id", "size(ih) AS item_words", "at - item_at AS shift",
                         f"least({window}, size(ih)) AS wide", f"{need} AS need",
                         """transform(sequence(0, size(ih) - 1), q -> CASE WHEN
                              at - item_at + q >= 0 AND get(h, at - item_at + q) = get(ih, q)
@@ -78,6 +82,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = 13, share: flo
             .selectExpr("*", """filter(sequence(0, item_words - wide), s ->
                 aggregate(slice(eq, s + 1, wide), 0, (a, x) -> a + x) >= need) AS good""")
             .where("size(good) > 0")
+            .where("hit >= 0")
             .selectExpr("doc_id", "item_id", "item_words", "shift", "good[0] AS item_start",
                         "good[size(good) - 1] + wide AS item_end", "eq")
             .selectExpr("*", """aggregate(slice(eq, item_start + 1, item_end - item_start), 0,
