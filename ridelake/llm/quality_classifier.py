@@ -148,19 +148,12 @@ def _logit(p: float) -> float:
     return float(np.log(p / (1 - p)))
 
 
-def one_of_each_text(rows: int, row: np.ndarray, bucket: np.ndarray, least: int = 3) -> np.ndarray:
-    """The first row of each set of rows whose ``least`` smallest word hashes
-    agree, as those of copies and most near copies do."""
-    h = mix64(bucket.astype(np.uint64))
-    order = np.lexsort((h, row))
-    n = np.bincount(row, minlength=rows)
-    first = np.cumsum(n) - n
-    marks = np.zeros((rows, least), np.uint64)
-    for k in range(least):
-        has = n > k
-        marks[has, k] = h[order][first[has] + k]
-    key = mix64(mix64(marks[:, 0]) + marks[:, 1:].sum(axis=1, dtype=np.uint64))
-    return np.unique(key, return_index=True)[1]
+def one_of_each_text(rows: int, row: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+    """The first row of each set of rows with the same words."""
+    order = np.argsort(row, kind="stable")
+    sums = np.concatenate(([np.uint64(0)], np.cumsum(mix64(bucket[order].astype(np.uint64)))))
+    edge = np.searchsorted(row[order], np.arange(rows + 1))
+    return np.unique(sums[edge[1:]] - sums[edge[:-1]], return_index=True)[1]
 
 
 def screened(rows: int, row: np.ndarray, feature: np.ndarray, target: np.ndarray,
@@ -288,7 +281,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = 10_000) -> Model:
     low, tox = (np.nan_to_num(got[c].to_numpy().astype(float), nan=-1) for c in ("quality", "toxic"))
 
     # two word lists, each learnt from one half of the rows with a toxic label;
-    # of texts that are near copies of one another one row counts
+    # of texts with the same words one row counts
     words = feature < BUCKETS
     single = np.zeros(rows, bool)
     single[one_of_each_text(rows, row[words], feature[words])] = True
