@@ -54,8 +54,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = 13, share: flo
     doc_id, item_id, doc_start and doc_end (words from 0, half-open),
     item_start and item_end, n_equal and n_overlap (words), item_words.  Of
     several overlaps of a document and an item the one with most equal words
-    is returned (then the first).  Items shorter than ``window`` must agree as
-    a whole; items of fewer than six words are too short to be evidence and
+    is returned (then the first).  Items shorter than ``window`` must agree in
+    every word; items of fewer than six words are too short to be evidence and
     are not searched.  Null and empty texts have no words.  Rows that repeat a
     document or item id are searched each and reported once; null ids are
     reported as such.  Empty tables give no rows; other columns are not read.
@@ -68,7 +68,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = 13, share: flo
     if words * len(MASKS) <= broadcast_seeds:
         tests = F.broadcast(tests)
     texts = docs.selectExpr("doc_id", f"{word_hashes('text')} AS h")
-    need = f"CAST(ceil({share} * least({window}, size(ih))) AS INT)"
+    need = f"IF(size(ih) < {window}, size(ih), CAST(ceil({share} * {window}) AS INT))"
     # the row number keeps what follows out of the join's condition: the join
     # stays in generated code, which copies a document's hashes for hits only
     hits = (_seeds(texts, ["doc_id", "h"]).join(tests, "key")

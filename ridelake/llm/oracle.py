@@ -6,11 +6,9 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 _STRENGTH = """
   SELECT 1 / least(greatest(coalesce(
-           (s - v * (k - 1)) / nullif(v * (n - n2 / n - (k - 1)), 0), 0.5), 0.0001), 0.99) - 1 AS m
-  FROM (SELECT sum(g.n)::DOUBLE n, sum(g.n * g.n)::DOUBLE n2, count(*)::DOUBLE k,
-               sum(g.n * power(g.bad / g.n - t.mu, 2)) s, max(t.mu * (1 - t.mu)) v
-        FROM (SELECT {key}, sum(n)::DOUBLE n, sum(bad)::DOUBLE bad FROM named GROUP BY {key}) g, total t
-        WHERE g.n > 0)"""
+           (sum(n * power(bad / n - up, 2)) - sum(up * (1 - up))) / nullif(sum((n - 1) * up * (1 - up)), 0),
+           0.5), 0.0001), 0.99) - 1 AS m
+  FROM {groups} WHERE n > 1"""
 
 OP7 = f"""
 WITH parsed AS (
@@ -28,14 +26,12 @@ named AS (
          sum(coalesce(n, 0))::DOUBLE n, sum(coalesce(bad, 0))::DOUBLE bad
   FROM parsed LEFT JOIN outcome USING (page_id) GROUP BY host),
 total AS (SELECT coalesce(sum(bad) / nullif(sum(n), 0), 0.0) mu FROM named),
-ms AS ({_STRENGTH.format(key='suffix')}),
-md AS ({_STRENGTH.format(key='domain')}),
-mh AS ({_STRENGTH.format(key='host')}),
-s AS (SELECT suffix, (sum(bad) + any_value(m) * any_value(mu)) / (sum(n) + any_value(m)) mean
-      FROM named, total, ms GROUP BY suffix),
-d AS (SELECT domain, (sum(bad) + any_value(m) * any_value(s.mean)) / (sum(n) + any_value(m)) mean
-      FROM named JOIN s USING (suffix), md GROUP BY domain),
-h AS (SELECT host, n, (bad + m * d.mean) / (n + m) mean, n + m w FROM named JOIN d USING (domain), mh),
+s0 AS (SELECT suffix, sum(n) n, sum(bad) bad, any_value(mu) up FROM named, total GROUP BY suffix),
+s AS (SELECT suffix, (bad + m * up) / (n + m) mean FROM s0, ({_STRENGTH.format(groups='s0')})),
+d0 AS (SELECT domain, sum(n) n, sum(bad) bad, any_value(s.mean) up FROM named JOIN s USING (suffix) GROUP BY domain),
+d AS (SELECT domain, (bad + m * up) / (n + m) mean FROM d0, ({_STRENGTH.format(groups='d0')})),
+h0 AS (SELECT host, n, bad, d.mean up FROM named JOIN d USING (domain)),
+h AS (SELECT host, n, (bad + m * up) / (n + m) mean, n + m w FROM h0, ({_STRENGTH.format(groups='h0')})),
 b AS (SELECT host, n, mean, greatest(0, mean - 1.645 * sqrt(mean * (1 - mean) / (w + 1))) lo FROM h),
 fits AS (
   SELECT page_id, host, path, n, mean, lo, [r FOR r IN [
@@ -72,7 +68,7 @@ starts AS (  -- window starts need not be equal words themselves
   SELECT doc_id, item_id, n, shift, s.s AS s, count(*) c
   FROM runs, (SELECT unnest(range(0, 4000)) s) s
   WHERE s.s <= n - least(n, 13) AND q >= s.s AND q < s.s + least(n, 13)
-  GROUP BY doc_id, item_id, n, shift, s.s HAVING count(*) >= ceil(0.8 * least(n, 13))),
+  GROUP BY doc_id, item_id, n, shift, s.s HAVING count(*) >= CASE WHEN n < 13 THEN n ELSE 11 END),
 span AS (
   SELECT doc_id, item_id, n, shift, min(s) a, max(s) + least(n, 13) z FROM starts
   GROUP BY doc_id, item_id, n, shift),

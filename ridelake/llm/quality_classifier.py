@@ -125,16 +125,19 @@ def fit_labellers(patterns: np.ndarray, counts: np.ndarray, trust: float = 0.995
 
     A labeller has an accuracy for each kind of vote: the share of bad
     documents among those it so votes on.  Not to vote is no evidence.  It
-    starts from "bad if anyone says so".  The last labeller is the given label,
-    whose accuracy is ``trust`` at least."""
-    post = np.where((patterns == BAD).any(axis=1), 0.9, 0.02)
+    starts from "bad if anyone says so", which also counts as two documents a
+    labeller.  The last labeller is the given label, whose accuracy is
+    ``trust`` at least."""
+    first = {BAD: 0.9, GOOD: 0.02}
+    post = np.where((patterns == BAD).any(axis=1), first[BAD], first[GOOD])
+    share = post @ counts / max(counts.sum(), 1)
     for _ in range(rounds if len(patterns) else 0):
-        prior = _logit((post @ counts + 1) / (counts.sum() + 2))
+        prior = _logit((post @ counts + 2 * share) / (counts.sum() + 2))
         odds = np.full(len(patterns), prior)
         for j in range(patterns.shape[1]):
             for vote in (BAD, GOOD):
                 on = patterns[:, j] == vote
-                rate = (post[on] @ counts[on] + 1) / (counts[on].sum() + 2)
+                rate = (post[on] @ counts[on] + 2 * first[vote]) / (counts[on].sum() + 2)
                 if j == patterns.shape[1] - 1:
                     rate = max(rate, trust) if vote == BAD else min(rate, 1 - trust)
                 odds[on] += _logit(rate) - prior

@@ -44,16 +44,15 @@ def rule_case(rules, value) -> str:
     return f"CASE {whens} END" if whens else "CAST(NULL AS STRING)"
 
 
-def _strength(key: str) -> str:
-    """Method-of-moments prior strength of a level, as a scalar subquery."""
+def _strength(groups: str) -> str:
+    """Prior strength of a level, as a scalar subquery: method of moments for
+    groups (n, bad) around the mean ``up`` that each has from the level above.
+    One outcome alone says nothing about the spread."""
     return f"""(
-      SELECT 1 / least(greatest(rho, 0.0001), 0.99) - 1 FROM (
-        SELECT coalesce(try_divide(s - v * (k - 1), v * (n - n2 / n - (k - 1))), 0.5) AS rho FROM (
-          SELECT CAST(sum(n) AS DOUBLE) AS n, CAST(sum(n * n) AS DOUBLE) AS n2,
-                 CAST(count(*) AS DOUBLE) AS k, sum(n * pow(bad / n - mu, 2)) AS s,
-                 max(mu * (1 - mu)) AS v
-          FROM (SELECT {key}, sum(n) AS n, sum(bad) AS bad, (SELECT mu FROM total) AS mu
-                FROM named GROUP BY {key}) WHERE n > 0)))"""
+      SELECT 1 / least(greatest(coalesce(try_divide(
+               sum(n * pow(bad / n - up, 2)) - sum(up * (1 - up)),
+               sum((n - 1) * up * (1 - up))), 0.5), 0.0001), 0.99) - 1
+      FROM {groups} WHERE n > 1)"""
 
 
 def host_posteriors(parsed: DataFrame, outcomes: DataFrame, z: float) -> DataFrame:
@@ -73,17 +72,24 @@ def host_posteriors(parsed: DataFrame, outcomes: DataFrame, z: float) -> DataFra
              substring_index(host, '.', -1) AS suffix FROM {{hosts}}),
     total AS (
       SELECT coalesce(try_divide(sum(bad), sum(n)), CAST(0.0 AS DOUBLE)) AS mu FROM named),
+    suffix_up AS (
+      SELECT suffix, sum(n) AS n, sum(bad) AS bad, (SELECT mu FROM total) AS up
+      FROM named GROUP BY suffix),
     suffixes AS (
-      SELECT suffix, (bad + m * mu) / (n + m) AS mean FROM (
-        SELECT suffix, sum(n) AS n, sum(bad) AS bad, (SELECT mu FROM total) AS mu,
-               {_strength('suffix')} AS m FROM named GROUP BY suffix)),
+      SELECT suffix, (bad + m * up) / (n + m) AS mean
+      FROM (SELECT *, {_strength('suffix_up')} AS m FROM suffix_up)),
+    domain_up AS (
+      SELECT d.*, s.mean AS up FROM (
+        SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM named GROUP BY domain, suffix) d
+      JOIN suffixes s ON d.suffix = s.suffix),
     domains AS (
-      SELECT d.domain, (d.bad + m * s.mean) / (d.n + m) AS mean FROM (
-        SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad, {_strength('domain')} AS m
-        FROM named GROUP BY domain, suffix) d JOIN suffixes s ON d.suffix = s.suffix),
+      SELECT domain, (bad + m * up) / (n + m) AS mean
+      FROM (SELECT *, {_strength('domain_up')} AS m FROM domain_up)),
+    host_up AS (
+      SELECT h.host, h.n, h.bad, d.mean AS up FROM named h JOIN domains d ON h.domain = d.domain),
     posterior AS (
-      SELECT h.host, h.n, (h.bad + m * d.mean) / (h.n + m) AS mean, h.n + m AS weight
-      FROM (SELECT *, {_strength('host')} AS m FROM named) h JOIN domains d ON h.domain = d.domain)
+      SELECT host, n, (bad + m * up) / (n + m) AS mean, n + m AS weight
+      FROM (SELECT *, {_strength('host_up')} AS m FROM host_up))
     SELECT host, n, mean,
            greatest(0, mean - {z} * sqrt(mean * (1 - mean) / (weight + 1))) AS lower
     FROM posterior""", hosts=hosts)
