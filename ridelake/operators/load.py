@@ -1,23 +1,24 @@
 """Load strategies for parquet tables (a folder, optionally partitioned).
 
-Plain parquet has no DELETE or MERGE, so the row-level strategies compute
-the new content of the partitions they touch, write it to a fresh staging
-folder first (which also cuts the lineage from the target), and only then
-replace exactly those partitions with a dynamic partition overwrite.  A
-failure before the swap leaves the target untouched; a re-run with the same
-inputs gives the same table.
+Plain parquet has no DELETE or MERGE, so the row-level strategies write the
+new content of the partitions they touch, once, to a fresh folder in their
+final layout, and then put those partition folders in place of the old ones
+by renaming; the old ones are deleted last.  A failure before the renames
+leaves the target as it was; a re-run with the same inputs gives the same
+table.  Keys compare as in SQL: a NULL key equals nothing.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import re
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ridelake.functions.time import in_window
-from ridelake.session import scratch_path
 from ridelake.sources import fs
 from ridelake.sources.files import list_files, month_starts
 
@@ -39,32 +40,91 @@ def append(df: DataFrame, target: str, partition_by: list[str] | None = None) ->
     _writer(df, "append", partition_by).parquet(target)
 
 
+def _replace_folder(spark: SparkSession, new: str, path: str, backup: str) -> None:
+    """Put ``new`` in the place of ``path``; if that fails, ``path`` is put back."""
+    had = fs.exists(spark, path)
+    if had and not fs.rename(spark, path, backup):
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(spark, new, path):
+        if had:
+            fs.rename(spark, backup, path)
+        raise OSError(f"cannot move {new} to {path}")
+
+
 def full_refresh(df: DataFrame, target: str, partition_by: list[str] | None = None) -> None:
     """Replace the whole table (truncate+insert / create+replace).  The new
-    content is staged first, so ``df`` may itself read the target."""
+    content is written once, beside the target, so ``df`` may itself read the
+    target, and a failed write leaves it untouched."""
     spark = df.sparkSession
-    stage = scratch_path(spark, "refresh")
+    stage, backup = _beside(target, "new"), _beside(target, "old")
     _writer(df, "overwrite", partition_by).parquet(stage)
-    _writer(spark.read.parquet(stage), "overwrite", partition_by).parquet(target)
-    fs.delete(spark, stage)  # the target now holds its own copy
+    _replace_folder(spark, stage, target, backup)
+    fs.delete(spark, backup)
+
+
+def _beside(target: str, what: str) -> str:
+    """A fresh hidden folder on the target's file system."""
+    parent, _, name = target.rstrip("/").rpartition("/")
+    return f"{parent}/_{name}-{what}-{uuid.uuid4().hex[:12]}"
+
+
+#: Characters that are written as %XX in partition folder names: fixed values.
+_ESCAPED = set("\"#%'*/:=?\\{[]^\x7f") | {chr(c) for c in range(1, 32)}
+_NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
+
+def partition_folder(column: str, value) -> str:
+    """Folder name of a partition value; NULL and '' share one folder."""
+    text = "" if value is None else str(value)
+    if not text:
+        return f"{column}={_NULL_FOLDER}"
+    return f"{column}=" + "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in text)
+
 
+def read_target(spark: SparkSession, target: str, like: DataFrame,
+                partition_col: str | None = None) -> DataFrame:
+    """The table at ``target``, its partition column in the type that ``like``
+    declares (folder names alone would be guessed: '007' as 7)."""
+    schema = spark.read.parquet(target).schema
+    if partition_col:
+        declared = like.schema[partition_col].dataType
+        schema = StructType([StructField(f.name, declared, True) if f.name == partition_col else f
+                             for f in schema.fields])
+    return spark.read.schema(schema).parquet(target)
+
+
+def _in_partitions(partition_col: str, values: list) -> Column:
+    """Rows of the partitions ``values``, NULL among them."""
+    some = F.col(partition_col).isin([v for v in values if v is not None])
+    return some | F.col(partition_col).isNull() if None in values else some
 
-def _swap_partitions(spark: SparkSession, staged: DataFrame, target: str, partition_col: str,
+
+def _swap_partitions(spark: SparkSession, content: DataFrame, target: str, partition_col: str,
                      affected: list) -> None:
-    """Write ``staged`` to a fresh folder, then replace the ``affected``
-    partitions of ``target`` with it; affected partitions that end up empty
-    are removed (a dynamic overwrite alone would leave them in place)."""
-    stage = scratch_path(spark, "stage")
-    _writer(staged, "overwrite", [partition_col]).parquet(stage)
-    present = set(fs.list_dirs(spark, stage))
-    if present:
-        _writer(spark.read.parquet(stage), "overwrite", [partition_col], dynamic=True) \
-            .parquet(target)
-    for value in affected:
-        name = f"{partition_col}={value}"
-        if name not in present:
-            fs.delete(spark, f"{target}/{name}")
-    fs.delete(spark, stage)  # the swapped partitions hold their own copy
+    """Write ``content`` once, then replace the ``affected`` partitions of
+    ``target`` with its partitions; those that end up empty are removed."""
+    stage, backup = _beside(target, "new"), _beside(target, "old")
+    _writer(content, "overwrite", [partition_col]).parquet(stage)
+    fs.mkdirs(spark, backup)
+    present = {n for n in fs.list_dirs(spark, stage) if n.startswith(f"{partition_col}=")}
+    for name in sorted(present | {partition_folder(partition_col, v) for v in affected}):
+        if name in present:
+            _replace_folder(spark, f"{stage}/{name}", f"{target}/{name}", f"{backup}/{name}")
+        else:
+            fs.rename(spark, f"{target}/{name}", f"{backup}/{name}")
+    fs.delete(spark, backup)
+    fs.delete(spark, stage)
+    spark.catalog.refreshByPath(target)
+
+
+def replace_partitions(new: DataFrame, target: str, partition_col: str, values: list) -> None:
+    """Replace the partitions ``values`` by the rows of ``new``, all of which
+    lie in them."""
+    spark = new.sparkSession
+    if not fs.has_data_files(spark, target):
+        _writer(new, "append", [partition_col]).parquet(target)
+        return
+    _swap_partitions(spark, new, target, partition_col, values)
 
 
 def _key_window(key: str, start, end, granularity: str) -> Column:
@@ -106,78 +166,75 @@ def time_interval(new: DataFrame, target: str, key: str, start, end,
     if not fs.has_data_files(spark, target):
         _writer(incoming, "append", [partition_col]).parquet(target)
         return
-    old = spark.read.parquet(target).filter(F.col(partition_col).isin(months))
+    old = read_target(spark, target, new, partition_col).filter(
+        _in_partitions(partition_col, months))
     kept = old.filter(~in_win | F.col(key).isNull())
     staged = kept.unionByName(incoming.select(*old.columns))
     _swap_partitions(spark, staged, target, partition_col, months)
 
 
-def _affected_values(df: DataFrame, partition_col: str) -> list:
-    # one value per partition touched: bounded by the partition count
-    return [r[0] for r in df.select(partition_col).distinct().collect()]
+def _affected_values(new: DataFrame, old: DataFrame, keys: list[str], partition_col: str) -> list:
+    """Partitions that hold new rows, or old rows whose key is among the new
+    ones (a key may have moved): one value a partition, bounded by their number."""
+    stale = old.select(*dict.fromkeys([*keys, partition_col])).join(
+        new.select(*keys).distinct(), keys, "left_semi").select(partition_col)
+    touched = new.select(partition_col).unionByName(stale).distinct()
+    return list(dict.fromkeys(None if r[0] == "" else r[0] for r in touched.collect()))
 
 
-def delete_insert(new: DataFrame, target: str, keys: list[str],
-                  partition_col: str | None = None) -> None:
-    """Remove every target row whose key values occur in ``new``, then insert
-    ``new``.  With ``partition_col`` only the partitions ``new`` touches are
-    rewritten (keys must not move between partitions)."""
+def _upsert(new: DataFrame, target: str, keys: list[str], partition_col: str | None, combine) -> None:
+    """Replace what ``combine(old, new)`` may change of the target by its result."""
     spark = new.sparkSession
     if not fs.has_data_files(spark, target):
         _writer(new, "append", [partition_col] if partition_col else None).parquet(target)
         return
-    old = spark.read.parquet(target)
-    new_keys = new.select(*keys).distinct()
-    if partition_col:
-        affected = _affected_values(new, partition_col)
-        old = old.filter(F.col(partition_col).isin(affected))
-        staged = old.join(new_keys, keys, "left_anti").unionByName(new.select(*old.columns))
-        _swap_partitions(spark, staged, target, partition_col, affected)
-    else:
-        staged = old.join(new_keys, keys, "left_anti").unionByName(new.select(*old.columns))
-        full_refresh(staged, target)
+    old = read_target(spark, target, new, partition_col)
+    if not partition_col:
+        full_refresh(combine(old, new.select(*old.columns)), target)
+        return
+    affected = _affected_values(new, old, keys, partition_col)
+    held = old.filter(_in_partitions(partition_col, affected))
+    _swap_partitions(spark, combine(held, new.select(*old.columns)), target, partition_col, affected)
+
+
+def delete_insert(new: DataFrame, target: str, keys: list[str],
+                  partition_col: str | None = None) -> None:
+    """Remove every target row whose key values occur in ``new``, whatever its
+    partition, then insert ``new``.  A NULL key occurs nowhere.  With
+    ``partition_col`` only the partitions that hold such rows, or get new ones,
+    are rewritten."""
+    _upsert(new, target, keys, partition_col, lambda old, rows: old.join(
+        rows.select(*keys).distinct(), keys, "left_anti").unionByName(rows))
 
 
 def merge(new: DataFrame, target: str, keys: list[str], partition_col: str | None = None,
           update_columns: list[str] | None = None, check_keys: bool = True) -> None:
     """Upsert on a primary key: matched rows are updated (all columns, or only
-    ``update_columns``), unmatched source rows are inserted.  The source key
-    must be unique, as for a SQL MERGE; ``check_keys=False`` skips that
-    check for sources unique by construction (e.g. grouped on the key)."""
-    spark = new.sparkSession
+    ``update_columns``), unmatched source rows are inserted, and target rows
+    without a match (a NULL key has none) stay as they are.  An update may move
+    a row to another partition.  The source key must be unique, as for a SQL
+    MERGE; ``check_keys=False`` skips that check for sources unique by
+    construction (e.g. grouped on the key)."""
     if check_keys:
-        dup = new.groupBy(*keys).count().filter(F.col("count") > 1).limit(1)
-        if dup.count():
+        dup = new.dropna(subset=keys).groupBy(*keys).count().filter(F.col("count") > 1)
+        if not dup.isEmpty():
             raise ValueError(f"merge source has repeated keys {keys}")
-    if not fs.has_data_files(spark, target):
-        _writer(new, "append", [partition_col] if partition_col else None).parquet(target)
-        return
-    old = spark.read.parquet(target)
-    if partition_col:
-        affected = _affected_values(new, partition_col)
-        old = old.filter(F.col(partition_col).isin(affected))
-    cols = old.columns
-    if update_columns is None:
-        merged = old.join(new.select(*keys), keys, "left_anti").unionByName(new.select(*cols))
-    else:
-        o = old.alias("o")
-        n = new.select(*cols).withColumn("_matched", F.lit(True)).alias("n")
+
+    def combine(old: DataFrame, rows: DataFrame) -> DataFrame:
+        if update_columns is None:
+            return old.join(rows.select(*keys), keys, "left_anti").unionByName(rows)
+        o = old.withColumn("_old", F.lit(True)).alias("o")
+        n = rows.withColumn("_new", F.lit(True)).alias("n")
         joined = o.join(n, [F.col(f"o.{k}") == F.col(f"n.{k}") for k in keys], "full_outer")
-        sel = []
-        for c in cols:
-            if c in keys:
-                sel.append(F.coalesce(F.col(f"n.{c}"), F.col(f"o.{c}")).alias(c))
-            elif c in update_columns:
-                sel.append(F.when(F.col("n._matched"), F.col(f"n.{c}"))
-                           .otherwise(F.col(f"o.{c}")).alias(c))
-            else:
-                sel.append(F.when(F.col(f"o.{keys[0]}").isNotNull(), F.col(f"o.{c}"))
-                           .otherwise(F.col(f"n.{c}")).alias(c))
-        merged = joined.select(*sel)
-    if partition_col:
-        _swap_partitions(spark, merged, target, partition_col, affected)
-    else:
-        full_refresh(merged, target)
+
+        def value(c: str) -> Column:
+            # an update takes the new value, an insert all of them, the rest is old
+            takes = F.col("n._new") if c in update_columns else F.col("o._old").isNull()
+            return F.when(takes, F.col(f"n.{c}")).otherwise(F.col(f"o.{c}")).alias(c)
+
+        return joined.select(*[value(c) for c in old.columns])
+
+    _upsert(new, target, keys, partition_col, combine)
 
 
 def as_view(df: DataFrame, name: str) -> DataFrame:
@@ -241,21 +298,37 @@ _STEM = re.compile(r"\.csv(\.gz)?$")
 def csv_to_parquet(spark: SparkSession, inputs: str, out_dir: str, schema,
                    remove_source: bool = False) -> list[str]:
     """Convert every CSV(.gz) under ``inputs`` that has no output yet into
-    parquet under ``out_dir/source=<file stem>``; all pending files are read
-    by one scan.  Returns the converted stems."""
+    parquet under ``out_dir/source=<path below inputs, without the ending>``;
+    all pending files are read by one scan.  What is done is read from the
+    output's data, so file names may hold any character.  Returns the converted
+    sources."""
     files = list_files(spark, inputs, suffix=".csv.gz") + list_files(spark, inputs, suffix=".csv")
-    done = {d.split("=", 1)[1] for d in fs.list_dirs(spark, out_dir) if "=" in d}
-    pending = [f for f in files if _STEM.sub("", f.rsplit("/", 1)[-1]) not in done]
+    root = fs.plain_path(spark, inputs).rstrip("/") + "/"
+    source = {f: _STEM.sub("", fs.plain_path(spark, f).removeprefix(root)) for f in files}
+    done = set()
+    if fs.has_data_files(spark, out_dir):
+        fields = spark.createDataFrame([], schema).schema.fields
+        out_schema = StructType([*fields, StructField("source", StringType())])
+        # one value a converted file
+        done = {r[0] for r in spark.read.schema(out_schema).parquet(out_dir)
+                .select("source").distinct().collect()}
+    pending = [f for f in files if source[f] not in done]
     if not pending:
         return []
-    df = (spark.read.option("header", True).schema(schema).csv(pending)
-          .withColumn("source", F.regexp_replace(F.col("_metadata.file_name"),
-                                                 r"\.csv(\.gz)?$", "")))
+    path = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
+    below = F.substring_index(path, root, -1)  # file paths come percent-encoded
+    df = (spark.read.option("header", True).schema(schema).csv([glob_escaped(f) for f in pending])
+          .withColumn("source", F.regexp_replace(below, r"\.csv(\.gz)?$", "")))
     df.write.mode("append").partitionBy("source").parquet(out_dir)
     if remove_source:
         for f in pending:
             fs.delete(spark, f)
-    return [_STEM.sub("", f.rsplit("/", 1)[-1]) for f in pending]
+    return [source[f] for f in pending]
+
+
+def glob_escaped(path: str) -> str:
+    """A path in which no character is read as a pattern."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
 
 
 def write_bucketed(df: DataFrame, name: str, location: str, buckets: int,

@@ -15,6 +15,8 @@ from ridelake.session import scratch_path
 REFRESH_START, REFRESH_END = "1998-03-05 00:00:00", "1998-04-10 00:00:00"
 CHANGED_SEGMENT, NEW_SEGMENT = "BUILDING", "AUTOMOBILE"
 NEW_KEY_OFFSET = 1_000_000_000
+MOVED_SEGMENT, MOVED_NATION, MOVED_TO = "HOUSEHOLD", 5, "MOVED"
+NULL_SEGMENT_NATION, NULL_KEY_NATION = 3, 4
 CUSTOMER_COLS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 
 
@@ -44,18 +46,28 @@ def q_load_time_interval(spark, sf):
 
 
 def _customers(spark, sf):
-    return tb.table(spark, sf, "customer").select(*CUSTOMER_COLS)
+    """Customers; those of one nation have no segment (the partition column),
+    those of another no key."""
+    return (tb.table(spark, sf, "customer")
+            .withColumn("c_mktsegment", F.when(F.col("c_nationkey") != NULL_SEGMENT_NATION,
+                                               F.col("c_mktsegment")))
+            .withColumn("c_custkey", F.when(F.col("c_nationkey") != NULL_KEY_NATION,
+                                            F.col("c_custkey")))
+            .select(*CUSTOMER_COLS))
 
 
 def _changes(spark, sf):
-    """Changed balances (and names) of one segment plus new customers."""
+    """Changed balances (and names) of one segment and of customers without
+    one, customers that move to another segment, and new customers."""
     c = _customers(spark, sf)
-    changed = (c.filter(F.col("c_mktsegment") == CHANGED_SEGMENT)
+    moved = (c.filter((F.col("c_mktsegment") == MOVED_SEGMENT) & (F.col("c_nationkey") == MOVED_NATION))
+             .withColumn("c_mktsegment", F.lit(MOVED_TO)))
+    changed = (c.filter((F.col("c_mktsegment") == CHANGED_SEGMENT) | F.col("c_mktsegment").isNull())
                .withColumn("c_acctbal", F.col("c_acctbal") + 100.0)
                .withColumn("c_name", F.concat(F.col("c_name"), F.lit("*"))))
     new = (c.filter(F.col("c_mktsegment") == NEW_SEGMENT)
            .withColumn("c_custkey", F.col("c_custkey") + NEW_KEY_OFFSET))
-    return changed.unionByName(new)
+    return changed.unionByName(moved).unionByName(new)
 
 
 def _customer_table(spark, sf) -> str:
@@ -75,10 +87,10 @@ def q_load_delete_insert(spark, sf):
 
 
 def q_load_merge(spark, sf):
-    """Upsert that updates only the balance of matched customers."""
+    """Upsert that updates the balance and the segment of matched customers."""
     target = _customer_table(spark, sf)
     load.merge(_changes(spark, sf), target, ["c_custkey"], "c_mktsegment",
-               update_columns=["c_acctbal"])
+               update_columns=["c_acctbal", "c_mktsegment"])
     return _read_customers(spark, target)
 
 
@@ -101,13 +113,22 @@ QUERIES = {
     "load_view": q_load_view,
 }
 
+_BASE = f"""
+  SELECT CASE WHEN c_nationkey <> {NULL_KEY_NATION} THEN c_custkey END AS c_custkey, c_name,
+         c_nationkey, c_acctbal,
+         CASE WHEN c_nationkey <> {NULL_SEGMENT_NATION} THEN c_mktsegment END AS c_mktsegment
+  FROM customer"""
+
 _CHANGES = f"""
   SELECT c_custkey, c_name || '*' AS c_name, c_nationkey, c_acctbal + 100.0 AS c_acctbal,
          c_mktsegment
-  FROM customer WHERE c_mktsegment = '{CHANGED_SEGMENT}'
+  FROM BASE WHERE c_mktsegment = '{CHANGED_SEGMENT}' OR c_mktsegment IS NULL
+  UNION ALL
+  SELECT c_custkey, c_name, c_nationkey, c_acctbal, '{MOVED_TO}' AS c_mktsegment
+  FROM BASE WHERE c_mktsegment = '{MOVED_SEGMENT}' AND c_nationkey = {MOVED_NATION}
   UNION ALL
   SELECT c_custkey + {NEW_KEY_OFFSET} AS c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment
-  FROM customer WHERE c_mktsegment = '{NEW_SEGMENT}'"""
+  FROM BASE WHERE c_mktsegment = '{NEW_SEGMENT}'"""
 
 _win = (f"pickup_datetime >= TIMESTAMP '{REFRESH_START}' "
         f"AND pickup_datetime < TIMESTAMP '{REFRESH_END}'")
@@ -119,16 +140,18 @@ ORACLE = {
         + f"S2 AS ({sb.sql_staging('R', REFRESH_START, REFRESH_END)})\n"
         + f"SELECT * FROM S1 WHERE NOT ({_win}) UNION ALL SELECT * FROM S2",
     "load_delete_insert": f"""
-        WITH N AS ({_CHANGES})
-        SELECT * FROM customer WHERE c_custkey NOT IN (SELECT c_custkey FROM N)
+        WITH BASE AS ({_BASE}), N AS ({_CHANGES})
+        SELECT * FROM BASE b WHERE NOT EXISTS (SELECT 1 FROM N WHERE N.c_custkey = b.c_custkey)
         UNION ALL SELECT * FROM N""",
     "load_merge": f"""
-        WITH N AS ({_CHANGES})
+        WITH BASE AS ({_BASE}), N AS ({_CHANGES})
         SELECT o.c_custkey, o.c_name, o.c_nationkey,
-               COALESCE(n.c_acctbal, o.c_acctbal) AS c_acctbal, o.c_mktsegment
-        FROM customer o LEFT JOIN N n ON o.c_custkey = n.c_custkey
+               CASE WHEN n.c_custkey IS NOT NULL THEN n.c_acctbal ELSE o.c_acctbal END AS c_acctbal,
+               CASE WHEN n.c_custkey IS NOT NULL THEN n.c_mktsegment ELSE o.c_mktsegment END
+                 AS c_mktsegment
+        FROM BASE o LEFT JOIN N n ON o.c_custkey = n.c_custkey
         UNION ALL
-        SELECT * FROM N WHERE c_custkey NOT IN (SELECT c_custkey FROM customer)""",
-    "load_full_refresh": _CHANGES,
-    "load_view": "SELECT * FROM customer WHERE c_acctbal >= 0",
+        SELECT * FROM N WHERE NOT EXISTS (SELECT 1 FROM BASE b WHERE b.c_custkey = N.c_custkey)""",
+    "load_full_refresh": f"WITH BASE AS ({_BASE}) {_CHANGES}",
+    "load_view": f"WITH BASE AS ({_BASE}) SELECT * FROM BASE WHERE c_acctbal >= 0",
 }

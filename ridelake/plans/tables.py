@@ -14,8 +14,8 @@ read):
   passengers and distance = quantity, payment type from the return flag,
   fare and total = extended price, tax-like fees = tax, tip and tolls =
   discount.
-* zones ``Z``: nations with their region as borough; nations of one region
-  are left out so some trips have an unknown zone.
+  Sixth lines of an order start in zone 264, which no lookup has.
+* zones ``Z``: all nations with their region as borough.
 * payment lookup ``P``: two fixed rows; payment type 3 stays unmatched.
 * raw ``R``: all trips extracted at T0, plus urgent orders extracted again
   at T1 with changed tips (tip -1 on the first line, else tip + 1).
@@ -36,7 +36,6 @@ from ridelake.sources.files import ensure_parallelism, read_input
 T0 = "2002-01-01 00:00:00"
 T1 = "2002-01-02 00:00:00"
 REEXTRACTED_PRIORITY = "1-URGENT"
-REGION_WITHOUT_ZONES = "MIDDLE EAST"
 SERVICE_ZONE = "Boro Zone"
 PAYMENT_TYPES = [(1, "Credit card"), (2, "Cash")]
 
@@ -50,7 +49,7 @@ _TRIP_COLUMNS = """
     CASE WHEN l.l_linestatus = 'O' THEN 'green' ELSE 'yellow' END AS taxi_type,
     NULLIF(l.l_linenumber, 7) AS vendor_id,
     l.l_linenumber AS rate_code_id,
-    s.s_nationkey AS pickup_location_id,
+    CASE WHEN l.l_linenumber = 6 THEN 264 ELSE s.s_nationkey END AS pickup_location_id,
     o.c_nationkey AS dropoff_location_id,
     o.o_orderdate AS pickup_datetime,
     l.l_shipdate AS dropoff_datetime,
@@ -134,8 +133,7 @@ def zone_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sql(nation, f"""
         SELECT n.n_nationkey AS LocationID, r.r_name AS Borough, n.n_name AS Zone,
                {literal(SERVICE_ZONE)} AS service_zone
-        FROM {{n}} n JOIN {{r}} r ON n.n_regionkey = r.r_regionkey
-        WHERE r.r_name <> {literal(REGION_WITHOUT_ZONES)}""", n=nation, r=region)
+        FROM {{n}} n JOIN {{r}} r ON n.n_regionkey = r.r_regionkey""", n=nation, r=region)
 
 
 def payment_lookup(spark: SparkSession) -> DataFrame:
@@ -229,7 +227,7 @@ SQL_T = f"""
   SELECT CASE WHEN l.l_linestatus = 'O' THEN 'green' ELSE 'yellow' END AS taxi_type,
          NULLIF(l.l_linenumber, 7) AS vendor_id,
          l.l_linenumber AS rate_code_id,
-         s.s_nationkey AS pickup_location_id,
+         CASE WHEN l.l_linenumber = 6 THEN 264 ELSE s.s_nationkey END AS pickup_location_id,
          c.c_nationkey AS dropoff_location_id,
          o.o_orderdate AS pickup_datetime,
          l.l_shipdate AS dropoff_datetime,
@@ -255,7 +253,6 @@ SQL_ZONES = f"""
   SELECT n.n_nationkey AS location_id, r.r_name AS borough, n.n_name AS zone,
          '{SERVICE_ZONE}' AS service_zone
   FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
-  WHERE r.r_name <> '{REGION_WITHOUT_ZONES}'
 """
 
 SQL_PAYMENTS = "SELECT * FROM (VALUES " + ", ".join(

@@ -65,3 +65,9 @@ def has_data_files(spark: SparkSession, path: str) -> bool:
         if not name.startswith(("_", ".")):
             return True
     return False
+
+
+def plain_path(spark: SparkSession, path: str) -> str:
+    """The path part of ``path``, made absolute, without scheme or host."""
+    fs, p = _fs_and_path(spark, path)
+    return fs.makeQualified(p).toUri().getPath()

@@ -3,9 +3,10 @@
 * ``ingest_files``: pick up only files not seen before (the checkpoint holds
   the file log), append them to a parquet sink with exactly-once commits.
 * ``dedup_stream``: the same, dropping re-delivered records whose key was
-  already seen within the watermark delay.
-* ``daily_report_stream``: per-day aggregates kept current in a table; each
-  micro-batch's updated groups are upserted with the merge load strategy.
+  already seen.
+* ``daily_report_stream``: per-day aggregates kept current in a table; the
+  days that a micro-batch touches are recomputed from the source, so events
+  may arrive as late as they like.
 
 All runs use ``trigger(availableNow=True)``: process what is there, then
 stop, so a scheduler can start the same job again and it resumes from its
@@ -14,6 +15,8 @@ checkpoint.  Checkpoints live in the shared scratch folder.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -53,42 +56,47 @@ def _event_time(df: DataFrame, ts_col: str) -> DataFrame:
 
 def dedup_stream(spark: SparkSession, source_dir: str, target: str, checkpoint: str,
                  schema: StructType, keys: list[str], ts_col: str,
-                 delay: str = "7 days") -> None:
-    """First copy of each key wins; state for a key is dropped once the
-    watermark passes its event time plus ``delay``, and copies arriving
-    later than the watermark are discarded."""
-    stream = (_event_time(_source(spark, source_dir, schema), ts_col)
-              .withWatermark(_WM, delay)
-              .dropDuplicatesWithinWatermark(keys)
-              .drop(_WM))
+                 delay: str | None = None) -> None:
+    """First copy of each key wins, however late it arrives: the state keeps
+    every key seen.  With ``delay`` the state of a key is dropped once the
+    watermark passes its event time plus ``delay``; records older than the
+    watermark are then discarded, first copies among them."""
+    source = _source(spark, source_dir, schema)
+    if delay is None:
+        stream = source.dropDuplicates(keys)
+    else:
+        stream = (_event_time(source, ts_col).withWatermark(_WM, delay)
+                  .dropDuplicatesWithinWatermark(keys).drop(_WM))
     _run(stream.writeStream.format("parquet").outputMode("append"), checkpoint, target)
 
 
+def daily_report(events: DataFrame, ts_col: str, group_col: str, value_col: str) -> DataFrame:
+    """Count and sum per day and group."""
+    return (events.groupBy(F.to_date(ts_col).alias("day"), group_col)
+            .agg(F.count(F.lit(1)).alias("n_events"), F.round(F.sum(value_col), 4).alias("value_sum")))
+
+
 def daily_report_stream(spark: SparkSession, source_dir: str, target: str, checkpoint: str,
-                        schema: StructType, ts_col: str, group_col: str, value_col: str,
-                        delay: str = "1 day") -> None:
-    """One-day tumbling windows per group; update mode emits the current
-    value of every group a batch touched, which is upserted by key."""
-    agg = (_event_time(_source(spark, source_dir, schema), ts_col)
-           .withWatermark(_WM, delay)
-           .groupBy(F.window(_WM, "1 day"), F.col(group_col))
-           .agg(F.count(F.lit(1)).alias("n_events"),
-                F.sum(value_col).alias("value_sum")))
-
-    def upsert(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select(
-            F.to_date(F.col("window.start")).alias("day"),
-            F.col(group_col),
-            "n_events",
-            F.round("value_sum", 4).alias("value_sum"),
-            F.trunc(F.to_date(F.col("window.start")), "month").alias("month"))
-        rows = rows.persist()
-        try:
-            if rows.take(1):
-                # one row per (day, group) by construction of the aggregation
-                load.merge(rows, target, ["day", group_col], partition_col="month",
-                           check_keys=False)
-        finally:
-            rows.unpersist()
-
-    _run(agg.writeStream.outputMode("update").foreachBatch(upsert), checkpoint)
+                        schema: StructType, ts_col: str, group_col: str, value_col: str) -> None:
+    """The report of every day, in a table partitioned by day.  Each
+    micro-batch names the days it touches; those days are recomputed from all
+    files delivered so far and replaced, so no event is too late and a repeated
+    batch changes nothing."""
+    def refresh(batch: DataFrame, batch_id: int) -> None:
+        # one value a day
+        days = [r[0] for r in batch.select(F.to_date(ts_col)).distinct().collect()]
+        if not days:
+            return
+        events = spark.read.schema(schema).parquet(source_dir)
+        known = [d for d in days if d is not None]
+        touched = F.to_date(ts_col).isin(known)
+        if None in days:
+            touched = touched | F.col(ts_col).isNull()
+        if known:  # a range that reaches the scan; days between are not recomputed
+            span = (F.col(ts_col) >= F.lit(min(known))) & (
+                F.col(ts_col) < F.lit(max(known) + dt.timedelta(days=1)))
+            events = events.where(span | F.col(ts_col).isNull())
+        load.replace_partitions(daily_report(events.where(touched), ts_col, group_col, value_col),
+                                target, "day", days)
+
+    _run(_source(spark, source_dir, schema).writeStream.foreachBatch(refresh), checkpoint)

@@ -94,3 +94,51 @@ def test_repartition_write_reports_files(spark, sf_dir):
     stats = load.repartition_write(spark.read.parquet(f"{sf_dir}/lineitem.parquet"),
                                    scratch_path(spark, "rp"), 4).first()
     assert stats["num_files"] == 4 and stats["avg_file_mb"] > 0
+
+
+def _seg(spark, path):
+    rows = spark.read.schema("k int, name string, bal double, seg string").parquet(path).collect()
+    return sorted(map(tuple, rows), key=str)
+
+
+def test_row_level_loads_lose_and_double_nothing(spark):
+    old = [(1, "a", 1.0, None), (2, "b", 2.0, "007"), (3, "c", 3.0, "010"), (None, "n", 9.0, "007"),
+           (5, "e", 5.0, "a/b=c")]
+    new = [(2, "B", 20.0, "010"), (4, "d", 4.0, None), (None, "N", 8.0, None), (5, "E", 50.0, None)]
+    for strategy in ("delete_insert", "merge"):
+        target = scratch_path(spark, strategy)
+        _cust(spark, old).write.partitionBy("seg").parquet(target)
+        getattr(load, strategy)(_cust(spark, new), target, ["k"], "seg")
+        assert _seg(spark, target) == sorted([old[0], old[2], old[3], *new], key=str), strategy
+    target = scratch_path(spark, "update")
+    _cust(spark, old).write.partitionBy("seg").parquet(target)
+    load.merge(_cust(spark, new), target, ["k"], "seg", update_columns=["bal", "seg"])
+    assert _seg(spark, target) == sorted(
+        [old[0], (2, "b", 20.0, "010"), old[2], old[3], new[1], new[2], (5, "e", 50.0, None)], key=str)
+
+
+def test_a_failed_write_leaves_the_old_table(spark):
+    target = scratch_path(spark, "keeps")
+    rows = [(1, "a", 1.0, "x"), (2, "b", 2.0, "y")]
+    _cust(spark, rows).write.partitionBy("seg").parquet(target)
+    bad = _cust(spark, rows).withColumn("bal", F.when(F.col("k") == 2, F.raise_error(F.lit("no")).cast("double")).otherwise(1.0))
+    for strategy in (lambda: load.full_refresh(bad, target, ["seg"]),
+                     lambda: load.delete_insert(bad, target, ["k"], "seg"),
+                     lambda: load.merge(bad, target, ["k"], "seg")):
+        with pytest.raises(Exception, match="no"):
+            strategy()
+        assert _seg(spark, target) == rows
+
+
+def test_csv_names_of_any_kind(spark, tmp_path):
+    for name in ("yellow/2019-01.csv", "green/2019-01.csv", "a=1#x.csv", "b %+[1].csv"):
+        path = tmp_path / "in" / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text("v\n" + name + "\n")
+    out = str(tmp_path / "out")
+    schema = spark.createDataFrame([], "v string").schema
+    first = load.csv_to_parquet(spark, str(tmp_path / "in"), out, schema)
+    assert sorted(first) == ["a=1#x", "b %+[1]", "green/2019-01", "yellow/2019-01"]
+    assert load.csv_to_parquet(spark, str(tmp_path / "in"), out, schema) == []
+    rows = spark.read.schema("v string, source string").parquet(out).collect()
+    assert sorted(r.v for r in rows) == sorted(f"{r.source}.csv" for r in rows) and len(rows) == 4
