@@ -51,10 +51,10 @@ def fill_sequences(lengths: np.ndarray, loss_from: np.ndarray, max_tokens: int,
     for i in range(len(lengths) - 1, -1, -1):
         n, quiet = int(lengths[i]), int(min(max(loss_from[i], 0), lengths[i]))
         pool.setdefault((n, quiet), []).append((i, 0))
-    cap = np.array([max_tokens, max_segments, max_loss], float)
     keys = sorted(pool)
-    demand = np.array([[n, 1, n - q] for n, q in keys], float).reshape(-1, 3)
-    alive = np.ones(len(keys), bool)
+    # demands of the classes by column; a cut adds at most one class a sequence
+    size, quiet = (np.array([k[i] for k in keys], np.int64) for i in (0, 1))
+    loss, alive = size - quiet, np.ones(len(keys), bool)
     where = {k: j for j, k in enumerate(keys)}
     out, left = [], len(lengths)
 
@@ -63,39 +63,40 @@ def fill_sequences(lengths: np.ndarray, loss_from: np.ndarray, max_tokens: int,
         alive[j] = bool(pool[keys[j]])
         return item
 
-    def give_back(n, quiet, item):
-        nonlocal demand, alive
-        k = (n, quiet)
+    def give_back(n, still, item):
+        nonlocal size, quiet, loss, alive
+        k = (n, still)
         if k not in where:
             where[k] = len(keys)
             keys.append(k)
             pool[k] = []
-            demand = np.vstack([demand, [n, 1, n - quiet]])
+            size, quiet, loss = np.append(size, n), np.append(quiet, still), np.append(loss, n - still)
             alive = np.append(alive, False)
         pool[k].append(item)
         alive[where[k]] = True
 
     while left:
-        room, seq = cap.copy(), []
-        while left and room[0] > 0 and room[1] > 0:
-            score = (demand / cap) @ (room / cap)
-            score[~(alive & (demand <= room).all(axis=1))] = -1
+        tokens, segments, bearing, seq = max_tokens, max_segments, max_loss, []
+        while left and tokens > 0 and segments > 0:
+            # dot product of demand and room, each as a share of its limit (a
+            # segment is the same demand for all)
+            score = size * (tokens / max_tokens ** 2) + loss * (bearing / max_loss ** 2)
+            score[~(alive & (size <= tokens) & (loss <= bearing))] = -1
             j = int(np.argmax(score))
             if score[j] >= 0:
                 i, at = take(j)
-                n = keys[j][0]
+                n, still = keys[j]
                 left -= 1
-                room -= demand[j]
             else:  # nothing fits whole: cut the longest that can fill the rest
-                fill = np.array([min(room[0], q + room[2]) for _, q in keys]) * alive
-                j = int(np.lexsort((demand[:, 0], fill))[-1])
+                fill = np.minimum(tokens, quiet + bearing) * alive
+                j = int(np.argmax(fill * (1 << 40) + size))
                 n = int(fill[j])
                 if n < 1:
                     break
                 i, at = take(j)
-                size, quiet = keys[j]
-                give_back(size - n, max(quiet - n, 0), (i, at + n))
-                room -= [n, 1, max(n - quiet, 0)]
+                whole, still = keys[j]
+                give_back(whole - n, max(still - n, 0), (i, at + n))
+            tokens, segments, bearing = tokens - n, segments - 1, bearing - max(n - still, 0)
             seq.append((i, at, n))
         out.append(seq)
     return out

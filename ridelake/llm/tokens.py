@@ -3,7 +3,8 @@
 A single space between two non-space characters always begins a new
 pre-token of this tokenizer family, so a text can be cut there and each part
 encoded by itself.  Parts repeat heavily across a corpus: their ids are kept
-per worker in a bounded cache, and only unseen parts reach the library.
+per worker in a bounded cache of two generations (a part in use moves to the
+younger one), and only unseen parts reach the library.
 """
 
 from __future__ import annotations
@@ -32,8 +33,8 @@ class Encoder(dict):
     """Ids of texts as little-endian unsigned 16- or 32-bit bytes (``dtype``).
     As a dict: the ids of parts that follow a space."""
 
-    #: entries kept, and the longest part that is kept (characters)
-    MAX_PARTS, MAX_PART = 800_000, 48
+    #: entries of a generation, and the longest part that is kept (characters)
+    MAX_PARTS, MAX_PART = 400_000, 48
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -43,6 +44,7 @@ class Encoder(dict):
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
         self.model = self.tokenizer.model
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.older: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {"": b""}
         self.letters = str.maketrans({chr(b): c for b, c in _byte_letters().items()})
 
@@ -51,6 +53,10 @@ class Encoder(dict):
                         self.dtype).tobytes()
 
     def __missing__(self, part: str) -> bytes:
+        ids = self.older.get(part)
+        if ids is not None:
+            self[part] = ids
+            return ids
         word = _WORD.fullmatch(part) if len(part) <= self.MAX_PART else None
         if word is None:
             ids = self.bare(" " + part)
@@ -75,6 +81,7 @@ class Encoder(dict):
         self[""] = self.bare(first)
         ids = b"".join(map(self.__getitem__, parts))
         if len(self) > self.MAX_PARTS:
+            self.older = dict(self)
             self.clear()
         return ids
 
