@@ -1,14 +1,5 @@
 """Column-level building blocks (all JVM-side expressions, no UDFs)."""
 
-from ridelake.functions.numeric import (  # noqa: F401
-    MONEY,
-    MONEY_SUM,
-    as_double,
-    money,
-    money_sum,
-    round_half_even_int,
-    to_ntz,
-)
 from ridelake.functions.keys import surrogate_key  # noqa: F401
 from ridelake.functions.time import (  # noqa: F401
     hours_between,

@@ -6,15 +6,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-from ridelake.functions.numeric import MONEY
-
 
 def key_text(col: Column, dtype=None) -> Column:
-    """Text form of a key part: floating values go through decimal(18,3)
-    so the text is ``12345678.000`` rather than engine-specific ``1.2345678E7``."""
+    """Text form of a key part, different for different values.  A floating
+    value keeps all digits of its shortest form: in plain notation without
+    trailing zeros (``12345678``, ``0.07``) where that holds them all, else in
+    scientific notation."""
+    text = col.cast("string")
     if isinstance(dtype, (DoubleType, FloatType)):
-        col = col.cast(MONEY)
-    return F.coalesce(col.cast("string"), F.lit(""))
+        size = F.abs(col)
+        plain = F.regexp_replace(text.cast("decimal(38,22)").cast("string"), r"\.?0+$", "")
+        text = F.when(col == 0, F.lit("0")).when((size >= 1e-5) & (size < 1e15), plain).otherwise(text)
+    return F.coalesce(text, F.lit(""))
 
 
 def surrogate_key(df, cols: list[str], sep: str = "-") -> Column:

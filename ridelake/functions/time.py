@@ -13,14 +13,10 @@ def _c(col) -> Column:
 
 
 def parse_day(value) -> dt.date:
-    """ISO day of a run parameter; a missing value is an error."""
-    if value is None or value == "":
-        raise ValueError("missing required run date")
-    if isinstance(value, dt.datetime):
-        return value.date()
-    if isinstance(value, dt.date):
-        return value
-    return dt.datetime.strptime(str(value), "%Y-%m-%d").date()
+    """The day of a run parameter (a date, a datetime or an ISO text)."""
+    if not value:
+        raise ValueError("a run needs its date")
+    return dt.date.fromisoformat(str(value)[:10])
 
 
 def _ts_lit(value) -> Column:

@@ -65,7 +65,7 @@ def _failing_sql(check: Check) -> str:
     if check.name == "positive":
         return f"{c} <= 0"
     if check.name == "accepted_values":
-        values = ", ".join(literal(v) for v in check.values)
+        values = ", ".join(_text(v) for v in check.values)
         return f"{c} IS NOT NULL AND {c} NOT IN ({values})"
     raise ValueError(f"not a row-level check: {check.name}")
 
@@ -91,8 +91,10 @@ def run_checks(df: DataFrame, checks: list[Check], table_name: str = "",
             parts.append(f"SELECT 'unique', {literal(','.join(c.columns))}, COUNT(1) FROM "
                          f"(SELECT 1 FROM {{src}} GROUP BY {keys} HAVING COUNT(1) > 1)")
         elif c.query is not None:
-            parts.append(f"SELECT {literal(c.name)}, '', CASE WHEN ({c.query}) = "
-                         f"{literal(c.expected)} THEN 0 ELSE 1 END")
+            # braces of the user's text are not placeholders, but for {src}
+            query = c.query.replace("{", "{{").replace("}", "}}").replace("{{src}}", "{src}")
+            parts.append(f"SELECT {_text(c.name)}, '', CASE WHEN ({query}) = "
+                         f"{_text(c.expected)} THEN 0 ELSE 1 END")
         elif c.name not in ROW_LEVEL:
             raise ValueError(f"unknown check {c.name}")
     if not parts:
@@ -106,10 +108,15 @@ def run_checks(df: DataFrame, checks: list[Check], table_name: str = "",
     return out
 
 
+def _text(value) -> str:
+    """A literal inside a statement with placeholders."""
+    return literal(value).replace("{", "{{").replace("}", "}}")
+
+
 def _wrap(table_name: str, parts: list[str]) -> str:
     named = [f"SELECT * FROM ({p}) AS q{i}(check_name, column_name, failures)"
              for i, p in enumerate(parts)]
-    return (f"SELECT {literal(table_name)} AS table_name, CAST(check_name AS STRING) AS "
+    return (f"SELECT {_text(table_name)} AS table_name, CAST(check_name AS STRING) AS "
             f"check_name, CAST(column_name AS STRING) AS column_name, "
             f"CAST(failures AS BIGINT) AS failures, failures = 0 AS passed "
             f"FROM ({' UNION ALL '.join(named)})")
@@ -119,27 +126,24 @@ def check_schema(df: DataFrame, contract: StructType) -> DataFrame:
     """Declared columns, types and nullability against the frame.
 
     One row per column: expected and actual type, whether they match, and
-    for columns the contract declares non-nullable the number of NULL rows
-    (counted in one aggregation pass over the data).  Columns the frame has
-    but the contract lacks are reported too.
+    for columns the contract declares non-nullable the number of NULL rows.
+    Columns the frame has but the contract lacks are reported too.  One
+    aggregation pass counts everything; its single row is then stacked.
     """
-    actual = {f.name.lower(): (f.name, f.dataType.simpleString()) for f in df.schema.fields}
-    required = [f for f in contract.fields if not f.nullable and f.name.lower() in actual]
-    counts = ", ".join(f"count_if({ident(actual[f.name.lower()][0])} IS NULL) AS {ident(f.name)}"
-                       for f in required) or "0 AS _none"
-    rows = []
-    for f in contract.fields:
-        got = actual.get(f.name.lower(), (None, None))[1]
-        nulls = f"CAST(n.{ident(f.name)} AS BIGINT)" if f in required else "CAST(NULL AS BIGINT)"
-        rows.append(f"SELECT {literal(f.name)} AS column_name, "
-                    f"{literal(f.dataType.simpleString())} AS expected_type, "
-                    f"CAST({literal(got)} AS STRING) AS actual_type, "
-                    f"{literal(got == f.dataType.simpleString())} AS matches, "
-                    f"{nulls} AS null_rows FROM n")
+    actual = {f.name.lower(): f for f in df.schema.fields}
     declared = {f.name.lower() for f in contract.fields}
-    for key, (name, typ) in actual.items():
-        if key not in declared:
-            rows.append(f"SELECT {literal(name)}, CAST(NULL AS STRING), {literal(typ)}, FALSE, "
-                        f"CAST(NULL AS BIGINT) FROM n")
-    return sql(df, f"WITH n AS (SELECT {counts} FROM {{src}}) " + " UNION ALL ".join(rows),
+    pairs = [(f, actual.get(f.name.lower())) for f in contract.fields]
+    pairs += [(None, f) for key, f in actual.items() if key not in declared]
+    counts, rows = ["COUNT(1) AS n"], []
+    for i, (want, got) in enumerate(pairs):
+        expected = want.dataType.simpleString() if want else None
+        found = got.dataType.simpleString() if got else None
+        nulls = "CAST(NULL AS BIGINT)"
+        if want and got and not want.nullable:
+            counts.append(f"count_if({ident(got.name)} IS NULL) AS c{i}")
+            nulls = f"c{i}"
+        rows.append(f"{literal((want or got).name)}, CAST({literal(expected)} AS STRING), "
+                    f"CAST({literal(found)} AS STRING), {literal(expected == found)}, {nulls}")
+    return sql(df, f"SELECT stack({len(rows)}, {', '.join(rows)}) AS (column_name, expected_type, "
+                   f"actual_type, matches, null_rows) FROM (SELECT {', '.join(counts)} FROM {{src}})",
                src=df)

@@ -35,11 +35,6 @@ def row_number_sql(columns: list[str], keys, order_by) -> str:
     return f"ROW_NUMBER() OVER (PARTITION BY {part} ORDER BY {order_sql(columns, keys, order_by)})"
 
 
-def number_rows(df: DataFrame, keys, order_by, rn: str = "rn") -> DataFrame:
-    rownum = row_number_sql(df.columns, keys, order_by)
-    return sql(df, f"SELECT *, {rownum} AS {ident(rn)} FROM {{src}}", src=df)
-
-
 def keep_first(df: DataFrame, keys, order_by) -> DataFrame:
     """``DISTINCT ON (keys) ... ORDER BY keys, order_by`` (first wins)."""
     rownum = row_number_sql(df.columns, keys, order_by)

@@ -122,11 +122,6 @@ CANDIDATES = {
 }
 
 
-def lower_columns(df: DataFrame) -> DataFrame:
-    """All column names lower-cased (one projection, no data movement)."""
-    return df.toDF(*[c.lower() for c in df.columns])
-
-
 def resolve(df: DataFrame, name: str, columns: list[str] | None = None) -> str | None:
     """Actual column name of ``name`` in ``df``, matched case-insensitively."""
     lower = name.lower()
@@ -176,16 +171,6 @@ def stg_fhv(raw: DataFrame) -> DataFrame:
     return project(raw, FHV_STAGING, required=["dispatching_base_num"])
 
 
-def pick(df: DataFrame, dtype, *candidates: str) -> Column:
-    """First present candidate column (decided from the schema, not per row),
-    else an all-NULL column of ``dtype``."""
-    for name in candidates:
-        actual = resolve(df, name)
-        if actual is not None:
-            return F.col(actual).cast(dtype)
-    return F.lit(None).cast(dtype)
-
-
 def standardize(df: DataFrame, taxi_type: str, extracted_at) -> DataFrame:
     """Any trip source -> the canonical 21 columns in fixed order.
 

@@ -23,7 +23,7 @@ BUSY_DAY = "1997-02-01"
 TIP_PICKUP_ZONE = "NATION_1"
 RANGE_LO, RANGE_HI = "1997-03-01", "1997-03-15"
 LINE_KEY = ["l_orderkey", "l_linenumber"]
-SURROGATE_COLS = ["l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", "l_extendedprice"]
+SURROGATE_COLS = ["l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", "unit_price"]
 FHV_KEY = ["dispatching_base_num", "pickup_datetime", "dropOff_datetime",
            "PUlocationID", "DOlocationID"]
 
@@ -125,6 +125,7 @@ def q_distinct_pickup_locations(spark, sf):
 
 def q_surrogate_key(spark, sf):
     li = tb.table(spark, sf, "lineitem")
+    li = li.withColumn("unit_price", F.col("l_extendedprice") / F.col("l_quantity"))
     return li.select(*LINE_KEY, surrogate_key(li, SURROGATE_COLS).alias("trip_id"))
 
 
@@ -189,9 +190,10 @@ def _md5(cols, rel=""):
     parts = []
     for c in cols:
         expr = f"{rel}{c}"
-        if c in ("l_extendedprice",):
-            expr = f"CAST({expr} AS DECIMAL(18,3))"
-        parts.append(f"COALESCE(CAST({expr} AS VARCHAR), '')")
+        text = f"CAST({expr} AS VARCHAR)"
+        if c == "unit_price":  # a double with all its digits
+            text = f"regexp_replace(CAST(l_extendedprice / l_quantity AS VARCHAR), '\\.0$', '')"
+        parts.append(f"COALESCE({text}, '')")
     return "md5(" + " || '-' || ".join(parts) + ")"
 
 

@@ -44,3 +44,28 @@ def test_schema_contract(spark):
     assert not rows["a"]["matches"] and rows["b"]["matches"]
     assert rows["c"]["actual_type"] is None and not rows["extra"]["matches"]
     assert rows["b"]["null_rows"] == 1 and rows["a"]["null_rows"] is None
+
+
+def test_custom_query_and_values_may_hold_braces(spark):
+    from ridelake.operators import checks
+
+    df = spark.createDataFrame([("{a}",), ("b",)], "x string")
+    got = checks.run_checks(df, [checks.sql_equals("braces", "SELECT COUNT(*) FROM {src} WHERE x = '{a}'", 1),
+                                 checks.accepted_values("x", ["{a}", "b"])], "t{1}").collect()
+    assert all(r.passed for r in got) and {r.table_name for r in got} == {"t{1}"}
+
+
+def test_schema_contract_is_one_aggregation(spark):
+    from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
+
+    from ridelake.operators import checks
+
+    df = spark.createDataFrame([(1, None, 2)], "a int, b string, extra long").repartition(3)
+    out = checks.check_schema(df, StructType([
+        StructField("a", LongType(), False), StructField("b", StringType(), False),
+        StructField("gone", IntegerType(), False)]))
+    assert [tuple(r) for r in out.collect()] == [
+        ("a", "bigint", "int", False, 0), ("b", "string", "string", True, 1),
+        ("gone", "int", None, False, None), ("extra", None, "bigint", False, None)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") == 1 and "Union" not in plan

@@ -4,28 +4,27 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from ridelake.operators.staging import typed_sql
 from ridelake.functions import (
     hours_between,
     in_window,
-    money,
     month_start,
     on_day,
     parse_day,
-    round_half_even_int,
     surrogate_key,
 )
 
 
 def test_integer_cast_rounds_half_to_even(spark):
     df = spark.createDataFrame([(1.5,), (2.5,), (-1.7,), (None,)], "x double")
-    got = [r[0] for r in df.select(round_half_even_int("x")).collect()]
+    got = [r[0] for r in df.selectExpr(typed_sql("x", "int")).collect()]
     assert got == [2, 2, -2, None]
 
 
 def test_money_keeps_cents(spark):
     df = spark.createDataFrame([(12.345,), (0.1,)], "x double")
-    assert [r[0] for r in df.select(money("x")).collect()] == [Decimal("12.345"),
-                                                               Decimal("0.100")]
+    assert [r[0] for r in df.selectExpr(typed_sql("x", "money")).collect()] == [
+        Decimal("12.345"), Decimal("0.100")]
 
 
 def test_window_edges_half_open(spark):
@@ -74,8 +73,12 @@ def test_surrogate_key_null_and_empty_collide(spark):
     assert keys[0] == keys[1] != keys[2]
 
 
-def test_surrogate_key_formats_doubles_as_decimals(spark):
-    df = spark.createDataFrame([(12345678.0,)], "x double")
-    got = df.select(surrogate_key(df, ["x"])).first()[0]
+def test_distinct_doubles_have_distinct_keys(spark):
+    values = [1.0001, 1.0002, 1e16, 1e16 + 2, 12345678.0, 0.07, 1e-7, 0.0, -0.5, 1 / 3, 1e-5 / 3, None,
+              float("nan"), float("inf"), 123456789012345.6]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    keys = [r[0] for r in df.select(surrogate_key(df, ["x"])).collect()]
+    assert len(set(keys)) == len(values)
     import hashlib
-    assert got == hashlib.md5(b"12345678.000").hexdigest()
+
+    assert keys[4] == hashlib.md5(b"12345678").hexdigest() and keys[5] == hashlib.md5(b"0.07").hexdigest()

@@ -54,9 +54,3 @@ def test_project_reports_missing_source(spark):
 def test_no_files_gives_typed_empty_frame(spark):
     e = empty_canonical(spark)
     assert e.count() == 0 and e.columns == CANONICAL_COLUMNS
-
-
-def test_lower_columns(spark):
-    from ridelake.operators.staging import lower_columns
-    df = spark.createDataFrame([(1, 2)], "PULocationID int, Airport_fee int")
-    assert lower_columns(df).columns == ["pulocationid", "airport_fee"]
