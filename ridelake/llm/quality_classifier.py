@@ -262,7 +262,7 @@ class Model:
         return out
 
 
-def train(docs: DataFrame, labels: DataFrame, max_train: int = 10_000) -> Model:
+def train(docs: DataFrame, labels: DataFrame, max_train: int = 8_000) -> Model:
     """Fit the label models on the vote patterns of all ``docs`` and the two
     scorers on at most ``max_train`` of them."""
     spark = docs.sparkSession
@@ -279,8 +279,10 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = 10_000) -> Model:
     rows = got.num_rows
     code = got["code"].to_numpy()
     lists = got["features"].combine_chunks()
-    feature = lists.flatten().to_numpy().astype(np.int64)
-    row = np.repeat(np.arange(rows), np.diff(lists.offsets.to_numpy())) if rows else np.zeros(0, np.int64)
+    # 32-bit: the sample is what the driver's memory is for
+    feature = lists.flatten().to_numpy()
+    row = np.repeat(np.arange(rows, dtype=np.int32), np.diff(lists.offsets.to_numpy())) if rows \
+        else np.zeros(0, np.int32)
     low, tox = (np.nan_to_num(got[c].to_numpy().astype(float), nan=-1) for c in ("quality", "toxic"))
 
     # two word lists, each learnt from one half of the rows with a toxic label;
@@ -334,7 +336,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = 10_000) -> Model:
     return Model(fit_scorer(*own, target[single]), fit_scorer(*own, toxic[single]))
 
 
-def classify(docs: DataFrame, labels: DataFrame, max_train: int = 10_000, limit: float = 0.5,
+def classify(docs: DataFrame, labels: DataFrame, max_train: int = 8_000, limit: float = 0.5,
              keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Columns ``keep`` of every row, with ``p_low``, ``p_toxic`` and ``kept``
     (both below ``limit``).
