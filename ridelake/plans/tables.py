@@ -28,9 +28,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ridelake.functions.sqltext import broadcast_hint, literal, sql
-from ridelake.operators.joins import broadcast_limit, estimated_bytes
 from ridelake.operators.staging import standardize
-from ridelake.sources.files import ensure_parallelism, read_input
+from ridelake.sources.files import read_input
 
 # Fixed values of the adapters.
 T0 = "2002-01-01 00:00:00"
@@ -81,11 +80,6 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     supplier = table(spark, sf_dir, "supplier")
     customer = table(spark, sf_dir, "customer")
-    if estimated_bytes(orders) <= broadcast_limit(spark):
-        # orders will be broadcast, so the line items flow through three
-        # narrow joins into a pre-shuffle sort: spread them if they arrived
-        # as too few splits (a no-op on large inputs)
-        li = ensure_parallelism(li)
     # customers join orders on the customer key, so the subquery has at most
     # as many rows as orders: the orders estimate bounds its size (Catalyst's
     # own estimate of a join without statistics is the product of its inputs)

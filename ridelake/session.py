@@ -3,7 +3,8 @@
 All intermediate tables that a job writes (staged loads, landing files
 built from the input tables, stream checkpoints) go below the folder the
 cluster names in ``spark.checkpoint.dir``.  A machine-local temporary
-folder is used only when the session has none configured (unit tests).
+folder is used only in local mode when none is named (unit tests); on a
+cluster its absence is an error.
 """
 
 from __future__ import annotations
@@ -98,6 +99,8 @@ def scratch_root(spark: SparkSession) -> str:
         return current.rstrip("/")
     named = sc.getConf().get("spark.checkpoint.dir", None)
     if not named:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="ridelake-ckpt-")
     sc.setCheckpointDir(named)
     return sc.getCheckpointDir().rstrip("/")

@@ -68,25 +68,6 @@ def read_input(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def ensure_parallelism(df: DataFrame, min_bytes: int = 8 * 1024 * 1024) -> DataFrame:
-    """Spread the rows of a large input that arrived as too few splits.
-
-    Files that cannot be split (one row group, gzip) are read by one task
-    each; narrow work fused onto that scan (broadcast joins, projections, a
-    pre-shuffle sort) then runs on a few cores.  When the scan has fewer
-    partitions than the cluster's default parallelism and the input is not
-    small, the rows are spread once.  On a large input (many splits) this is
-    a no-op.  Callers use it only where the next operators are narrow: a
-    shuffle right after the scan spreads the rows anyway.
-    """
-    from ridelake.operators.joins import estimated_bytes
-
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if estimated_bytes(df) < min_bytes or df._jdf.rdd().getNumPartitions() >= target:
-        return df
-    return df.repartition(target)
-
-
 def read_csv(spark: SparkSession, *paths: str, schema: StructType | str | None = None,
              header: bool = True, infer: bool = False, repartition: int | None = None,
              **options) -> DataFrame:

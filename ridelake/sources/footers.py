@@ -2,8 +2,8 @@
 
 The file list becomes a small DataFrame and ``mapInPandas`` opens each
 file's footer in a task, so metadata work is spread over the cluster
-instead of running file by file on the driver.  Only one row per file (or
-per column chunk) comes back.
+instead of running file by file on the driver.  Only one row per file comes
+back.
 """
 
 from __future__ import annotations
@@ -53,28 +53,3 @@ def footer_schemas(spark: SparkSession, files: list[str]) -> dict[str, StructTyp
     the one derived from the parquet types)."""
     rows = file_listing(spark, files).mapInPandas(_schemas, "path string, schema_json string")
     return {r["path"]: StructType.fromJson(json.loads(r["schema_json"])) for r in rows.collect()}
-
-
-def _chunks(batches):
-    import pandas as pd
-    import pyarrow.parquet as pq
-
-    for pdf in batches:
-        out = []
-        for uri in pdf["path"]:
-            with _open(uri) as fh:
-                md = pq.ParquetFile(fh).metadata
-            for g in range(md.num_row_groups):
-                rg = md.row_group(g)
-                for c in range(rg.num_columns):
-                    chunk = rg.column(c)
-                    out.append((uri, chunk.path_in_schema, chunk.total_compressed_size,
-                                chunk.total_uncompressed_size, rg.num_rows))
-        yield pd.DataFrame(out, columns=["path", "column_name", "compressed",
-                                         "uncompressed", "rows"])
-
-
-def column_chunks(spark: SparkSession, files: list[str]) -> DataFrame:
-    """One row per column chunk: file, column, compressed and raw bytes, rows."""
-    return file_listing(spark, files).mapInPandas(
-        _chunks, "path string, column_name string, compressed long, uncompressed long, rows long")
