@@ -274,7 +274,10 @@ ORACLE = {
         SELECT DISTINCT vendor_id FROM T WHERE taxi_type = 'yellow'
           AND dropoff_datetime BETWEEN TIMESTAMP '{RANGE_LO}' AND TIMESTAMP '{RANGE_HI}'""", "T"),
     "standardize_trips": tb.with_ctes(tb.sql_canonical("T", tb.T0), "T"),
-    "ingest_trips": tb.with_ctes(tb.sql_canonical("T", tb.T0), "T"),
+    "ingest_trips": tb.with_ctes(f"""
+        SELECT * REPLACE (CASE WHEN taxi_type = 'yellow' AND year(pickup_datetime) = {landing.NO_FEE_YEAR}
+                               THEN NULL ELSE airport_fee END AS airport_fee)
+        FROM ({tb.sql_canonical("T", tb.T0)})""", "T"),
     "rerun_idempotent": tb.with_ctes("", "T", "P").rstrip()
         + f",\nR1 AS ({tb.sql_canonical('T', tb.T0)})\n"
         + sb.sql_staging("R1", models.RUN_START, models.RUN_END),

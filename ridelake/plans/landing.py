@@ -7,9 +7,12 @@ and green keep their own column names.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ridelake.operators.staging import empty_canonical, standardize
 from ridelake.plans import tables as tb
@@ -20,20 +23,29 @@ PATTERN = "{root}/taxi_type={type}/month={year}-{month}"
 PICKUP = {"yellow": "tpep_pickup_datetime", "green": "lpep_pickup_datetime"}
 
 
+#: Fixed drift of the yellow source: no fee column in the first year, whole
+#: passenger counts in the next.
+NO_FEE_YEAR, WHOLE_COUNT_YEAR = 1992, 1993
+
+
 def build(spark: SparkSession, sf: str) -> str:
-    """Write the monthly files of both types.  The trip join feeds both
-    writes, so it is kept (memory, spilling to disk) for their duration and
-    released after; a lost block is recomputed from its lineage."""
+    """Write the monthly files of both types.  The yellow source changes its
+    columns and types over the years, as monthly files do."""
     root = scratch_path(spark, "landing")
-    t = tb.trips(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        for typ, raw in (("yellow", tb.yellow_raw(t)), ("green", tb.green_raw(t))):
-            ts = PICKUP[typ]
-            (raw.withColumn("month", F.date_format(ts, "yyyy-MM"))
-                .hint("rebalance", "month")
-                .write.partitionBy("month").parquet(f"{root}/taxi_type={typ}"))
-    finally:
-        t.unpersist()
+    t = tb.trips(spark, sf)
+
+    def write(raw: DataFrame, typ: str) -> None:
+        (raw.withColumn("month", F.date_format(PICKUP[typ], "yyyy-MM"))
+            .hint("rebalance", "month")
+            .write.mode("append").partitionBy("month").parquet(f"{root}/taxi_type={typ}"))
+
+    yellow, year = tb.yellow_raw(t), F.year(PICKUP["yellow"])
+    drifted = [NO_FEE_YEAR, WHOLE_COUNT_YEAR]
+    write(yellow.where(~year.isin(drifted) | year.isNull()), "yellow")
+    write(yellow.where(year == NO_FEE_YEAR).drop("Airport_fee"), "yellow")
+    write(yellow.where(year == WHOLE_COUNT_YEAR)
+          .withColumn("passenger_count", F.col("passenger_count").cast("long")), "yellow")
+    write(tb.green_raw(t), "green")
     return root
 
 
@@ -49,39 +61,53 @@ def _planned_months(spark: SparkSession, root: str, typ: str, start, end) -> lis
     return [f"{m.year}-{m.month:02d}" for _, m, p in planned if p in have]
 
 
-def _read_months(spark: SparkSession, root: str, typ: str, months: list[str]) -> DataFrame:
-    """One scan of the type's folder, pruned to the planned months."""
-    return (spark.read.parquet(f"{root}/taxi_type={typ}")
-            .filter(F.col("month").cast("string").isin(months)))
+def _folder(root: str, typ: str, month: str) -> str:
+    return f"{root}/taxi_type={typ}/month={month}"
+
+
+def _by_schema(spark: SparkSession, root: str, typ: str,
+               months: list[str]) -> list[tuple[StructType, list[str]]]:
+    """Months that share a schema.  One footer a month is read (as many as the
+    window has months), several at a time."""
+    with ThreadPoolExecutor(8) as pool:
+        schemas = list(pool.map(lambda m: spark.read.parquet(_folder(root, typ, m)).schema, months))
+    groups: dict[str, tuple[StructType, list[str]]] = {}
+    for month, schema in zip(months, schemas):
+        groups.setdefault(schema.json(), (schema, []))[1].append(month)
+    return list(groups.values())
+
+
+def _read_months(spark: SparkSession, root: str, typ: str, months: list[str],
+                 schema: StructType | None = None) -> DataFrame:
+    """One scan of the type's folder, pruned to ``months``; without a schema
+    only the folder names are read."""
+    fields = list(schema.fields) if schema else []
+    full = StructType([*fields, StructField("month", StringType())])
+    return (spark.read.schema(full).parquet(f"{root}/taxi_type={typ}")
+            .filter(F.col("month").isin(months)))
 
 
 def ingest(spark: SparkSession, root: str, start, end, types: list[str],
            extracted_at: str) -> DataFrame:
-    """Months of the window x types -> existing files -> one scan per type ->
-    canonical columns -> one stacked frame (empty but typed when no file)."""
+    """Months of the window x types -> existing files -> one scan per type and
+    schema, each standardised by its own columns -> one stacked frame (empty
+    but typed when no file)."""
     frames = []
     for typ in types:
         months = _planned_months(spark, root, typ, start, end)
-        if months:
-            frames.append(standardize(_read_months(spark, root, typ, months), typ, extracted_at))
-    if not frames:
-        return empty_canonical(spark)
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+        for schema, own in _by_schema(spark, root, typ, months):
+            frames.append(standardize(_read_months(spark, root, typ, own, schema), typ, extracted_at))
+    return reduce(DataFrame.unionByName, frames) if frames else empty_canonical(spark)
 
 
 def read_counts(spark: SparkSession, root: str, start, end, types: list[str]) -> DataFrame:
     """Rows per (type, month) of all existing files in the window: one scan
     per type, the month taken from the folder name."""
-    frames = []
+    frames = [spark.createDataFrame([], "taxi_type string, month string")]
     for typ in types:
         months = _planned_months(spark, root, typ, start, end)
         if months:
             frames.append(_read_months(spark, root, typ, months).select(
-                F.lit(typ).alias("taxi_type"), F.col("month").cast("string").alias("month")))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out.groupBy("taxi_type", "month").agg(F.count(F.lit(1)).alias("rows"))
+                F.lit(typ).alias("taxi_type"), "month"))
+    return (reduce(DataFrame.unionByName, frames)
+            .groupBy("taxi_type", "month").agg(F.count(F.lit(1)).alias("rows")))
