@@ -7,7 +7,6 @@ and green keep their own column names.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +16,9 @@ from pyspark.sql.types import StringType, StructField, StructType
 from ridelake.operators.staging import empty_canonical, standardize
 from ridelake.plans import tables as tb
 from ridelake.session import scratch_path
+from ridelake.sources import fs
 from ridelake.sources.files import existing, month_paths
+from ridelake.sources.footers import footer_schemas
 
 PATTERN = "{root}/taxi_type={type}/month={year}-{month}"
 PICKUP = {"yellow": "tpep_pickup_datetime", "green": "lpep_pickup_datetime"}
@@ -67,10 +68,14 @@ def _folder(root: str, typ: str, month: str) -> str:
 
 def _by_schema(spark: SparkSession, root: str, typ: str,
                months: list[str]) -> list[tuple[StructType, list[str]]]:
-    """Months that share a schema.  One footer a month is read (as many as the
-    window has months), several at a time."""
-    with ThreadPoolExecutor(8) as pool:
-        schemas = list(pool.map(lambda m: spark.read.parquet(_folder(root, typ, m)).schema, months))
+    """Months that share a schema.  One footer a month is read, by executors (as
+    many as the window has months)."""
+    files = []
+    for month in months:
+        names = fs.list_names(spark, _folder(root, typ, month))
+        files.append(f"{_folder(root, typ, month)}/" + min(n for n in names if n.endswith(".parquet")))
+    found = footer_schemas(spark, files) if files else {}
+    schemas = [found[f] for f in files]
     groups: dict[str, tuple[StructType, list[str]]] = {}
     for month, schema in zip(months, schemas):
         groups.setdefault(schema.json(), (schema, []))[1].append(month)
