@@ -2,10 +2,10 @@
 
 A Python data source whose read work happens in executors.  The pages are
 striped over ``partitions`` input partitions: partition ``i`` fetches pages
-``start + i``, ``start + i + n``, ... and stops at its first empty page.
-Because pages are contiguous, every stripe stops right after the last page
-and every record is read exactly once, without the driver probing for the
-page count first.
+``start + i``, ``start + i + n``, ... and stops at its first empty page, which
+it reports.  ``read_pages`` keeps what was fetched in the shared folder (a lost
+executor fetches nothing again) and drops what lies beyond the first empty
+page of all stripes.  One Arrow batch a page.
 
 Options:
   url         page address with a ``{page}`` placeholder; ``http(s)://``
@@ -13,7 +13,7 @@ Options:
               a folder of JSON-lines files (the test double of the API)
   start_page  first page (default 1)
   end_page    last page to fetch at most (optional)
-  partitions  number of stripes (default 4)
+  partitions  number of stripes (by default the cores of the cluster)
 The schema must be given with ``.schema(...)``.
 """
 
@@ -22,8 +22,14 @@ from __future__ import annotations
 import datetime as dt
 import json
 
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from ridelake.session import scratch_path
+
+#: Column that numbers the page of a row.
+PAGE = "_page"
+
 
 class _Stripe(InputPartition):
     def __init__(self, index: int, count: int):
@@ -77,19 +83,28 @@ class PagedJsonReader(DataSourceReader):
         self.start = int(options.get("start_page", 1))
         self.end = int(options["end_page"]) if options.get("end_page") else None
         self.n = max(1, int(options.get("partitions", 4)))
-        self.fields = [(f.name, _converter(f.dataType.simpleString())) for f in schema.fields]
+        self.fields = [(f.name, _converter(f.dataType.simpleString())) for f in schema.fields
+                       if f.name != PAGE]
+        self.spark_schema = schema
 
     def partitions(self):
         return [_Stripe(i, self.n) for i in range(self.n)]
 
     def read(self, partition):
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        schema = to_arrow_schema(self.spark_schema)
         page = self.start + partition.index
         while self.end is None or page <= self.end:
             records = _fetch(self.url, page)
+            # an empty page is one row without values, under its negative number
+            columns = {name: [conv(r.get(name)) for r in records or [{}]] for name, conv in self.fields}
+            columns[PAGE] = [page] * len(records) or [-page]
+            yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema],
+                                             schema=schema)
             if not records:
                 break
-            for rec in records:
-                yield tuple(conv(rec.get(name)) for name, conv in self.fields)
             page += partition.count
 
 
@@ -109,12 +124,18 @@ def register(spark) -> None:
     spark.dataSource.register(PagedJsonDataSource)
 
 
-def read_pages(spark, url: str, schema: str, partitions: int = 4, start_page: int = 1,
+def read_pages(spark, url: str, schema: str, partitions: int | None = None, start_page: int = 1,
                end_page: int | None = None):
     register(spark)
-    reader = (spark.read.format("paged_json").schema(schema)
-              .option("url", url).option("partitions", partitions)
+    reader = (spark.read.format("paged_json").schema(f"{schema}, {PAGE} bigint")
+              .option("url", url)
+              .option("partitions", partitions or spark.sparkContext.defaultParallelism)
               .option("start_page", start_page))
     if end_page is not None:
         reader = reader.option("end_page", end_page)
-    return reader.load()
+    path = scratch_path(spark, "paged")
+    reader.load().write.parquet(path)
+    rows = spark.read.parquet(path)
+    last = rows.where(F.col(PAGE) < 0).agg(F.max(PAGE)).first()[0]
+    kept = rows.where(F.col(PAGE) >= 0) if last is None else rows.where(F.col(PAGE).between(0, -last - 1))
+    return kept.drop(PAGE)

@@ -54,6 +54,14 @@ def test_paged_source_reads_every_page_once(spark, tmp_path):
     assert capped.count() == 6
 
 
+def test_paged_source_stops_at_the_first_gap(spark, tmp_path):
+    pages = [[{"id": p * 10 + i, "name": None} for i in range(3)] for p in range(2)] + [[], [{"id": 99}]]
+    _write_pages(str(tmp_path), pages)
+    for parts in (1, 2, 3, 4):
+        df = paged.read_pages(spark, str(tmp_path) + "/page={page}", "id bigint, name string", partitions=parts)
+        assert sorted(r["id"] for r in df.collect()) == [0, 1, 2, 10, 11, 12]
+
+
 def test_seed_and_inventory(spark):
     root = scratch_path(spark, "seed-test")
     spark.createDataFrame([(1, "Credit card"), (2, "Cash")], "id int, name string") \
