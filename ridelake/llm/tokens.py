@@ -34,7 +34,7 @@ class Encoder(dict):
     As a dict: the ids of parts that follow a space."""
 
     #: entries of a generation, and the longest part that is kept (characters)
-    MAX_PARTS, MAX_PART = 400_000, 48
+    MAX_PARTS, MAX_PART = 500_000, 48
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -52,6 +52,11 @@ class Encoder(dict):
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids,
                         self.dtype).tobytes()
 
+    def word(self, word: str) -> bytes:
+        """Ids of letters alone, or after a space: one pre-token."""
+        spelt = word.encode().decode("latin-1").translate(self.letters)
+        return np.array([t.id for t in self.model.tokenize(spelt)], self.dtype).tobytes()
+
     def __missing__(self, part: str) -> bytes:
         ids = self.older.get(part)
         if ids is not None:
@@ -65,8 +70,7 @@ class Encoder(dict):
                 self.marks[word[2]] = self.bare(word[2])
             ids = self[word[1]] + self.marks[word[2]]
         else:
-            spelt = (" " + part).encode().decode("latin-1").translate(self.letters)
-            ids = np.array([t.id for t in self.model.tokenize(spelt)], self.dtype).tobytes()
+            ids = self.word(" " + part)
         if len(part) <= self.MAX_PART:
             self[part] = ids
         return ids
@@ -78,7 +82,8 @@ class Encoder(dict):
             parts = text.split(" ")
         first = parts[0]
         parts[0] = ""
-        self[""] = self.bare(first)
+        plain = len(first) <= self.MAX_PART and _WORD.fullmatch(first)
+        self[""] = self.word(first) if plain and not plain[2] else self.bare(first)
         ids = b"".join(map(self.__getitem__, parts))
         if len(self) > self.MAX_PARTS:
             self.older = dict(self)
