@@ -7,9 +7,9 @@ bucket.  The score of a document is the sum of the log-probabilities of all
 its words, each given its own window with itself masked.
 
 Training is data-parallel: every task starts from the same weights, takes one
-pass of Adagrad steps in numpy over a share of the words of all its documents
-as masked targets, and hands in its weights; Spark averages them piece by
-piece, weighted by the words seen, in two levels.  Only the averaged model
+pass of Adagrad steps in numpy with every word of all its documents as a
+masked target, and hands in its weights; Spark averages them piece by piece,
+weighted by the words seen, in two levels.  Only the averaged model
 (of fixed size) reaches the driver.  Each round trains on another part of the
 documents, all rounds together on every one.
 """
@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (mix64, prepare, span_hashes, split_words, table, text_slices, utf8_bytes)
+from .common import prepare, span_hashes, split_words, table, text_slices, utf8_bytes
 
 
 class WindowNet:
@@ -66,59 +66,72 @@ class WindowNet:
         return padded[at[:, None] + steps[None, :]]
 
     def _hidden(self, around):
-        return np.tanh(np.einsum("nod,od->nd", self.embed[around], self.place))
+        return np.tanh(np.einsum("nod,od->nd", self.embed.take(around, axis=0), self.place))
 
-    @staticmethod
-    def _log_softmax(z):
-        z = z - z.max(axis=1, keepdims=True)
-        return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+    def _order(self, buckets):
+        """Places of the buckets by growing bucket; 16-bit keys sort fastest."""
+        return np.argsort(buckets.astype(np.uint16) if self.bits < 16 else buckets, kind="stable")
 
     def _by_class(self, target):
-        """(class, places of its targets) of a batch."""
+        """(class, first and last place) of sorted targets."""
         of = target // self.members
-        order = np.argsort(of, kind="stable")
-        edge = np.flatnonzero(np.diff(of[order], prepend=-1))
-        for a, z in zip(edge, np.append(edge[1:], len(order))):
-            yield int(of[order[a]]), order[a:z]
+        edge = np.flatnonzero(np.diff(of, prepend=-1))
+        return list(zip(of[edge].tolist(), edge.tolist(), [*edge[1:].tolist(), len(of)]))
+
+    def _logits(self, h, parts):
+        """Of the classes and of the members of each target's class, a column a
+        target, less the largest of the column."""
+        z = self.by_class.T @ h.T + self.class_bias[:, None]
+        y = np.empty((self.members, len(h)), np.float32)
+        for c, a, b in parts:
+            own = slice(c * self.members, (c + 1) * self.members)
+            np.matmul(self.by_member[own], h[a:b].T, out=y[:, a:b])
+            y[:, a:b] += self.member_bias[own, None]
+        z -= z.max(axis=0)
+        y -= y.max(axis=0)
+        return z, y
 
     def log_prob(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Log-probability of each target in its window."""
-        h = self._hidden(around)
-        lp = self._log_softmax(h @ self.by_class + self.class_bias)
-        out = lp[np.arange(len(target)), target // self.members].astype(np.float64)
-        for c, at in self._by_class(target):
-            own = slice(c * self.members, (c + 1) * self.members)
-            lp = self._log_softmax(h[at] @ self.by_member[own].T + self.member_bias[own])
-            out[at] += lp[np.arange(len(at)), target[at] - own.start]
+        order = self._order(target)
+        target, columns = target[order], np.arange(len(target))
+        z, y = self._logits(self._hidden(around[order]), self._by_class(target))
+        out = np.empty(len(target))
+        out[order] = (z[target // self.members, columns].astype(np.float64) - np.log(np.exp(z).sum(axis=0))
+                      + y[target % self.members, columns] - np.log(np.exp(y).sum(axis=0)))
         return out
 
     def step(self, around: np.ndarray, target: np.ndarray, seen: dict, rate: float) -> None:
         """One Adagrad step on the mean log-loss of a batch; ``seen`` keeps the
         sums of squares."""
-        n = len(target)
-        rows = np.arange(n)
-        e = self.embed[around]
+        order = self._order(target)
+        around, target = around[order], target[order]
+        n, columns, parts = len(target), np.arange(len(target)), self._by_class(target)
+        e = self.embed.take(around, axis=0)
         h = np.tanh(np.einsum("nod,od->nd", e, self.place))
-        d = np.exp(self._log_softmax(h @ self.by_class + self.class_bias))
-        d[rows, target // self.members] -= 1
-        back = d @ self.by_class.T
-        grads = {"by_class": h.T @ d, "class_bias": d.sum(axis=0),
+        z, y = self._logits(h, parts)
+        for d in (z, y):
+            np.exp(d, out=d)
+            d /= d.sum(axis=0)
+        z[target // self.members, columns] -= 1
+        y[target % self.members, columns] -= 1
+        back = z.T @ self.by_class.T
+        grads = {"by_class": h.T @ z.T, "class_bias": z.sum(axis=1),
                  "by_member": np.zeros_like(self.by_member), "member_bias": np.zeros_like(self.member_bias)}
-        for c, at in self._by_class(target):
+        for c, a, b in parts:
             own = slice(c * self.members, (c + 1) * self.members)
-            d = np.exp(self._log_softmax(h[at] @ self.by_member[own].T + self.member_bias[own]))
-            d[np.arange(len(at)), target[at] - own.start] -= 1
-            back[at] += d @ self.by_member[own]
-            grads["by_member"][own] = d.T @ h[at]
-            grads["member_bias"][own] = d.sum(axis=0)
+            back[a:b] += y[:, a:b].T @ self.by_member[own]
+            grads["by_member"][own] = y[:, a:b] @ h[a:b]
+            grads["member_bias"][own] = y[:, a:b].sum(axis=1)
         back *= 1 - h * h
         grads["place"] = np.einsum("nod,nd->od", e, back)
         flat = around.ravel()
-        order = np.argsort(flat, kind="stable")
+        order = self._order(flat)
         edge = np.flatnonzero(np.diff(flat[order], prepend=-1))
-        each = (back[:, None, :] * self.place[None]).reshape(len(flat), -1)
+        each = back.take(order // around.shape[1], axis=0)
+        each *= self.place.take(order % around.shape[1], axis=0)
         grads["embed"] = np.zeros_like(self.embed)
-        grads["embed"][flat[order[edge]]] = np.add.reduceat(each[order], edge, axis=0)
+        grads["embed"][flat[order[edge]]] = np.add.reduceat(each, edge, axis=0)
         grads["embed"][-1] = 0
         for name, g in grads.items():
             g /= n
@@ -142,16 +155,12 @@ PIECE = 1 << 14
 BATCH = 1 << 13
 
 
-def _train_task(model, mask_share: float, rate: float):
+def _train_task(model, rate: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net, seen, n = WindowNet(*model.value[0]).set_weights(model.value[1]), {}, 0
-        least = np.uint64(int(mask_share * (1 << 32)))
         for b in batches:
             for part in text_slices(b):
                 padded, at, _ = buckets(*utf8_bytes(part.column(0)), net)
-                # which words are masked depends on their neighbourhood alone
-                mark = mix64(padded[at].astype(np.uint64) * np.uint64(8191) + padded[at - 1].astype(np.uint64))
-                at = at[(mark >> np.uint64(32)) < least]
                 for lo in range(0, len(at), BATCH):
                     own = at[lo:lo + BATCH]
                     net.step(net.windows(padded, own), padded[own], seen, rate)
@@ -180,15 +189,16 @@ def _averaged(key, t):
 
 
 def train(docs: DataFrame, bits: int = 12, width: int = 16, reach: int = 3, rounds: int = 2,
-          mask_share: float = 0.2, rate: float = 0.1) -> WindowNet:
+          rate: float = 0.1) -> WindowNet:
     """The network after ``rounds`` rounds; together they read every document
-    once.  Without any words the first weights stay."""
+    once, with each of its words as a target.  Without any words the first
+    weights stay."""
     schema, sc = "piece long, lane long, n long, w binary", docs.sparkSession.sparkContext
     net = WindowNet(bits, width, reach)
     for k in range(rounds):
         model = sc.broadcast(((bits, width, reach), net.weights()))  # fixed size
         mine = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(rounds)) == k).select("text")
-        lanes = (mine.mapInArrow(_train_task(model, mask_share, rate), schema)
+        lanes = (mine.mapInArrow(_train_task(model, rate), schema)
                  .groupBy("piece", "lane").applyInArrow(_averaged, schema))
         pieces = lanes.groupBy("piece").applyInArrow(_averaged, schema).orderBy("piece").toArrow()
         if pieces.num_rows:

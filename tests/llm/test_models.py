@@ -105,3 +105,14 @@ def test_scores(spark):
     assert all((r.per_word is None) == (r.n_words == 0) and r.log_prob <= 0 for r in got)
     assert len({(r.n_words, round(r.log_prob, 3)) for r in got if r.doc_id in (5, 6)}) == 1
     assert lm_scoring.score_documents(empty(spark)).count() == 0
+
+
+def test_every_word_is_a_target(spark):
+    # each word follows one word only, so a rule on word pairs would leave some out in every place
+    words = [f"w{i}" for i in range(16)]
+    net = lm_scoring.train(frame(spark, [(i, " ".join(words * 20)) for i in range(16)]), bits=10, width=4, reach=2)
+    texts = [w.encode() for w in words]
+    padded, at, _ = lm_scoring.buckets(np.frombuffer(b"".join(texts), np.uint8),
+                                       np.cumsum([0, *map(len, texts)]), net)
+    # only a target pulls its own bias up within its class
+    assert (net.member_bias[padded[at]] > 0).all()
