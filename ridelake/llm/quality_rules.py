@@ -18,9 +18,16 @@ from pyspark.sql import DataFrame
 from .common import (IS_NEWLINE, IS_SPACE, mix64, prepare, span_hashes, split_words, table,
                      text_slices, utf8_bytes)
 
-#: (bytes at least, ratio at least, ratio at most), by growing length.
-BANDS = ((0, 0.0, 2.0), (200, 0.10, 1.05), (1000, 0.13, 0.85), (4000, 0.13, 0.75))
-CHUNK, CHUNK_BAND = 4096, (0.13, 0.80)
+#: (bytes at least, ratio at least, ratio at most), by growing length.  The
+#: upper limits lie above the largest ratio of any sf0.1 document or chunk of
+#: that length (0.857, 0.745, 0.698, 0.638, 0.592, 0.543, 0.521, 0.484) and
+#: below random letter/digit words; from 1,000 bytes also below random
+#: lower-case words (0.629 to 0.587).
+BANDS = ((0, 0.0, 2.0), (200, 0.10, 0.88), (300, 0.10, 0.78), (500, 0.10, 0.72), (700, 0.10, 0.67),
+         (1000, 0.13, 0.605), (1500, 0.13, 0.58), (2000, 0.13, 0.56), (4000, 0.13, 0.55))
+CHUNK = 4096
+#: A shorter last chunk says nothing alone; it is judged with the one before.
+LEAST_CHUNK = 200
 WINDOW = 8
 
 _SYMBOL = np.zeros(256, bool)
@@ -77,16 +84,27 @@ def in_band(size: int, ratio: float, bands=BANDS) -> bool:
     return least <= ratio <= most
 
 
+def chunk_edges(size: int, chunk: int = CHUNK) -> list[int]:
+    """Edges of the chunks; together they hold the whole text."""
+    edges = [*range(0, size, chunk), size]
+    if len(edges) > 2 and edges[-1] - edges[-2] < LEAST_CHUNK:
+        del edges[-2]
+    return edges
+
+
 def compression_verdict(text: bytes, compressor, bands=BANDS, chunk: int = CHUNK,
-                        chunk_band=CHUNK_BAND, most_odd: float = 0.5) -> tuple[float, float, bool]:
-    """(ratio of the whole, share of full chunks outside their band, kept)."""
+                        most_odd: float = 0.05) -> tuple[float, float, bool]:
+    """(ratio of the whole, share of chunks outside the band of their length, kept)."""
     if not text:
         return 0.0, 0.0, True
     ratio = len(compressor.compress(text)) / len(text)
-    chunks = len(text) // chunk
-    odd = sum(not chunk_band[0] <= len(compressor.compress(text[i * chunk:(i + 1) * chunk])) / chunk
-              <= chunk_band[1] for i in range(chunks)) / max(chunks, 1)
-    return ratio, odd, in_band(len(text), ratio, bands) and odd <= most_odd
+    whole = in_band(len(text), ratio, bands)
+    edges = chunk_edges(len(text), chunk)
+    if len(edges) == 2:
+        return ratio, float(not whole), whole
+    odd = sum(not in_band(e - s, len(compressor.compress(text[s:e])) / (e - s), bands)
+              for s, e in zip(edges, edges[1:])) / (len(edges) - 1)
+    return ratio, odd, whole and odd <= most_odd
 
 
 def apply_rules(docs: DataFrame, min_words: int = 20, max_repeat_percent: int = 30,

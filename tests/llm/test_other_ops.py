@@ -214,6 +214,31 @@ def test_bands_reject_noise_and_repetition():
     assert not quality_rules.compression_verdict(b"again and again " * 2000, z)[2]
 
 
+def test_bands_reject_random_words_anywhere():
+    import string
+
+    import zstandard
+
+    z = zstandard.ZstdCompressor(level=3)
+    rng = random.Random(2)
+
+    def noise(n, alphabet):
+        words = ("".join(rng.choices(alphabet, k=rng.randrange(4, 12))) for _ in range(n))
+        return " ".join(words).encode()[:n]
+
+    clean = prose(rng, 20_000).encode()
+    for n in (300, 500, 1000, 2000, 4000, 8000, 40_000):
+        assert not quality_rules.compression_verdict(noise(n, string.ascii_letters + string.digits), z)[2], n
+        assert n < 1000 or not quality_rules.compression_verdict(noise(n, string.ascii_lowercase), z)[2], n
+        assert quality_rules.compression_verdict(clean[:n], z)[2], n
+    odd = noise(8192, string.ascii_letters)
+    for text in (clean[:8192] + odd[:3000], clean[:8192] + odd[:4196], clean[:32_768] + odd):
+        ratio, share, kept = quality_rules.compression_verdict(text, z)
+        assert share > 0 and not kept
+    edges = [quality_rules.chunk_edges(n) for n in (1, 4096, 4097, 4296, 8192, 8200)]
+    assert edges == [[0, 1], [0, 4096], [0, 4097], [0, 4096, 4296], [0, 4096, 8192], [0, 4096, 8200]]
+
+
 # ------------------------------------------------------------------------------ urls
 
 def test_rules_and_hosts(spark):
