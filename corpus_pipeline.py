@@ -18,6 +18,13 @@ from ridelake.llm.tokens import public_path
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def row_key():
+    """The id (none goes last) and 128 bits of the text's hash.  Rows alike in
+    both hold the same text, so one verdict holds for all of them."""
+    return F.struct(F.isnull("doc_id").alias("no_id"), F.col("doc_id").alias("id"),
+                    F.xxhash64("text").alias("h"), F.xxhash64(F.lit(1), "text").alias("h1"))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier finds neither of low quality nor toxic."""
     prepare(spark)
@@ -48,11 +55,12 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that overlap no benchmark item."""
+    """Documents that overlap no benchmark item; rows that share an id, or have
+    none, are judged each."""
     prepare(spark)
-    hits = decontam.overlaps(docs, table(spark, sf_dir, "benchmark"))
-    bad = staged(hits.select("doc_id").distinct(), "contaminated")
-    return docs.select(*COLUMNS).join(bad, docs["doc_id"].eqNullSafe(bad["doc_id"]), "left_anti")
+    hits = decontam.overlaps(docs.select(row_key().alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    bad = staged(hits.select(F.col("doc_id").alias("_key")).distinct(), "contaminated")
+    return docs.select(*COLUMNS, row_key().alias("_key")).join(bad, "_key", "left_anti").select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,7 +1,7 @@
 import random
 
 import __spark_entry__ as entry
-from llm_fixtures import brute_substrings, edge_rows, frame, prose
+from llm_fixtures import brute_substrings, by_text, edge_rows, frame, prose
 
 import corpus_pipeline as cp
 
@@ -62,3 +62,15 @@ def test_edge_documents_pass_all_stages(spark, tmp_path):
             .write.mode("overwrite").parquet(str(tmp_path / "documents.parquet"))
         kept = {r.doc_id for r in cp.run(spark, str(tmp_path)).collect()}
         assert kept >= {d for d, _ in clean} if rows else not kept
+
+
+def test_decontamination_judges_rows(spark, tmp_path):
+    rng = random.Random(5)
+    vocabulary = [f"v{i}" for i in range(900)]
+    leak = prose(rng, 30, vocabulary)
+    spark.createDataFrame([(0, leak)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    clean = [(d, prose(rng, 60, vocabulary)) for d in (None, None, None, 1, 1, 2)] + [(None, None), (3, "")]
+    dirty = [(d, prose(rng, 20, vocabulary) + " " + leak) for d in (None, 1, 4)]
+    docs = frame(spark, clean + dirty + dirty[:1], clash=False)
+    got = cp.decontaminate(spark, docs, str(tmp_path))
+    assert by_text((r.doc_id, r.text) for r in got.collect()) == by_text(clean)
