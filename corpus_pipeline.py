@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridelake.llm import decontam, packing, quality_classifier, simhash, suffix_dedup
-from ridelake.llm.common import numbered, prepare, staged, table
+from ridelake.llm.common import prepare, staged, table
 from ridelake.llm.tokens import public_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -33,15 +33,22 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the smallest id.
+    """One document of each group of near copies: the smallest id, then text
+    hash; a document without an id only where no other has one.
 
-    Of rows that repeat an id the first by text counts, the others are copies;
-    documents without an id all stay if one of them stands for its group."""
+    Rows that share an id, or have none, are documents of their own."""
     prepare(spark)
-    docs = (numbered(docs, COLUMNS[1:]).where("_n = 0 OR doc_id IS NULL").select(*COLUMNS))
-    groups = simhash.near_duplicates(docs)
-    ids = staged(groups.where("doc_id <=> component_id").select("doc_id").distinct(), "representatives")
-    return (docs.select(*COLUMNS).join(ids, docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi"))
+    groups = simhash.near_duplicates(docs.select(row_key().alias("doc_id"), "text"))
+    first = staged(groups.where("doc_id = component_id").groupBy(F.col("doc_id").alias("_key"))
+                   .agg(F.count("*").alias("_rows")), "representatives")
+    keyed = docs.select(*COLUMNS, row_key().alias("_key"))
+    kept = keyed.join(first.where("_rows = 1"), "_key", "left_semi").select(*COLUMNS)
+    again = first.where("_rows > 1")  # rows alike in id and text
+    if again.isEmpty():
+        return kept
+    one = (keyed.join(again, "_key", "left_semi").groupBy("_key")
+           .agg(F.min(F.struct("lang", "source", "n_chars", "doc_id", "text")).alias("r")))
+    return kept.unionByName(one.select("r.*").select(*COLUMNS))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -74,3 +74,15 @@ def test_decontamination_judges_rows(spark, tmp_path):
     docs = frame(spark, clean + dirty + dirty[:1], clash=False)
     got = cp.decontaminate(spark, docs, str(tmp_path))
     assert by_text((r.doc_id, r.text) for r in got.collect()) == by_text(clean)
+
+
+def test_near_dedup_keeps_one_row_of_each_group(spark, tmp_path):
+    rng = random.Random(9)
+    vocabulary = [f"v{i}" for i in range(900)]
+    a, b, c, d, e, f = (prose(rng, 150, vocabulary) for _ in range(6))
+    rows = [(1, a), (1, b), (2, b), (None, c), (None, c), (None, c), (3, d), (3, d), (None, d),
+            (None, e), (None, f), (None, a)]
+    got = cp.near_dedup(spark, frame(spark, rows, clash=False), str(tmp_path))
+    assert got.columns == list(cp.COLUMNS)
+    assert by_text((r.doc_id, r.text) for r in got.collect()) == by_text(
+        [(1, a), (1, b), (None, c), (3, d), (None, e), (None, f)])
