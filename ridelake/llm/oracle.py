@@ -82,4 +82,86 @@ SELECT doc_id, item_id, shift + a AS doc_start, shift + z AS doc_end, a AS item_
 FROM scored QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY e DESC, shift, a, z) = 1
 """
 
-ORACLE = {"op3_spaced_seed_decontam": OP3, "op7_url_filter": OP7}
+OP12 = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') t, regexp_extract_all(coalesce(text, ''), '[^\\n]*\\n|[^\\n]+') u,
+         sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) h FROM documents),
+r AS (
+  SELECT doc_id, t, u, len(u) n, [CAST('0x' || substr(h, 8 * i + 1, 8) AS UBIGINT) FOR i IN range(4)] h FROM d),
+k AS (
+  SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) a, greatest(h[1] % (n + 1), h[2] % (n + 1)) b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 100
+              THEN 'plain' WHEN h[4] % 100 < 50 THEN 'spm' ELSE 'psm' END form FROM r),
+c AS (
+  SELECT *, coalesce(array_to_string(u[1:a], ''), '') p, coalesce(array_to_string(u[a + 1:b], ''), '') m,
+         coalesce(array_to_string(u[b + 1:], ''), '') s FROM k)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(CASE form WHEN 'plain' THEN t ELSE p || m || s END) AS restored_sha256
+FROM c
+"""
+
+
+def _merkle(depth: int = 10) -> str:
+    """Trees of up to 8^depth leaves a language, and as many languages."""
+    def field(c):
+        return f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+
+    def leaf(text):
+        return "sha256(" + " || ".join([*map(field, ("doc_id", "source", "lang", "n_chars")), field(text)]) + ")"
+
+    out = [f"""WITH RECURSIVE bits AS (
+  SELECT b, list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END,
+                        b) c FROM range(256) t(b)),
+codes AS (SELECT list(c ORDER BY b) z FROM bits),
+ids AS (SELECT DISTINCT coalesce(CAST(doc_id AS VARCHAR), '') v FROM documents),
+crc AS (
+  SELECT v, xor(list_reduce([ascii(x) FOR x IN string_split(v, '') IF x <> ''],
+                     lambda c, x: xor(c >> 8, z[CAST(xor(c, x) & 255 AS INT) + 1]), 4294967295), 4294967295) c
+  FROM ids, codes),
+l AS (
+  SELECT d.doc_id, coalesce('=' || lang, '-') t, {leaf('text')} h,
+         CASE WHEN c % 3 = 0 THEN {leaf(f"translate(text, '{_UPPER}', '{_LOWER}')")} END g
+  FROM documents d JOIN crc ON v = coalesce(CAST(doc_id AS VARCHAR), '')),
+n0 AS (
+  SELECT doc_id, t, h, g, row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS FIRST, h) - 1 i,
+         count(*) OVER (PARTITION BY t) n FROM l)"""]
+
+    def climb(name, tree):
+        for k in range(depth):
+            run = f"PARTITION BY {tree}, i // 8 ORDER BY i"
+            out.append(f"""{name}s{k} AS (
+  SELECT {tree}, i, n, h,
+         CASE WHEN n > 1 THEN coalesce(string_agg(h, '') OVER ({run} ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING), '')
+              ELSE '' END b,
+         CASE WHEN n > 1 THEN coalesce(string_agg(h, '') OVER ({run} ROWS BETWEEN 1 FOLLOWING AND 7 FOLLOWING), '')
+              ELSE '' END a FROM {name}{k}),
+{name}{k + 1} AS (
+  SELECT {tree}, i // 8 i, any_value((n + 7) // 8) n,
+         CASE WHEN any_value(n) > 1 THEN sha256(string_agg(h, '' ORDER BY i)) ELSE any_value(h) END h
+  FROM {name}{k} GROUP BY {tree}, i // 8)""")
+
+    def fold(src, name, tree, key):
+        for k in range(depth):
+            out.append(f"""{src}{k + 1} AS (
+  SELECT r.* REPLACE (p || b || a AS p, CASE WHEN s.n > 1 THEN sha256(b || f || a) ELSE f END AS f, r.{key} // 8 AS {key})
+  FROM {src}{k} r JOIN {name}s{k} s ON r.{tree} = s.{tree} AND r.{key} = s.i)""")
+
+    climb("n", "t")
+    out.append(f"""m0 AS (
+  SELECT 1 u, t, h, row_number() OVER (ORDER BY t) - 1 i, count(*) OVER () n FROM n{depth})""")
+    climb("m", "u")
+    out.append("r0 AS (SELECT doc_id, t, h AS leaf, coalesce(g, h) f, '' p, i FROM n0)")
+    fold("r", "n", "t", "i")
+    out.append(f"q0 AS (SELECT r.*, 1 u, m0.i j, m0.h sub FROM r{depth} r JOIN m0 USING (t))")
+    fold("q", "m", "u", "j")
+    return ",\n".join(out) + f"""
+SELECT q.doc_id, q.leaf, q.sub AS subroot, m.h AS root, sha256(q.p) AS proof_sha256, q.f AS folded_root,
+       q.f = m.h AS verified
+FROM q{depth} q, m{depth} m
+"""
+
+
+ORACLE = {"op12_fill_in_middle": OP12, "op13_merkle_manifest": _merkle(), "op3_spaced_seed_decontam": OP3, "op7_url_filter": OP7}
