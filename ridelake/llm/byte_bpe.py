@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from .common import prepare, table, text_slices
 from .tokens import public_path
@@ -106,16 +107,18 @@ def _mapped(df: DataFrame, read: str, write: str, keep: tuple[str, ...], convert
     """``keep`` and a binary column ``write`` made of column ``read``."""
     if write in keep:
         raise ValueError(f"column {write} is made here and cannot be kept")
-    kinds = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
-    schema = f"{kinds}, {write} binary" if keep else f"{write} binary"
+    # plain names inside: a kept column may have any name
+    held = [F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(keep)]
+    source = df.select(F.col(read).alias("_in"), *held)
+    schema = StructType([*source.schema.fields[1:], StructField("_out", BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for part in text_slices(b, "_in"):
                 made = pa.array([convert(x.as_py()) for x in part.column(0)], pa.binary())
-                yield pa.RecordBatch.from_arrays([*part.columns[1:], made], [*keep, write])
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], made], schema.names)
 
-    return df.select(F.col(read).alias("_in"), *[F.col(f"`{c}`") for c in keep]).mapInArrow(run, schema)
+    return source.mapInArrow(run, schema).toDF(*keep, write)
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
