@@ -13,6 +13,7 @@ from __future__ import annotations
 import datetime as dt
 import re
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -127,6 +128,25 @@ def replace_partitions(new: DataFrame, target: str, partition_col: str, values:
     _swap_partitions(spark, new, target, partition_col, values)
 
 
+def upsert_partitions(new: DataFrame, target: str, keys: list[str], partition_col: str) -> None:
+    """Replace the rows whose ``keys`` (which include the partition column)
+    occur in ``new`` by those of ``new``.  NULL matches NULL.  Only partitions
+    that ``new`` has rows in are read and rewritten."""
+    spark = new.sparkSession
+    if not fs.has_data_files(spark, target):
+        if not new.isEmpty():
+            _writer(new, "append", [partition_col]).parquet(target)
+        return
+    # one value a touched partition
+    values = [r[0] for r in new.select(partition_col).distinct().collect()]
+    if not values:
+        return
+    old = read_target(spark, target, new, partition_col).filter(_in_partitions(partition_col, values))
+    match = reduce(lambda x, y: x & y, [old[k].eqNullSafe(new[k]) for k in keys])
+    kept = old.join(new.select(*keys), match, "left_anti")
+    _swap_partitions(spark, kept.unionByName(new.select(*old.columns)), target, partition_col, values)
+
+
 def _key_window(key: str, start, end, granularity: str) -> Column:
     if granularity == "timestamp":
         return in_window(key, start, end)

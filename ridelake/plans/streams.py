@@ -13,9 +13,12 @@ from pyspark.sql import functions as F
 from ridelake.plans import tables as tb
 from ridelake.session import scratch_path
 from ridelake.streaming import ingest as st
+from ridelake.streaming import state as sst
 
 SPLIT_TS = "2024-01-16 00:00:00"
 REDELIVERED_TYPE = "error"
+EARLY_TS, LATE_TS = "2024-01-11 00:00:00", "2024-01-21 00:00:00"
+STATE_DELAY = "2 days"
 
 
 def _deliver(df, folder: str) -> None:
@@ -60,17 +63,55 @@ def q_stream_daily_report(spark, sf):
             .select(F.col("day").cast("date").alias("day"), "event_type", "n_events", "value_sum"))
 
 
+def _thirds(ev):
+    """The events in three parts by time: early, middle, late."""
+    lo, hi = (F.lit(t).cast("timestamp_ntz") for t in (EARLY_TS, LATE_TS))
+    ts = F.col("ts")
+    return [ev.where(ts < lo), ev.where((ts >= lo) & (ts < hi)), ev.where(ts >= hi)]
+
+
+def q_stream_report_state(spark, sf):
+    """The report by windowed state.  The middle third comes first, then the
+    last one, then the first, whose days are closed by then."""
+    ev = tb.table(spark, sf, "events")
+    early, middle, late = _thirds(ev)
+    src, out, later, ckpt = (scratch_path(spark, n) for n in ("wsrc", "wout", "wlate", "wckpt"))
+    for batch in (middle, late, early):
+        _deliver(batch, src)
+        sst.daily_report_state(spark, src, out, later, ckpt, ev.schema, "ts", "event_type", "value", STATE_DELAY)
+    return sst.whole_report(spark, out, later, "event_type")
+
+
+def q_stream_dedup_state(spark, sf):
+    """First copies under a bounded state: middle, last and first third, each
+    after the middle one with all error events again."""
+    ev = tb.table(spark, sf, "events")
+    early, middle, late = _thirds(ev)
+    again = ev.where(F.col("event_type") == REDELIVERED_TYPE)
+    src, out, ckpt = (scratch_path(spark, n) for n in ("bsrc", "bout", "bckpt"))
+    for batch in (middle, late.unionByName(again), early.unionByName(again)):
+        _deliver(batch, src)
+        sst.dedup_state(spark, src, out, ckpt, ev.schema, ["event_id"], "ts", STATE_DELAY)
+    return sst.read_deduplicated(spark, out, ev.schema)
+
+
 QUERIES = {
+    "stream_report_state": q_stream_report_state,
+    "stream_dedup_state": q_stream_dedup_state,
     "stream_ingest": q_stream_ingest,
     "stream_dedup": q_stream_dedup,
     "stream_daily_report": q_stream_daily_report,
 }
 
+_REPORT = """
+        SELECT CAST(ts AS DATE) AS day, event_type, COUNT(*) AS n_events,
+               ROUND(SUM(value), 4) AS value_sum
+        FROM events GROUP BY 1, 2"""
+
 ORACLE = {
+    "stream_report_state": _REPORT,
+    "stream_dedup_state": "SELECT * FROM events",
     "stream_ingest": "SELECT * FROM events",
     "stream_dedup": "SELECT * FROM events",
-    "stream_daily_report": """
-        SELECT CAST(ts AS DATE) AS day, event_type, COUNT(*) AS n_events,
-               ROUND(SUM(value), 4) AS value_sum
-        FROM events GROUP BY 1, 2""",
+    "stream_daily_report": _REPORT,
 }
