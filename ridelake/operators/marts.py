@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ridelake.functions.sqltext import ident, sql, window_sql
@@ -91,37 +89,16 @@ def monthly_zone_revenue(fct: DataFrame) -> DataFrame:
         GROUP BY 1, 2, 3""", f=fct)
 
 
-#: What makes a staged trip valid: (rule, columns).
-VALID_TRIP = [
-    ("present", ("pickup_datetime", "dropoff_datetime")),
-    ("ordered", ("pickup_datetime", "dropoff_datetime")),
-    ("not_negative", ("fare_amount", "total_amount", "tip_amount")),
-]
-
-
-def satisfies(rules) -> Column:
-    """All of ``rules``; a NULL satisfies none of them."""
-    terms = []
-    for rule, columns in rules:
-        cols = [F.col(c) for c in columns]
-        if rule == "present":
-            terms += [c.isNotNull() for c in cols]
-        elif rule == "ordered":
-            terms += [first <= second for first, second in zip(cols, cols[1:])]
-        elif rule == "not_negative":
-            terms += [c >= 0 for c in cols]
-        else:
-            raise ValueError(f"unknown rule {rule}")
-    return reduce(lambda x, y: x & y, terms)
-
-
 def staging_trips(raw: DataFrame, payments: DataFrame, start, end) -> DataFrame:
-    """The newest copy of each trip of the window, if that copy is valid, with
-    the name of its payment type."""
+    """The newest copy of each trip of the window, with the name of its payment
+    type; left out where that copy ends before it starts, charges less than
+    nothing, or lacks a value that tells."""
     newest = keep_latest(raw.where(in_window("pickup_datetime", start, end)),
                          STAGING_DEDUP_KEYS, "extracted_at")
     names = payments.withColumnRenamed("payment_type_id", "_type")
-    named = join_dim(newest.where(satisfies(VALID_TRIP)), names,
+    valid = newest.where("dropoff_datetime >= pickup_datetime AND fare_amount >= 0 "
+                         "AND total_amount >= 0 AND tip_amount >= 0")
+    named = join_dim(valid, names,
                      F.col("payment_type") == F.col("_type"))
     return named.select(*STAGING_COLUMNS)
 
