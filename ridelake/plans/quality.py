@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ridelake.operators import checks as ck
+from ridelake.operators import guarded, marts
 from ridelake.plans import models, sqlbits as sb
 from ridelake.plans import tables as tb
 from ridelake.session import scratch_path
@@ -88,7 +90,46 @@ def q_check_suite(spark, sf):
     return ck.run_checks(stg, checks, "staging.trips")
 
 
+def q_load_checked(spark, sf):
+    """Customers loaded under checks: the first load passes, the second (all
+    balances) breaks one and leaves the table as it was."""
+    cust = tb.table(spark, sf, "customer")
+    target = scratch_path(spark, "guarded")
+    checks = [ck.not_null("c_custkey"), ck.non_negative("c_acctbal"), ck.unique("c_custkey")]
+    out = None
+    for number, rows in enumerate([cust.where("c_acctbal >= 0"), cust], 1):
+        found = guarded.checked_refresh(rows, target, checks, "customer")
+        now = spark.read.schema(cust.schema).parquet(target).count()  # after each load
+        found = found.withColumns({"load": F.lit(number), "target_rows": F.lit(now).cast("long")})
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+REPEAT_KEY = marts.STAGING_DEDUP_KEYS
+QUARANTINE_CHECKS = [ck.not_null("vendor_id"), ck.accepted_values("payment_type", [1, 2]),
+                     ck.non_negative("tip_amount"), ck.unique(*REPEAT_KEY)]
+
+
+def _split(spark, sf):
+    raw = _materialized(spark, tb.raw_two_extractions(spark, sf), "quarantined_trips")
+    return guarded.quarantine(raw, QUARANTINE_CHECKS, scratch_path(spark, "quarantine"))
+
+
+def q_quarantine_accepted(spark, sf):
+    """Raw trips that break no check."""
+    return _split(spark, sf)[0]
+
+
+def q_quarantine_rejected(spark, sf):
+    """Raw trips that break a check, with the checks they break."""
+    rejected = _split(spark, sf)[1]
+    return rejected.withColumn("failed_checks", F.concat_ws(";", "failed_checks"))
+
+
 QUERIES = {
+    "load_checked": q_load_checked,
+    "quarantine_accepted": q_quarantine_accepted,
+    "quarantine_rejected": q_quarantine_rejected,
     "check_not_null": q_check_not_null,
     "check_unique": q_check_unique,
     "check_non_negative": q_check_non_negative,
@@ -114,7 +155,31 @@ def _cnt(rel, cond):
 _R = "R"
 _STG_CTE = f"STG AS ({sb.sql_staging('R', models.RUN_START, models.RUN_END)})"
 
+_REPEATED = f"count(*) OVER (PARTITION BY {', '.join(REPEAT_KEY)}) > 1"
+_FAILED = "concat_ws(';', " + ", ".join(
+    f"CASE WHEN {cond} THEN '{guarded.check_label(c)}' END" for c, cond in zip(QUARANTINE_CHECKS, [
+        "vendor_id IS NULL", "payment_type IS NOT NULL AND payment_type NOT IN (1, 2)", "tip_amount < 0",
+        _REPEATED])) + ")"
+
+
+def _loaded(number, rel):
+    """Checks of one load of customers, beside the table's rows afterwards."""
+    return f"""SELECT *, {number} AS load, (SELECT COUNT(*) FROM customer WHERE c_acctbal >= 0) AS target_rows
+      FROM ({_rows("customer", [
+          ("not_null", "c_custkey", _cnt(rel, "c_custkey IS NULL")),
+          ("non_negative", "c_acctbal", _cnt(rel, "c_acctbal < 0")),
+          ("unique", "c_custkey", f"SELECT COUNT(*) FROM (SELECT 1 FROM {rel} GROUP BY c_custkey "
+                                  "HAVING COUNT(*) > 1)")])})"""
+
+
 ORACLE = {
+    "load_checked": _loaded(1, "(SELECT * FROM customer WHERE c_acctbal >= 0)") + " UNION ALL "
+        + _loaded(2, "customer"),
+    "quarantine_accepted": tb.with_ctes(
+        f"SELECT * EXCLUDE (failed_checks) FROM (SELECT *, {_FAILED} AS failed_checks FROM R) "
+        "WHERE failed_checks = ''", "R"),
+    "quarantine_rejected": tb.with_ctes(
+        f"SELECT * FROM (SELECT *, {_FAILED} AS failed_checks FROM R) WHERE failed_checks <> ''", "R"),
     "check_not_null": tb.with_ctes(_rows("ingestion.trips", [
         ("not_null", c, _cnt(_R, f"{c} IS NULL")) for c in
         ["taxi_type", "pickup_datetime", "dropoff_datetime", "vendor_id"]]), "R"),

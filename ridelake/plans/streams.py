@@ -12,12 +12,14 @@ from pyspark.sql import functions as F
 
 from ridelake.plans import tables as tb
 from ridelake.session import scratch_path
+from ridelake.streaming import convert
 from ridelake.streaming import ingest as st
 from ridelake.streaming import state as sst
 
 SPLIT_TS = "2024-01-16 00:00:00"
 REDELIVERED_TYPE = "error"
 EARLY_TS, LATE_TS = "2024-01-11 00:00:00", "2024-01-21 00:00:00"
+CSV_SPLIT = "1998-01-01 00:00:00"
 STATE_DELAY = "2 days"
 
 
@@ -95,7 +97,22 @@ def q_stream_dedup_state(spark, sf):
     return sst.read_deduplicated(spark, out, ev.schema)
 
 
+def q_csv_stream_to_parquet(spark, sf):
+    """Gzip CSV files of orders in two deliveries; a run after each, and one
+    with nothing new.  Finished files are archived."""
+    orders = tb.table(spark, sf, "orders")
+    src, out, ckpt, done = (scratch_path(spark, n) for n in ("cssrc", "csout", "csckpt", "csdone"))
+    split = F.lit(CSV_SPLIT).cast("timestamp_ntz")
+    for rows in (orders.where(F.col("o_orderdate") < split), orders.where(F.col("o_orderdate") >= split), None):
+        if rows is not None:
+            (rows.withColumn("o_year", F.year("o_orderdate")).hint("rebalance", "o_year").write.mode("append")
+                 .partitionBy("o_year").option("header", True).option("compression", "gzip").csv(src))
+        convert.csv_stream_to_parquet(spark, src, out, ckpt, orders.schema, archive_dir=done)
+    return spark.read.parquet(out).drop("source")
+
+
 QUERIES = {
+    "csv_stream_to_parquet": q_csv_stream_to_parquet,
     "stream_report_state": q_stream_report_state,
     "stream_dedup_state": q_stream_dedup_state,
     "stream_ingest": q_stream_ingest,
@@ -109,6 +126,7 @@ _REPORT = """
         FROM events GROUP BY 1, 2"""
 
 ORACLE = {
+    "csv_stream_to_parquet": "SELECT * FROM orders",
     "stream_report_state": _REPORT,
     "stream_dedup_state": "SELECT * FROM events",
     "stream_ingest": "SELECT * FROM events",
