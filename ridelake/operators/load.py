@@ -111,7 +111,7 @@ def _swap_partitions(spark: SparkSession, content: DataFrame, target: str, parti
     for name in sorted(present | {partition_folder(partition_col, v) for v in affected}):
         if name in present:
             _replace_folder(spark, f"{stage}/{name}", f"{target}/{name}", f"{backup}/{name}")
-        else:
+        elif fs.exists(spark, f"{target}/{name}"):
             fs.rename(spark, f"{target}/{name}", f"{backup}/{name}")
     fs.delete(spark, backup)
     fs.delete(spark, stage)
@@ -352,11 +352,16 @@ def glob_escaped(path: str) -> str:
 
 
 def write_bucketed(df: DataFrame, name: str, location: str, buckets: int,
-                   key_cols: list[str], sort_cols: list[str] | None = None) -> DataFrame:
+                   key_cols: list[str], sort_cols: list[str] | None = None,
+                   partition_by: list[str] | None = None) -> DataFrame:
     """A catalog table bucketed (and sorted) on ``key_cols``: later joins and
     aggregations of two tables bucketed the same way on the same key read
-    co-located buckets without a shuffle."""
-    (df.write.mode("overwrite").option("path", location)
-       .bucketBy(buckets, *key_cols).sortBy(*(sort_cols or key_cols))
-       .saveAsTable(name))
+    co-located buckets without a shuffle.  ``partition_by`` adds folders, each
+    with its own buckets; rows are dealt by bucket key first, so a task writes
+    one file a folder and bucket."""
+    out = df.repartition(buckets, *key_cols) if partition_by else df
+    w = out.write.mode("overwrite").option("path", location)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.bucketBy(buckets, *key_cols).sortBy(*(sort_cols or key_cols)).saveAsTable(name)
     return df.sparkSession.table(name)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["models", "adhoc", "quality", "io", "loads", "streams"]
+_MODULES = ["models", "adhoc", "quality", "io", "loads", "incremental", "streams"]
 
 
 def _load():

@@ -202,13 +202,13 @@ def q_load_append(spark, sf):
 
 
 def q_month_file_plan(spark, sf):
-    root = landing.build(spark, sf)
+    root = landing.build_markers(spark, sf)
     plan = files.month_plan(spark, PLAN_START, PLAN_END, PLAN_TYPES, landing.pattern(root))
     return plan.select("taxi_type", "month", "exists")
 
 
 def q_skip_missing_files(spark, sf):
-    root = landing.build(spark, sf)
+    root = landing.build_markers(spark, sf)
     plan = files.month_plan(spark, PLAN_START, PLAN_END, PLAN_TYPES, landing.pattern(root))
     return plan.filter("exists").select("taxi_type", "month")
 
@@ -280,7 +280,7 @@ ORACLE = {
     "standardize_trips": tb.with_ctes(tb.sql_canonical("T", tb.T0), "T"),
     "ingest_trips": tb.with_ctes(f"""
         SELECT * REPLACE (CASE WHEN taxi_type = 'yellow' AND year(pickup_datetime) = {landing.NO_FEE_YEAR}
-                               THEN NULL ELSE airport_fee END AS airport_fee)
+                                    AND day(pickup_datetime) < {landing.NO_FEE_BEFORE_DAY} THEN NULL ELSE airport_fee END AS airport_fee)
         FROM ({tb.sql_canonical("T", tb.T0)})""", "T"),
     "rerun_idempotent": tb.with_ctes("", "T", "P").rstrip()
         + f",\nR1 AS ({tb.sql_canonical('T', tb.T0)})\n"

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -16,37 +17,51 @@ from pyspark.sql.types import StringType, StructField, StructType
 from ridelake.operators.staging import empty_canonical, standardize
 from ridelake.plans import tables as tb
 from ridelake.session import scratch_path
-from ridelake.sources import fs
 from ridelake.sources.files import existing, month_paths
-from ridelake.sources.footers import footer_schemas
+from ridelake.sources.footers import schema_groups
 
 PATTERN = "{root}/taxi_type={type}/month={year}-{month}"
 PICKUP = {"yellow": "tpep_pickup_datetime", "green": "lpep_pickup_datetime"}
 
 
-#: Fixed drift of the yellow source: no fee column in the first year, whole
-#: passenger counts in the next.
-NO_FEE_YEAR, WHOLE_COUNT_YEAR = 1992, 1993
+#: Fixed drift of the yellow source: in one year the files of the first half
+#: of each month lack the fee column, in another passenger counts are whole.
+NO_FEE_YEAR, NO_FEE_BEFORE_DAY, WHOLE_COUNT_YEAR = 1996, 15, 1998
 
 
 def build(spark: SparkSession, sf: str) -> str:
     """Write the monthly files of both types.  The yellow source changes its
-    columns and types over the years, as monthly files do."""
+    columns and types over the years, and within months, as files do."""
     root = scratch_path(spark, "landing")
-    t = tb.trips(spark, sf)
+    # all writes read the trip join: keep it for their duration, then release
+    t = tb.trips(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
 
     def write(raw: DataFrame, typ: str) -> None:
         (raw.withColumn("month", F.date_format(PICKUP[typ], "yyyy-MM"))
             .hint("rebalance", "month")
             .write.mode("append").partitionBy("month").parquet(f"{root}/taxi_type={typ}"))
 
-    yellow, year = tb.yellow_raw(t), F.year(PICKUP["yellow"])
-    drifted = [NO_FEE_YEAR, WHOLE_COUNT_YEAR]
-    write(yellow.where(~year.isin(drifted) | year.isNull()), "yellow")
-    write(yellow.where(year == NO_FEE_YEAR).drop("Airport_fee"), "yellow")
-    write(yellow.where(year == WHOLE_COUNT_YEAR)
-          .withColumn("passenger_count", F.col("passenger_count").cast("long")), "yellow")
-    write(tb.green_raw(t), "green")
+    yellow, at = tb.yellow_raw(t), F.col(PICKUP["yellow"])
+    kind = (F.when((F.year(at) == NO_FEE_YEAR) & (F.day(at) < NO_FEE_BEFORE_DAY), "no fee")
+            .when(F.year(at) == WHOLE_COUNT_YEAR, "whole counts").otherwise("plain"))
+    try:
+        write(yellow.where(kind == "plain"), "yellow")
+        write(yellow.where(kind == "no fee").drop("Airport_fee"), "yellow")
+        write(yellow.where(kind == "whole counts")
+              .withColumn("passenger_count", F.col("passenger_count").cast("long")), "yellow")
+        write(tb.green_raw(t), "green")
+    finally:
+        t.unpersist()
+    return root
+
+
+def build_markers(spark: SparkSession, sf: str) -> str:
+    """The landing folders with a marker file each, for questions about which
+    files exist."""
+    root = scratch_path(spark, "markers")
+    t = tb.trips(spark, sf)
+    (t.select("taxi_type", F.date_format("pickup_datetime", "yyyy-MM").alias("month")).distinct()
+      .withColumn("marker", F.lit(1)).write.partitionBy("taxi_type", "month").parquet(root))
     return root
 
 
@@ -68,40 +83,33 @@ def _folder(root: str, typ: str, month: str) -> str:
 
 def _by_schema(spark: SparkSession, root: str, typ: str,
                months: list[str]) -> list[tuple[StructType, list[str]]]:
-    """Months that share a schema.  One footer a month is read, by executors (as
-    many as the window has months)."""
-    files = []
-    for month in months:
-        names = fs.list_names(spark, _folder(root, typ, month))
-        files.append(f"{_folder(root, typ, month)}/" + min(n for n in names if n.endswith(".parquet")))
-    found = footer_schemas(spark, files) if files else {}
-    schemas = [found[f] for f in files]
-    groups: dict[str, tuple[StructType, list[str]]] = {}
-    for month, schema in zip(months, schemas):
-        groups.setdefault(schema.json(), (schema, []))[1].append(month)
-    return list(groups.values())
-
-
-def _read_months(spark: SparkSession, root: str, typ: str, months: list[str],
-                 schema: StructType | None = None) -> DataFrame:
-    """One scan of the type's folder, pruned to ``months``; without a schema
-    only the folder names are read."""
-    fields = list(schema.fields) if schema else []
-    full = StructType([*fields, StructField("month", StringType())])
-    return (spark.read.schema(full).parquet(f"{root}/taxi_type={typ}")
-            .filter(F.col("month").isin(months)))
+    """The files of the months by their schema, one footer a file."""
+    return schema_groups(spark, [_folder(root, typ, m) for m in months]) if months else []
+
+
+def _read_files(spark: SparkSession, root: str, typ: str, schema: StructType, paths: list[str]) -> DataFrame:
+    """Files of one schema, with the month of their folder."""
+    full = StructType([*schema.fields, StructField("month", StringType())])
+    return spark.read.schema(full).option("basePath", f"{root}/taxi_type={typ}").parquet(*paths)
+
+
+def _read_months(spark: SparkSession, root: str, typ: str, months: list[str]) -> DataFrame:
+    """One scan of the type's folder, pruned to ``months``; only the folder
+    names are read."""
+    return (spark.read.schema(StructType([StructField("month", StringType())]))
+            .parquet(f"{root}/taxi_type={typ}").filter(F.col("month").isin(months)))
 
 
 def ingest(spark: SparkSession, root: str, start, end, types: list[str],
            extracted_at: str) -> DataFrame:
     """Months of the window x types -> existing files -> one scan per type and
-    schema, each standardised by its own columns -> one stacked frame (empty
+    schema of the files, each standardised by its own columns -> one stacked frame (empty
     but typed when no file)."""
     frames = []
     for typ in types:
         months = _planned_months(spark, root, typ, start, end)
-        for schema, own in _by_schema(spark, root, typ, months):
-            frames.append(standardize(_read_months(spark, root, typ, own, schema), typ, extracted_at))
+        for schema, paths in _by_schema(spark, root, typ, months):
+            frames.append(standardize(_read_files(spark, root, typ, schema, paths), typ, extracted_at))
     return reduce(DataFrame.unionByName, frames) if frames else empty_canonical(spark)
 
 

@@ -135,27 +135,21 @@ def read_union_by_name(spark: SparkSession, paths: list[str]) -> DataFrame:
     is cast to the widest type seen, and columns a group lacks are NULL.
     Column names match case-insensitively (the first spelling seen wins).
     """
-    from ridelake.sources.footers import footer_schemas
+    from ridelake.sources.footers import schema_groups
 
-    files = [f for p in paths for f in list_files(spark, p)]
-    if not files:
+    groups = schema_groups(spark, paths)
+    if not groups:
         raise FileNotFoundError(f"no parquet files under {paths}")
-    groups: dict[str, list[str]] = {}
-    schemas: dict[str, StructType] = {}
-    for f, schema in sorted(footer_schemas(spark, files).items()):
-        key = schema.json()
-        groups.setdefault(key, []).append(f)
-        schemas[key] = schema
     target: dict[str, DataType] = {}
     spelling: dict[str, str] = {}
-    for schema in schemas.values():
+    for schema, _ in groups:
         for field in schema.fields:
             k = field.name.lower()
             spelling.setdefault(k, field.name)
             target[k] = widest(target[k], field.dataType) if k in target else field.dataType
     frames = []
-    for key, group in groups.items():
-        df = spark.read.schema(schemas[key]).parquet(*group)
+    for schema, own in groups:
+        df = spark.read.schema(schema).parquet(*own)
         have = {c.lower(): c for c in df.columns}
         frames.append(df.select(*[
             (F.col(have[k]).cast(t) if k in have else F.lit(None).cast(t)).alias(spelling[k])
@@ -207,15 +201,37 @@ def present(spark: SparkSession, paths: list[str]) -> set[str]:
     return found
 
 
-def month_plan(spark: SparkSession, start, end, types: list[str], pattern: str) -> DataFrame:
-    """The file plan as a DataFrame with an ``exists`` flag per path.
+def listed_folders(spark: SparkSession, root: str, suffix: str = ".parquet") -> DataFrame:
+    """(folder) of every data file below ``root``; Spark's file index lists
+    them, and an absent root has none."""
+    if not fs.exists(spark, root):
+        return spark.createDataFrame([], "folder string")
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+             .option("pathGlobFilter", f"*{suffix}").load(root))
+    return files.select(F.regexp_replace("path", "/[^/]*$", "").alias("folder")).distinct()
 
-    The plan has months x types rows (bounded by the window, not the data).
-    """
-    planned = month_paths(start, end, types, pattern)
-    have = present(spark, [p for _, _, p in planned])
-    rows = [(t, m, p, p in have) for t, m, p in planned]
-    return spark.createDataFrame(rows, "taxi_type string, month date, path string, exists boolean")
+
+def month_plan(spark: SparkSession, start, end, types: list[str], pattern: str) -> DataFrame:
+    """The file plan as a DataFrame with an ``exists`` flag per path: months
+    made by Spark from the window, joined to one listing of the folder above
+    the first placeholder.
+
+    Only the window's ends and the types come from the driver."""
+    root = pattern.partition("{")[0].rpartition("/")[0]
+    first, last = parse_day(start).replace(day=1), parse_day(end) - dt.timedelta(days=1)
+    months = spark.range(1).select(F.explode(F.when(
+        F.lit(first) <= F.lit(last), F.sequence(F.lit(first), F.lit(last), F.expr("INTERVAL 1 MONTH")))).alias("month"))
+    planned = months.select(F.explode(F.array(*map(F.lit, types))).alias("taxi_type"), "month")
+    path = F.lit(pattern)
+    for name, value in (("type", F.col("taxi_type")), ("year", F.date_format("month", "yyyy")),
+                        ("month", F.date_format("month", "MM"))):
+        path = F.replace(path, F.lit(f"{{{name}}}"), value)
+    planned = planned.withColumn("path", path)
+    # a listed folder is qualified with its file system: compare what lies below the root
+    below = F.substring_index("folder", fs.plain_path(spark, root), -1)
+    have = listed_folders(spark, root).select(F.concat(F.lit(root), below).alias("path"), F.lit(True).alias("_there"))
+    return (planned.join(have, "path", "left")
+            .select("taxi_type", "month", "path", F.coalesce("_there", F.lit(False)).alias("exists")))
 
 
 def existing(spark: SparkSession, paths: list[str]) -> list[str]:

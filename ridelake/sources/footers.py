@@ -1,16 +1,16 @@
 """Parquet footers read by executors.
 
-The file list becomes a small DataFrame and ``mapInPandas`` opens each
-file's footer in a task, so metadata work is spread over the cluster
-instead of running file by file on the driver.  Only one row per file comes
-back.
+Spark's file index lists the files and ``mapInPandas`` opens each file's
+footer in a task, so metadata work is spread over the cluster instead of
+running file by file on the driver.
 """
 
 from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 _SPARK_SCHEMA_KEY = b"org.apache.spark.sql.parquet.row.metadata"
@@ -24,11 +24,6 @@ def _open(uri: str):
     return filesystem.open_input_file(rel)
 
 
-def file_listing(spark: SparkSession, files: list[str]) -> DataFrame:
-    n = max(1, min(len(files), spark.sparkContext.defaultParallelism))
-    return spark.createDataFrame([(f,) for f in files], "path string").repartition(n)
-
-
 def _schemas(batches):
     import pandas as pd
     import pyarrow.parquet as pq
@@ -48,8 +43,16 @@ def _schemas(batches):
         yield pd.DataFrame(out, columns=["path", "schema_json"])
 
 
-def footer_schemas(spark: SparkSession, files: list[str]) -> dict[str, StructType]:
-    """Spark schema of every file, from its footer (the schema Spark wrote, or
-    the one derived from the parquet types)."""
-    rows = file_listing(spark, files).mapInPandas(_schemas, "path string, schema_json string")
-    return {r["path"]: StructType.fromJson(json.loads(r["schema_json"])) for r in rows.collect()}
+def schema_groups(spark: SparkSession, folders: list[str]) -> list[tuple[StructType, list[str]]]:
+    """The parquet files below ``folders`` by the schema in their own footer
+    (the schema Spark wrote, or the one derived from the parquet types).
+
+    Spark lists the files; footers are read and grouped by executors, and one
+    row a schema comes back, with the paths that a scan of it needs.  Groups
+    and their files are in the order of the paths."""
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+              .option("pathGlobFilter", "*.parquet").load(folders).select("path"))
+    found = (listed.mapInPandas(_schemas, "path string, schema_json string")
+             .groupBy("schema_json").agg(F.sort_array(F.collect_list("path")).alias("paths")))
+    groups = [(StructType.fromJson(json.loads(r["schema_json"])), list(r["paths"])) for r in found.collect()]
+    return sorted(groups, key=lambda g: g[1][0])
