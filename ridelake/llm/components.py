@@ -2,16 +2,48 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import staged
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+#: Edges that one task settles by itself (16 bytes each).
+FEW_EDGES = 1_000_000
+
+
+def settled(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, smallest node reachable) of all nodes of an edge list."""
+    nodes, at = np.unique(np.concatenate((a, b)), return_inverse=True)  # ascending
+    left, right = at[:len(a)], at[len(a):]
+    up = np.arange(len(nodes))
+    while True:
+        x, y = up[left], up[right]
+        if (x == y).all():
+            return nodes, nodes[up]
+        np.minimum.at(up, np.maximum(x, y), np.minimum(x, y))
+        while (up[up] != up).any():
+            up = up[up]
+
+
+def _settle_few(edges: DataFrame) -> DataFrame:
+    def run(batches):
+        held = list(batches)
+        if held:
+            t = pa.Table.from_batches(held)
+            node, root = settled(*(t[c].to_numpy() for c in ("a", "b")))
+            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(root)], ["node", "root"])
+
+    return edges.coalesce(1).mapInArrow(run, "node long, root long")
+
+
+def components(edges: DataFrame, max_rounds: int = 60, few: int = FEW_EDGES) -> DataFrame:
     """(node, root): the smallest node reachable, for every node on an edge.
 
-    ``edges`` has bigint columns ``a`` and ``b``.  Alternating large-star and
+    ``edges`` has bigint columns ``a`` and ``b``.  Up to ``few`` edges are
+    settled in one task; more by alternating large-star and
     small-star rounds (Kiveris et al., 2014): every node hands its larger, then
     its smaller neighbours to its smallest neighbour, until only stars are
     left.  Minima are aggregated before the shuffle, so a node with a very
@@ -20,6 +52,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """
     now = staged(_oriented(edges.select("a", "b")), "links")
     mark = _mark(now)
+    if mark[0] <= few:
+        return staged(_settle_few(now), "roots")
     for _ in range(max_rounds):
         now = staged(_small_star(_large_star(now)), "links")
         seen, mark = mark, _mark(now)

@@ -8,9 +8,9 @@ piece is cut to fill the sequence, and the rest of it goes back to the pool.
 
 Examples are cut into pieces and tokenised where they are read.  Pieces are
 dealt by a hash of (document, piece) into bins of bounded expected size, so a
-very long document is spread over many, and each bin is packed by itself; at
-most one sequence a bin is left part full, and it is split at powers of two,
-which need no padding.
+very long document is spread over many, and each bin is packed by itself.  A
+sequence that is not full (the last of a bin, or one closed by another limit)
+is split at powers of two, which need no padding.
 """
 
 from __future__ import annotations
@@ -149,9 +149,7 @@ def _pieces(tokenizer: str, end_id: int, max_tokens: int, max_loss: int, names:
     return run
 
 
-def _pack_bin(width: int, max_tokens: int, max_segments: int, max_loss: int, with_ids: bool):
-    dtype = np.dtype("<u2" if width == 2 else "<u4")
-
+def _pack_bin(max_tokens: int, max_segments: int, max_loss: int, with_ids: bool):
     def run(key, t):
         t = t.sort_by([(c, "ascending") for c in ("doc_id", "_n", "start", "doc_tokens", "crc")])
         first = int(key[0].as_py()) << 32
@@ -164,15 +162,15 @@ def _pack_bin(width: int, max_tokens: int, max_segments: int, max_loss: int, wit
         seqs = [[(int(i), 0, max_tokens)] for i in np.flatnonzero(whole)]
         for s in packed:
             s = [(int(pick[i]), at, n) for i, at, n in s]
-            seqs += [s] if sum(n for _, _, n in s) == max_tokens or len(s) == max_segments \
-                else split_at_powers(s)
+            seqs += [s] if sum(n for _, _, n in s) == max_tokens else split_at_powers(s)
         rows, out = [], {c: [] for c in ("start", "length", "crc", "sequence_id", "offset", "ids")}
         for k, s in enumerate(seqs):
             offset = 0
             for i, at, n in s:
                 own = None
                 if held[i] is not None and (with_ids or n < length[i]):
-                    own = np.frombuffer(held[i], dtype)[at:at + n].astype("<u4")
+                    width = len(held[i]) // int(length[i])  # bytes an id
+                    own = np.frombuffer(held[i], f"<u{width}")[at:at + n].astype("<u4")
                 rows.append(i)
                 for c, v in zip(out, (int(start[i]) + at, n,
                                       int(crc[i]) if n == length[i] else zlib.crc32(own),
@@ -202,8 +200,9 @@ def pack_documents(docs: DataFrame, tokenizer: str, max_tokens: int = 2048, max_
     of their own; a null id is kept.  An empty table gives no rows; other
     columns are not read.  ``with_ids`` adds the ids themselves (unsigned
     32-bit, little-endian).  Each id of a document lies in exactly one piece;
-    ``offset`` is gapless from 0 in each sequence.  No sequence needs padding
-    unless ``max_segments`` or ``max_loss`` closes it.
+    ``offset`` is gapless from 0 in each sequence.  Every sequence holds
+    ``max_tokens`` or a power of two of them, whatever closed it, so none needs
+    padding.
     """
     limit = max_tokens if max_loss is None else max_loss
     if min(max_tokens, max_segments, limit) < 1:
@@ -221,7 +220,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, max_tokens: int = 2048, max_
         f"doc_id {kind}, _n int, start long, length long, quiet long, doc_tokens long, crc long, ids binary")
     dealt = cut.withColumn("bin", F.pmod(F.xxhash64("doc_id", "_n", "start"), F.lit(bins)))
     return dealt.groupBy("bin").applyInArrow(
-        _pack_bin(encoder(tokenizer).dtype.itemsize, max_tokens, max_segments, limit, with_ids),
+        _pack_bin(max_tokens, max_segments, limit, with_ids),
         f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
         + (", ids binary" if with_ids else ""))
 

@@ -271,11 +271,13 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = 8_000) -> Model:
     chosen = (ids.orderBy(F.col("quality").isNull() & F.col("toxic").isNull(), F.xxhash64("doc_id"))
               .limit(max_train))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    # the broadcast is bounded by max_train ids
-    picked = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    got = (picked.select("doc_id", "text").mapInArrow(
-        _each_slice(_sample_rows), f"doc_id {kind}, code long, features array<int>")
-        .join(F.broadcast(chosen), "doc_id").orderBy("doc_id", "code").toArrow())
+    # the broadcast is bounded by max_train ids; of rows that share an id one is
+    # taken, by a hash of its text, before anything reaches the driver
+    order = F.struct(F.xxhash64("text"), F.xxhash64(F.lit(1), "text"))
+    picked = (docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id")), "doc_id")
+              .groupBy("doc_id").agg(F.min_by(F.coalesce("text", F.lit("")), order).alias("text")))
+    got = (picked.mapInArrow(_each_slice(_sample_rows), f"doc_id {kind}, code long, features array<int>")
+           .join(F.broadcast(chosen), "doc_id").toArrow().sort_by("doc_id"))
     rows = got.num_rows
     code = got["code"].to_numpy()
     lists = got["features"].combine_chunks()

@@ -300,3 +300,23 @@ def test_shards_and_slots(spark):
     want = Counter((d, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for d, t in rows)
     assert Counter((r.doc_id, r.size, r.text_crc32) for r in out) == want
     assert sharding.shard_documents(empty(spark)).count() == 0
+
+
+def test_ids_of_many_odd_texts_are_the_tokenizers():
+    """Words, marks and white space in every mixture, against the library."""
+    rng = random.Random(17)
+    enc = encoder(PATH)
+    bits = ["word", "Mot", "é", "ß", "x" * 60, "!", "...", "$$$", "%&", "'", "'s", "’", "12", "1a", " ", "  ", "\n",
+            "\n\n", " \n", "\t", " ", "\x1c", "　", "日本", "_", "-", "<|endoftext|>", "?!\n", ".\nThe", "\u0085"]
+    for _ in range(6000):
+        text = "".join(rng.choice(bits) for _ in range(rng.randrange(1, 9)))
+        want = enc.tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(enc.encode(text), enc.dtype).tolist() == want, repr(text)
+
+
+def test_short_documents_need_no_padding(spark):
+    docs = frame(spark, [(i, "a b") for i in range(3000)], clash=False)
+    out = packing.pack_documents(docs, PATH).groupBy("sequence_id").agg({"length": "sum", "offset": "count"}).collect()
+    totals = [r["sum(length)"] for r in out]
+    assert sum(totals) == 9000 and all(t & (t - 1) == 0 for t in totals)
+    assert max(r["count(offset)"] for r in out) <= 256
