@@ -43,26 +43,38 @@ def ascii_lower(col):
     return F.translate(col, UPPER, UPPER.lower())
 
 
+#: Ranges (a power of two) in which the rows of one id are numbered.
+NUMBER_RANGES = 1024
+
+
 def numbered(docs: DataFrame, extra: Iterable[str] = ("text",)) -> DataFrame:
     """(doc_id, _n, *extra): the rows of a document table with ``_n`` numbering
     the rows of one ``doc_id`` from 0 in the order of their texts.
 
-    Rows that repeat an id are separate documents.  Ids normally do not
-    repeat, which one pass over the id column alone establishes; the window
-    runs only over the rows of repeated ids."""
-    cols = [F.col(c) for c in extra]
-    base = docs.select("doc_id", *cols)
+    Rows that repeat an id are separate documents, ordered by 128 bits of their
+    text's hash; rows alike in id and text follow in any order.  Ids normally do
+    not repeat, which one pass over the id column alone establishes; only the
+    rows of repeated ids are numbered.  An id of any number of rows is numbered
+    in ``NUMBER_RANGES`` ranges of the hash, each moved up by the counts of
+    those before."""
+    base = docs.select("doc_id", *[F.col(c) for c in extra])
     again = (base.groupBy("doc_id").count().where("count > 1")
              .select(F.col("doc_id").alias("_again")))
     if again.isEmpty():
         return base.withColumn("_n", F.lit(0))
     hit = base["doc_id"].eqNullSafe(F.col("_again"))
     once = base.join(again, hit, "left_anti").withColumn("_n", F.lit(0))
-    order = [F.xxhash64("text"), F.col("text")] if "text" in extra else cols
-    w = Window.partitionBy("doc_id").orderBy(*order)
-    more = (base.join(again, hit, "left_semi")
-            .withColumn("_n", (F.row_number().over(w) - 1).cast("int")))
-    return once.unionByName(more)
+    order = F.xxhash64("text")
+    more = base.join(again, hit, "left_semi").withColumns(
+        {"_order": order, "_range": F.shiftright(order, 64 - NUMBER_RANGES.bit_length() + 1)})
+    counts = more.groupBy("doc_id", "_range").agg(F.count("*").alias("_rows"))
+    earlier = Window.partitionBy("doc_id").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    base_of = counts.select(F.col("doc_id").alias("_id"), F.col("_range").alias("_of"),
+                            F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_base"))
+    own = Window.partitionBy("doc_id", "_range").orderBy("_order", F.xxhash64(F.lit(1), "text"))
+    placed = more.withColumn("_own", F.row_number().over(own) - 1).join(
+        base_of, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_range") == F.col("_of")))
+    return once.unionByName(placed.select(*base.columns, (F.col("_base") + F.col("_own")).cast("int").alias("_n")))
 
 
 def with_fields(schema: T.StructType, *fields: tuple[str, T.DataType]) -> T.StructType:

@@ -2,8 +2,9 @@
 
 A seed hashes some of the words in a short span and ignores the others, so it
 still hits when an ignored word was substituted.  The two masks together hit
-every run of 13 words (and every longer run) of which a fifth is substituted.
-Test and training seeds meet in one hash join; around each hit the whole item
+every run of 13 words (and every longer run) of which a fifth is substituted,
+and every item of 8 to 12 words of which one is.  Items of fewer than six
+words, where the benchmark has any, are hashed whole.  Test and training seeds meet in one hash join; around each hit the whole item
 is laid over the document without gaps, and a hit counts only where at least
 ``share`` of the words of a window of ``window`` words agree.
 
@@ -13,6 +14,8 @@ seeds of the benchmark, which are broadcast only after they have been counted.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +24,8 @@ from .common import UPPER, prepare, table
 #: Offsets of the words that each mask reads.
 MASKS = ((0, 2, 3, 4, 5), (0, 1, 2, 4, 6))
 SPAN = 6
+#: Items from so many words on may differ in one word (the masks hit them all).
+ONE_OFF = 8
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 #: Benchmark seeds are broadcast up to this number of rows (24 bytes each).
@@ -47,31 +52,52 @@ def _seeds(rows: DataFrame, keep: list[str]) -> DataFrame:
         *keep, "at", "explode_outer(keys) AS key").where("at IS NOT NULL")
 
 
+def _whole_seeds(rows: DataFrame, keep: list[str], sizes: list[int]) -> DataFrame:
+    """Seeds that read every word of runs of these sizes."""
+    parts = []
+    for n in sizes:
+        words = ", ".join(f"get(h, at + {o})" for o in range(n))
+        parts.append(rows.selectExpr(
+            *keep, f"explode_outer(CASE WHEN size(h) >= {n} THEN sequence(0, size(h) - {n}) END) AS at")
+            .selectExpr(*keep, "at", f"xxhash64({-n}, {words}) AS key").where("at IS NOT NULL"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = 13, share: float = 0.8,
-             broadcast_seeds: int = BROADCAST_SEEDS) -> DataFrame:
+             shortest: int = 3, broadcast_seeds: int = BROADCAST_SEEDS) -> DataFrame:
     """One row for each document and benchmark item that overlap.
 
     doc_id, item_id, doc_start and doc_end (words from 0, half-open),
     item_start and item_end, n_equal and n_overlap (words), item_words.  Of
     several overlaps of a document and an item the one with most equal words
-    is returned (then the first).  Items shorter than ``window`` must agree in
-    every word; items of fewer than six words are too short to be evidence and
-    are not searched.  Null and empty texts have no words.  Rows that repeat a
+    is returned (then the first).  Items shorter than ``window`` must agree as
+    a whole: in all words but one from eight words on, in every word below.
+    Items of fewer than ``shortest`` words are no evidence and are not
+    searched.  Null and empty texts have no words.  Rows that repeat a
     document or item id are searched each and reported once; null ids are
     reported as such.  Empty tables give no rows; other columns are not read.
     """
-    items = benchmark.selectExpr("item_id", f"{word_hashes('text')} AS ih").where(f"size(ih) >= {SPAN}")
-    tests = _seeds(items.selectExpr("item_id", "ih", "ih AS h"), ["item_id", "ih", "h"]).selectExpr(
-        "key", "item_id", "ih", "at AS item_at")
-    # the item's words go along, so the bound is on words, not on rows
-    words = items.selectExpr("sum(size(ih) * size(ih)) AS n").first()["n"] or 0
-    if words * len(MASKS) <= broadcast_seeds:
-        tests = F.broadcast(tests)
+    items = benchmark.selectExpr("item_id", f"{word_hashes('text')} AS ih").where(f"size(ih) >= {shortest}")
+    # the item's words go along, so the bound is on words, not on rows; sizes
+    # below the span are few
+    found = items.selectExpr("sum(size(ih) * size(ih)) AS n",
+                             f"sort_array(collect_set(IF(size(ih) < {SPAN}, size(ih), NULL))) AS sizes").first()
     texts = docs.selectExpr("doc_id", f"{word_hashes('text')} AS h")
-    need = f"IF(size(ih) < {window}, size(ih), CAST(ceil({share} * {window}) AS INT))"
+    test_words = items.selectExpr("item_id", "ih", "ih AS h")
+    tests, seeds = _seeds(test_words, ["item_id", "ih", "h"]), _seeds(texts, ["doc_id", "h"])
+    if found["sizes"]:
+        # a whole seed of a longer item would hit too, but only repeat its hits
+        whole = _whole_seeds(test_words.where(f"size(h) < {SPAN}"), ["item_id", "ih", "h"], found["sizes"])
+        tests = tests.unionByName(whole)
+        seeds = seeds.unionByName(_whole_seeds(texts, ["doc_id", "h"], found["sizes"]))
+    tests = tests.selectExpr("key", "item_id", "ih", "at AS item_at")
+    if (found["n"] or 0) * len(MASKS) <= broadcast_seeds:
+        tests = F.broadcast(tests)
+    need = (f"CASE WHEN size(ih) >= {window} THEN CAST(ceil({share} * {window}) AS INT) "
+            f"WHEN size(ih) >= {ONE_OFF} THEN size(ih) - 1 ELSE size(ih) END")
     # the row number keeps what follows out of the join's condition: the join
     # stays in generated code, which copies a document's hashes for hits only
-    hits = (_seeds(texts, ["doc_id", "h"]).join(tests, "key")
+    hits = (seeds.join(tests, "key")
             .selectExpr("doc_id", "h", "ih", "at", "item_id", "item_at",
                         "monotonically_increasing_id() AS hit")
             .selectExpr("hit", "doc_id", "item_id", "size(ih) AS item_words", "at - item_at AS shift",

@@ -57,7 +57,7 @@ b AS (
   SELECT item_id, list_filter(regexp_split_to_array(translate(text, '{_UPPER}', '{_LOWER}'),
            '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') w FROM benchmark),
 dw AS (SELECT doc_id, unnest(w) word, generate_subscripts(w, 1) - 1 p FROM d),
-bw AS (SELECT item_id, len(w) n, unnest(w) word, generate_subscripts(w, 1) - 1 q FROM b WHERE len(w) >= 6),
+bw AS (SELECT item_id, len(w) n, unnest(w) word, generate_subscripts(w, 1) - 1 q FROM b WHERE len(w) >= 3),
 -- every pair of equal words, on its diagonal: no seeds
 eq AS (SELECT doc_id, item_id, n, p - q AS shift, q FROM dw JOIN bw USING (word)),
 runs AS (
@@ -66,9 +66,9 @@ runs AS (
   FROM eq QUALIFY count(*) OVER (PARTITION BY doc_id, item_id, shift) >= least(n, 13) * 0.8),
 starts AS (  -- window starts need not be equal words themselves
   SELECT doc_id, item_id, n, shift, s.s AS s, count(*) c
-  FROM runs, (SELECT unnest(range(0, 4000)) s) s
-  WHERE s.s <= n - least(n, 13) AND q >= s.s AND q < s.s + least(n, 13)
-  GROUP BY doc_id, item_id, n, shift, s.s HAVING count(*) >= CASE WHEN n < 13 THEN n ELSE 11 END),
+  FROM runs, LATERAL (SELECT unnest(range(greatest(q - least(n, 13) + 1, 0), least(q, n - least(n, 13)) + 1)) s) s
+  GROUP BY doc_id, item_id, n, shift, s.s
+  HAVING count(*) >= CASE WHEN n >= 13 THEN 11 WHEN n >= 8 THEN n - 1 ELSE n END),
 span AS (
   SELECT doc_id, item_id, n, shift, min(s) a, max(s) + least(n, 13) z FROM starts
   GROUP BY doc_id, item_id, n, shift),

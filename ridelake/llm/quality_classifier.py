@@ -160,14 +160,14 @@ def one_of_each_text(rows: int, row: np.ndarray, bucket: np.ndarray) -> np.ndarr
 
 
 def screened(rows: int, row: np.ndarray, feature: np.ndarray, target: np.ndarray,
-             least_z: float = 4.0, least_share: float = 0.004, most: int = 400) -> np.ndarray:
+             least_z: float = 4.0, least_share: float = 0.004) -> np.ndarray:
     """Features that mark bad documents, by forward selection: the one whose
     share of bad documents stands out most (in standard errors), then again
     without the bad documents that it explains.  So the other words of a group
     of near copies are not taken for marks once one of them is."""
     least_rows = max(4, int(target.sum() * least_share))
     live, chosen = np.ones(rows, bool), []
-    while len(chosen) < most and rows:
+    while rows:
         n = np.bincount(feature, minlength=N_FEATURES).astype(float)
         bad = np.bincount(feature, weights=target[row], minlength=N_FEATURES)
         p = target[live].mean() if live.any() else 0.0

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import numbered, prepare, table
+from .common import prepare, staged, table
 
 
 def jump_hash(keys: np.ndarray, shards: int) -> np.ndarray:
@@ -47,25 +47,27 @@ def shard_documents(docs: DataFrame, shards: int = 16, sub_buckets: int = 1024)
     """Shard, slot and grown shard of every row.
 
     ``shard`` depends on ``doc_id`` and ``shards`` alone.  A null id is a key
-    like any other; rows with one id share a shard; a null text counts as
+    like any other; rows with one id share a shard (rows with equal texts and
+    different ids need not: the id decides); a null text counts as
     empty; an empty table gives no rows; other columns are not read.
 
     Slots are numbered from 0 without gaps in each shard.  A shard is never
-    one window: rows are numbered inside (shard, sub-bucket) and moved up by
-    the counts of the sub-buckets before, a table of ``shards * sub_buckets``
-    rows at most, which is what the broadcast is bounded by.
+    one window, nor is an id: rows are numbered inside (shard, sub-bucket), the
+    sub-bucket by id and text, and moved up by the counts of the sub-buckets
+    before, a table of ``shards * sub_buckets`` rows at most, which is what the
+    broadcast is bounded by.
     """
     key = F.xxhash64("doc_id")
-    sub = F.pmod(F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(1)), 7), F.lit(sub_buckets))
-    rows = docs.select(
-        "doc_id",
-        (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
-        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+    size = (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long")
+    crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
+    sub = F.pmod(F.shiftrightunsigned(F.xxhash64("doc_id", size, crc), 7), F.lit(sub_buckets))
+    # texts are read once; counts and numbers are taken from the narrow rows
+    rows = staged(docs.select(
+        "doc_id", size.alias("size"), crc.alias("text_crc32"),
         jump_shard(key, shards).alias("shard"),
         jump_shard(key, shards + 1).alias("grown_shard"),
-        sub.cast("int").alias("_sub"))
-    counts = (docs.select(jump_shard(key, shards).alias("shard"), sub.cast("int").alias("_sub"))
-              .groupBy("shard", "_sub").count())
+        sub.cast("int").alias("_sub")), "shards")
+    counts = rows.groupBy("shard", "_sub").count()
     before = (Window.partitionBy("shard").orderBy("_sub")
               .rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select("shard", "_sub", F.coalesce(F.sum("count").over(before), F.lit(0))

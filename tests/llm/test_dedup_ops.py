@@ -126,3 +126,26 @@ def test_kept_text_is_what_was_hashed(spark):
     assert {r.lang for r in kept} == {"en"}
     for r in kept:
         assert len((r.text or "").encode()) in range(r.n_bytes - r.n_removed - 6, r.n_bytes - r.n_removed + 1)
+
+
+def test_components_by_rounds_and_in_one_task_agree(spark):
+    from ridelake.llm.components import components, settled
+
+    rng = random.Random(2)
+    edges = [(rng.randrange(-400, 400), rng.randrange(-400, 400)) for _ in range(330)] + [(i, i + 1) for i in range(900, 960)]
+    edges += [(7, 7), (1 << 62, -(1 << 62))]
+    least = {}
+    for a, b in edges:
+        least.setdefault(a, a), least.setdefault(b, b)
+    for _ in range(100):
+        for a, b in edges:
+            least[a] = least[b] = min(least[a], least[b])
+    loops = {a for a, b in edges if a == b} - {x for a, b in edges if a != b for x in (a, b)}
+    want = sorted((n, r) for n, r in least.items() if n not in loops)
+    df = spark.createDataFrame(edges, "a long, b long")
+    assert sorted(map(tuple, components(df).collect())) == want
+    # stars name every node but the roots
+    assert sorted(map(tuple, components(df, few=0).collect())) == [(n, r) for n, r in want if n != r]
+    assert components(df.where("1 = 0")).count() == 0
+    nodes, roots = settled(np.zeros(0, np.int64), np.zeros(0, np.int64))
+    assert len(nodes) == len(roots) == 0

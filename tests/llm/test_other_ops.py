@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from llm_fixtures import MARK, SPACE, edge_rows, empty, frame, low, prose
+from llm_fixtures import MARK, SPACE, by_text, edge_rows, empty, frame, low, prose
 
 from ridelake.llm import decontam, licenses, packing, quality_rules, sharding, url_filter
 from ridelake.llm.tokens import encoder, public_path
@@ -87,10 +87,10 @@ def brute_overlaps(docs, items, window=13, share=0.8):
         w = MARK.findall(low(text))
         for item, t in items:
             v = MARK.findall(low(t))
-            if len(v) < 6:
+            if len(v) < 3:
                 continue
             wide = min(window, len(v))
-            need = wide if len(v) < window else -(-wide * 8 // 10)
+            need = -(-wide * 8 // 10) if len(v) >= window else wide - 1 if len(v) >= 8 else wide
             for shift in range(-len(v) + 1, len(w)):
                 eq = [0 <= shift + q < len(w) and w[shift + q] == v[q] for q in range(len(v))]
                 good = [s for s in range(len(v) - wide + 1) if sum(eq[s:s + wide]) >= need]
@@ -106,11 +106,13 @@ def brute_overlaps(docs, items, window=13, share=0.8):
 def test_decontamination_tolerates_substitutions(spark, broadcast):
     rng = random.Random(8)
     vocabulary = [f"w{i}" for i in range(300)]
-    items = [(i, prose(rng, n, vocabulary)) for i, n in enumerate((20, 13, 9, 6, 40, 5, 30))] + [(7, None), (8, "")]
+    items = [(i, prose(rng, n, vocabulary)) for i, n in enumerate((20, 13, 9, 6, 40, 5, 30))] + [
+        (7, None), (8, ""), (9, prose(rng, 8, vocabulary)), (10, prose(rng, 12, vocabulary)), (11, prose(rng, 3, vocabulary)),
+        (12, "zz zz"), (13, prose(rng, 4, vocabulary)), (14, prose(rng, 7, vocabulary))]
     docs = [(i, t) for i, (_, t) in enumerate(edge_rows()) if i != 4]
-    for i in range(60):
-        _, t = items[i % 7]
-        w = t.split()
+    texts = [t for _, t in items if t]
+    for i in range(140):
+        w = texts[i % len(texts)].split()
         for k in rng.sample(range(len(w)), rng.randrange(0, len(w) // 4 + 1)):
             w[k] = "subst"
         cut = w[rng.randrange(0, 4):] if i % 3 else w
@@ -132,6 +134,13 @@ def _lit(x):
     return F.lit(x)
 
 
+def test_masks_hit_every_short_item_with_one_substitution():
+    for size in range(decontam.ONE_OFF, 13):
+        for gone in range(size):
+            assert any(gone not in {o + m for m in mask} for mask in decontam.MASKS
+                       for o in range(size - mask[-1])), (size, gone)
+
+
 def test_masks_hit_every_run_of_thirteen():
     from itertools import combinations
 
@@ -320,3 +329,29 @@ def test_short_documents_need_no_padding(spark):
     totals = [r["sum(length)"] for r in out]
     assert sum(totals) == 9000 and all(t & (t - 1) == 0 for t in totals)
     assert max(r["count(offset)"] for r in out) <= 256
+
+
+def test_numbers_of_repeated_ids_have_no_gaps(spark):
+    from ridelake.llm.common import numbered
+
+    rows = [(5 if i % 3 == 0 else None if i % 7 == 0 else i, f"text {i % 800}") for i in range(6000)]
+    rows += [(i, None) for i in (5, 5, None, 6001)]
+    got = numbered(frame(spark, rows, clash=False)).collect()
+    assert by_text((r.doc_id, r.text) for r in got) == by_text(rows)
+    of = defaultdict(list)
+    for r in got:
+        of[r.doc_id].append((r._n, r.text))
+    for held in of.values():
+        held.sort(key=lambda x: x[0])
+        assert [n for n, _ in held] == list(range(len(held)))
+        texts = [t for _, t in held]
+        assert sum(a != b for a, b in zip(texts, texts[1:])) == len(set(texts)) - 1  # equal texts stand together
+
+
+def test_slots_of_a_hot_id_have_no_gaps(spark):
+    rows = [(None if i % 3 else 4, f"t{i}") for i in range(5000)] + [(i, None) for i in range(500)]
+    df = frame(spark, rows, clash=False)
+    slots = defaultdict(list)
+    for r in sharding.shard_documents(df).collect():
+        slots[r.shard].append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and sum(map(len, slots.values())) == 5500
