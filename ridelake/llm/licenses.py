@@ -26,34 +26,62 @@ from .common import (IS_MARK, LOWER, prepare, span_hashes, split_words, table, t
 PHRASES = (("mit", "the mit license"), ("apache-2", "apache license version 2"),
            ("cc-by-nc", "cc by nc"))
 
-#: (label, text): openings and usual notices of public licences, fixed values.
+#: Creative Commons clauses: (label, title, clause), fixed values.
+CREATIVE_COMMONS = (
+    ("cc-by", "Attribution", "BY"),
+    ("cc-by-nc", "Attribution-NonCommercial", "BY-NC"),
+    ("cc-by-nc-nd", "Attribution-NonCommercial-NoDerivatives", "BY-NC-ND"),
+    ("cc-by-nc-nd", "Attribution-NonCommercial-NoDerivs", "BY-NC-ND"),
+    ("cc-by-nc-sa", "Attribution-NonCommercial-ShareAlike", "BY-NC-SA"),
+    ("cc-by-nd", "Attribution-NoDerivatives", "BY-ND"),
+    ("cc-by-nd", "Attribution-NoDerivs", "BY-ND"),
+    ("cc-by-sa", "Attribution-ShareAlike", "BY-SA"),
+)
+
+#: (label, text): openings, usual notices and short whole texts of public
+#: licences, fixed values.  The words in braces tell a licence from its kin.
 TEMPLATES = (
-    ("agpl-3", "licensed under the GNU Affero General Public License, version 3"),
-    ("apache-2", "Licensed under the Apache License, Version 2.0"),
-    ("apache-2", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this'
+    ("agpl-3", "licensed under the {GNU Affero General Public License, version 3}"),
+    ("apache-1.1", "Licensed under the {Apache License, Version 1.1}"),
+    ("apache-2", "Licensed under the {Apache License, Version 2}.0"),
+    ("apache-2", "Licensed under the {Apache License 2}.0"),
+    ("apache-2", 'Licensed under the {Apache License, Version 2}.0 (the "License"); you may not use this'
                  " file except in compliance with the License. You may obtain a copy of the License at"),
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are"
             " permitted provided that the following conditions are met"),
-    ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
-    ("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0"
-                 " International License"),
-    ("cc-by-nc", "Licensed under CC BY-NC 4.0"),
-    ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0"
-                 " International License"),
-    ("gpl-2", "licensed under the GNU General Public License, version 2"),
-    ("gpl-3", "licensed under the GNU General Public License, version 3"),
+    ("bsl-1", "Distributed under the {Boost Software License, Version 1}.0"),
+    ("cc0-1", "licensed under {CC0 1}.0 Universal"),
+    ("epl-1", "made available under the terms of the {Eclipse Public License v1}.0"),
+    ("epl-2", "made available under the terms of the {Eclipse Public License 2}.0"),
+    ("epl-2", "made available under the terms of the {Eclipse Public License v. 2}.0"),
+    ("gpl-1", "licensed under the {GNU General Public License, version 1}"),
+    ("gpl-2", "licensed under the {GNU General Public License, version 2}"),
+    ("gpl-3", "licensed under the {GNU General Public License, version 3}"),
+    ("gpl-2", "This program is free software; you can redistribute it and/or modify it under the"
+              " terms of the {GNU General Public License as published by the Free Software Foundation;"
+              " either version 2} of the License, or (at your option) any later version"),
     ("gpl-3", "This program is free software: you can redistribute it and/or modify it under the"
-              " terms of the GNU General Public License as published by the Free Software Foundation,"
-              " either version 3 of the License, or (at your option) any later version"),
+              " terms of the {GNU General Public License as published by the Free Software Foundation,"
+              " either version 3} of the License, or (at your option) any later version"),
     ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or"
             " without fee is hereby granted"),
-    ("lgpl-3", "licensed under the GNU Lesser General Public License, version 3"),
-    ("mit", "Released under the MIT License"),
+    ("lgpl-2", "licensed under the {GNU Library General Public License, version 2}"),
+    ("lgpl-2.1", "licensed under the {GNU Lesser General Public License, version 2.1}"),
+    ("lgpl-3", "licensed under the {GNU Lesser General Public License, version 3}"),
+    ("mit", "Released under the {MIT License}"),
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this"
             ' software and associated documentation files (the "Software"), to deal in the Software'
             " without restriction"),
-    ("mpl-2", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
+    ("mpl-1.1", "subject to the {Mozilla Public License Version 1.1}"),
+    ("mpl-2", "This Source Code Form is subject to the terms of the {Mozilla Public License, v. 2}.0"),
     ("unlicense", "This is free and unencumbered software released into the public domain"),
+    ("zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will"
+             " the authors be held liable for any damages arising from the use of this software"),
+    *((label, f"This work is licensed under a Creative Commons {{{title} {version[0]}}}{version[1:]} License")
+      for label, title, _ in CREATIVE_COMMONS for version in ("3.0 Unported", "4.0 International")),
+    *((label, f"Licensed under {{CC {clause} {version[0]}}}{version[1:]}")
+      for label, clause in sorted({(label, clause) for label, _, clause in CREATIVE_COMMONS})
+      for version in ("3.0", "4.0")),
 )
 
 
@@ -64,6 +92,14 @@ def words_of(text: str) -> list[bytes]:
     return [raw[s:e] for s, e in zip(starts.tolist(), ends.tolist())]
 
 
+def marked_words(text: str) -> tuple[list[bytes], tuple[int, int] | None]:
+    """Words of a template, and the places (first, end) of those in braces."""
+    before, _, rest = text.partition("{")
+    inside, _, after = rest.partition("}")
+    head, decisive = words_of(before), words_of(inside)
+    return head + decisive + words_of(after), (len(head), len(head) + len(decisive)) if decisive else None
+
+
 class SuffixAutomaton:
     """Generalised: one automaton over several sequences of integers.  Each
     state knows where (sequence, last place) its strings occur."""
@@ -125,7 +161,9 @@ class SuffixAutomaton:
 
 class Scanner:
     def __init__(self, phrases, templates, min_match: int, min_cover: float, max_gap: int):
-        named = [(label, words_of(t)) for label, t in (*phrases, *templates)]
+        marked = [(label, marked_words(t)) for label, t in (*phrases, *templates)]
+        named = [(label, words) for label, (words, _) in marked]
+        self.decisive = [place for _, (_, place) in marked]
         if any(len(w) < 2 for _, w in named):
             raise ValueError("phrases and templates need two words or more")
         self.labels = [label for label, _ in named]
@@ -161,47 +199,80 @@ class Scanner:
                for a, z in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1))]
         return n, out
 
+    def matches(self, run: list[int]):
+        """(sequence, place in the run, place in the sequence, words): what each
+        sequence has in common with the run and neither side can extend."""
+        automaton = self.automaton
+        least = min(self.min_match, min(map(len, self.sequences)))
+        for i, (n, state) in enumerate(automaton.statistics(run)):
+            seen = set()
+            while n >= least:  # shorter suffixes occur in further sequences
+                for k, end in automaton.ends[state]:
+                    s = self.sequences[k]
+                    if (k, end) in seen or n < min(self.min_match, len(s)):
+                        continue
+                    seen.add((k, end))
+                    if end + 1 == len(s) or i + 1 == len(run) or s[end + 1] != run[i + 1]:
+                        yield k, i + 1 - n, end + 1 - n, n
+                state = automaton.link[state]
+                n = automaton.length[state]
+
     def scan(self, runs: list[tuple[int, list[int]]]):
         """Base places, and spans (template, first word, end word, cover), of one document."""
-        base, matches = [], {}
+        base, found_by = [], {}
         for first, run in runs:
-            stats = self.automaton.statistics(run)
-            for i, (n, state) in enumerate(stats):
-                for k in range(self.n_phrases):
-                    s = self.sequences[k]
-                    if n >= len(s) and run[i + 1 - len(s):i + 1] == s:
-                        base.append((first + i + 1 - len(s), k))
-                if i + 1 < len(stats) and stats[i + 1][0] == n + 1:
-                    continue  # not maximal
-                for k, end in self.automaton.ends[state]:
-                    # short templates count when they match from end to end
-                    if n >= min(self.min_match, len(self.sequences[k])):
-                        matches.setdefault(k, []).append((first + i + 1 - n, end + 1 - n, n))
+            for k, at, t, n in self.matches(run):
+                found_by.setdefault(k, []).append((first + at, t, n))
+                if k < self.n_phrases and n == len(self.sequences[k]):
+                    base.append((first + at, k))
         spans = []
-        for k, found in matches.items():
+        for k, found in found_by.items():
             spans += self.chain(k, sorted(found))
-        return base, spans
+        return base, self.best_spans(spans)
 
     def chain(self, k: int, found):
-        """Best chain ending in each match; the best of them, repeated on what
-        lies beyond it."""
-        best = []  # (words covered, first word) of the best chain that ends with the match
+        """Best chain ending in each match that has the decisive words in one
+        match; the best of them, repeated on what lies beyond it."""
+        # (words covered, first word) of the best chain that ends with the match:
+        # of all chains, and of those with the decisive words
+        free, bound = [], []
         whole, lo = len(self.sequences[k]), 0
+        d = self.decisive[k]
         for j, (at, t, n) in enumerate(found):
-            cover, start = n, at
+            has = d is None or (t <= d[0] and d[1] <= t + n)
+            any_chain, own = (n, at), (n, at) if has else None
             while found[lo][0] < at - self.max_gap - whole:
                 lo += 1  # no match that starts so early reaches this one
-            for (at2, t2, n2), (c2, s2) in zip(found[lo:j], best[lo:j]):
-                if at2 + n2 <= at <= at2 + n2 + self.max_gap and t2 + n2 <= t and c2 + n > cover:
-                    cover, start = c2 + n, s2
-            best.append((cover, start))
+            for i in range(lo, j):
+                at2, t2, n2 = found[i]
+                if at2 + n2 <= at <= at2 + n2 + self.max_gap and t2 + n2 <= t:
+                    cover, start = free[i]
+                    if cover + n > any_chain[0]:
+                        any_chain = cover + n, start
+                    before = free[i] if has else bound[i]
+                    if before is not None and (own is None or before[0] + n > own[0]):
+                        own = before[0] + n, before[1]
+            free.append(any_chain)
+            bound.append(own)
         out = {}
-        for (at, t, n), (cover, start) in zip(found, best):
+        for (at, t, n), chained in zip(found, bound):
+            if chained is None:
+                continue
+            cover, start = chained
             share = min(1.0, cover / whole)
             if share >= self.min_cover and share > out.get(start, (0, 0.0))[1]:
                 out[start] = (at + n, share)
         return [(k, s, e, c) for s, (e, c) in out.items()]
 
+    def best_spans(self, spans):
+        """Words that templates of several labels claim go to the one that
+        covers most words there, then the larger share, then the earlier."""
+        kept = []
+        for k, s, e, c in sorted(spans, key=lambda x: (-x[3] * len(self.sequences[x[0]]), -x[3], x[0], x[1])):
+            if all(e <= s2 or e2 <= s or self.labels[k] == self.labels[k2] for k2, s2, e2, _ in kept):
+                kept.append((k, s, e, c))
+        return kept
+
 
 def scan_licenses(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, min_match: int = 4,
                   min_cover: float = 0.6, max_gap: int = 6) -> DataFrame:
@@ -210,7 +281,10 @@ def scan_licenses(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, min_mat
     A base place is where a phrase's words stand consecutively (overlaps
     count).  A template labels a document when a chain of matches of at least
     ``min_match`` words, at most ``max_gap`` words apart, covers ``min_cover``
-    of it; ``score`` is the best cover, 1 where there is a base place.
+    of it and one of the matches holds all words in braces (version, clauses),
+    if the template marks some.  Of overlapping spans with different labels
+    the longest counts.  ``score`` is the best cover, 1 where there is a base
+    place.
     ``spans`` are (label, first word, end word, cover).  A null text is empty;
     without a match labels are '', score 0, places null.  Repeated rows are
     scanned each; an empty table gives no rows; other columns are not read.

@@ -175,6 +175,81 @@ def test_licence_scan_matches_brute_force(spark):
     assert licenses.scan_licenses(empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("text, labels", [
+    ("Licensed under the Apache License, Version 1.1", "apache-1.1"),
+    ("Licensed under the Apache License, Version 2.0 (the License); you may not use this file", "apache-2"),
+    ("licensed under the Apache License 2.0.", "apache-2"),
+    ("Licensed under the Apache License, Version 3.0", ""),
+    ("licensed under the GNU Lesser General Public License, version 2.1", "lgpl-2.1"),
+    ("licensed under the GNU Lesser General Public License, version 3", "lgpl-3"),
+    ("licensed under the GNU General Public License, version 1", "gpl-1"),
+    ("licensed under the terms of the GNU General Public License, version 2", "gpl-2"),
+    ("licensed under the GNU General Public License, version 4", ""),
+    ("This program is free software; you can redistribute it and/or modify it under the terms of the GNU"
+     " General Public License as published by the Free Software Foundation; either version 2 of the License,"
+     " or (at your option) any later version.", "gpl-2"),
+    ("licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License", "cc-by-nd"),
+    ("licensed under a Creative Commons Attribution 3.0 Unported License", "cc-by"),
+    ("licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License",
+     "cc-by-nc-sa"),
+    ("licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License", "cc-by-sa"),
+    ("Licensed under CC BY-SA 4.0.", "cc-by-sa"),
+    ("Licensed under CC BY 4.0. The rest is licensed under the GNU General Public License, version 3.",
+     "cc-by,gpl-3")])
+def test_licences_are_told_from_their_kin(text, labels):
+    scanner = licenses.Scanner(licenses.PHRASES, licenses.TEMPLATES, 4, 0.6, 6)
+    for around in ("{}", "one two {} three", "This work is\n{}\nthis work is"):
+        data = np.frombuffer(around.format(text).encode(), np.uint8)
+        _, runs = scanner.runs(data, np.array([0, len(data)]))
+        base, spans = scanner.scan([(first, ids) for _, first, ids in runs])
+        assert {scanner.labels[k] for k, *_ in spans} == set(filter(None, labels.split(","))), around
+
+
+def test_common_parts_match_brute_force():
+    rng = random.Random(12)
+    for _ in range(30):
+        texts = [" ".join(rng.choice("pqrs") for _ in range(rng.randint(2, 9))) for _ in range(6)]
+        scanner = licenses.Scanner((), [(str(i), t) for i, t in enumerate(texts)], 3, 0.5, 2)
+        ids = sorted({c for s in scanner.sequences for c in s})
+        run = [rng.choice(ids) for _ in range(25)]
+        want = set()
+        for k, s in enumerate(scanner.sequences):
+            for at in range(len(run)):
+                for t in range(len(s)):
+                    n = 0
+                    while at + n < len(run) and t + n < len(s) and run[at + n] == s[t + n]:
+                        n += 1
+                    if n >= min(3, len(s)) and not (at and t and run[at - 1] == s[t - 1]):
+                        want.add((k, at, t, n))
+        got = list(scanner.matches(run))
+        assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_licence_chains_match_brute_force():
+    """Every chain of small match lists, with and without decisive words."""
+    rng = random.Random(9)
+    scanner = licenses.Scanner((), (("a", "p q {r s} t u v w"), ("b", "p q r s t u v w")), 2, 0.5, 2)
+    for _ in range(400):
+        found = sorted({(rng.randrange(14), t := rng.randrange(7), rng.randint(1, 8 - t)) for _ in range(6)})
+        for k, decisive in enumerate(((2, 4), None)):
+            ends = defaultdict(lambda: (0, None))
+
+            def grow(at, t, n, cover, start, has):
+                has = has or decisive is None or (t <= 2 and 4 <= t + n)
+                share = min(1.0, cover / 8)
+                if has and share >= 0.5:
+                    ends[at, t, n] = max(ends[at, t, n], (cover, -start))
+                for a2, t2, n2 in found:
+                    if at + n <= a2 <= at + n + 2 and t + n <= t2:
+                        grow(a2, t2, n2, cover + n2, start, has)
+
+            for m in found:
+                grow(*m, m[2], m[0], False)
+            got = scanner.chain(k, found)
+            assert bool(got) == bool(ends)
+            assert max((c for *_, c in got), default=0) == max((c / 8 for c, _ in ends.values()), default=0)
+
+
 def test_matching_statistics_match_brute_force():
     rng = random.Random(6)
     sequences = [[rng.randrange(4) for _ in range(rng.randrange(2, 25))] for _ in range(8)]
