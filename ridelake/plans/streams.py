@@ -14,6 +14,7 @@ from ridelake.plans import tables as tb
 from ridelake.session import scratch_path
 from ridelake.streaming import convert
 from ridelake.streaming import ingest as st
+from ridelake.streaming import pages
 from ridelake.streaming import state as sst
 
 SPLIT_TS = "2024-01-16 00:00:00"
@@ -21,6 +22,7 @@ REDELIVERED_TYPE = "error"
 EARLY_TS, LATE_TS = "2024-01-11 00:00:00", "2024-01-21 00:00:00"
 CSV_SPLIT = "1998-01-01 00:00:00"
 STATE_DELAY = "2 days"
+PAGE_SIZE = 500
 
 
 def _deliver(df, folder: str) -> None:
@@ -111,7 +113,23 @@ def q_csv_stream_to_parquet(spark, sf):
     return spark.read.parquet(out).drop("source")
 
 
+def q_paged_json_stream(spark, sf):
+    """Customers served as pages of 500 records, the later half of the pages
+    after the first run; a run after each delivery, and one with nothing new."""
+    cust = (tb.table(spark, sf, "customer")
+            .withColumn("page", (F.col("c_custkey") / PAGE_SIZE).cast("long") + 1))
+    half = (cust.agg(F.max("page")).first()[0] or 0) // 2
+    src, out, ckpt = (scratch_path(spark, n) for n in ("pgsrc", "pgout", "pgckpt"))
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cust.schema.fields if f.name != "page")
+    for rows in (cust.where(F.col("page") <= half), cust.where(F.col("page") > half), None):
+        if rows is not None:
+            rows.hint("rebalance", "page").write.mode("append").partitionBy("page").json(src)
+        pages.read_new_pages(spark, src + "/page={page}", ddl, out, ckpt)
+    return spark.read.schema(ddl).parquet(out)
+
+
 QUERIES = {
+    "paged_json_stream": q_paged_json_stream,
     "csv_stream_to_parquet": q_csv_stream_to_parquet,
     "stream_report_state": q_stream_report_state,
     "stream_dedup_state": q_stream_dedup_state,
@@ -126,6 +144,7 @@ _REPORT = """
         FROM events GROUP BY 1, 2"""
 
 ORACLE = {
+    "paged_json_stream": "SELECT * FROM customer",
     "csv_stream_to_parquet": "SELECT * FROM orders",
     "stream_report_state": _REPORT,
     "stream_dedup_state": "SELECT * FROM events",

@@ -14,7 +14,15 @@ Options:
   start_page  first page (default 1)
   end_page    last page to fetch at most (optional)
   partitions  number of stripes (by default the cores of the cluster)
+  known       of a stream: no page before this one is asked for when the last
+              page is looked up (default: start_page)
 The schema must be given with ``.schema(...)``.
+
+As a stream, the source's offset is the number of the next page to fetch.  The
+end of a batch is found by doubling steps and halving, so a list that grew by n
+pages is asked for about 2 log n of them on the driver; the pages themselves
+are fetched in executors.  A page is taken once, when it is first seen: pages
+must not change after that, as in any list that is only appended to.
 """
 
 from __future__ import annotations
@@ -23,7 +31,8 @@ import datetime as dt
 import json
 
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import (DataSource, DataSourceReader, DataSourceStreamReader,
+                                    InputPartition)
 
 from ridelake.session import scratch_path
 
@@ -91,22 +100,69 @@ class PagedJsonReader(DataSourceReader):
         return [_Stripe(i, self.n) for i in range(self.n)]
 
     def read(self, partition):
-        import pyarrow as pa
-        from pyspark.sql.pandas.types import to_arrow_schema
-
-        schema = to_arrow_schema(self.spark_schema)
         page = self.start + partition.index
         while self.end is None or page <= self.end:
             records = _fetch(self.url, page)
             # an empty page is one row without values, under its negative number
-            columns = {name: [conv(r.get(name)) for r in records or [{}]] for name, conv in self.fields}
-            columns[PAGE] = [page] * len(records) or [-page]
-            yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema],
-                                             schema=schema)
+            yield self.batch(records or [{}], page if records else -page)
             if not records:
                 break
             page += partition.count
 
+    def batch(self, records: list[dict], page: int):
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        schema = to_arrow_schema(self.spark_schema)
+        columns = {name: [conv(r.get(name)) for r in records] for name, conv in self.fields}
+        columns[PAGE] = [page] * len(records)
+        return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema],
+                                          schema=schema)
+
+
+class _Pages(InputPartition):
+    def __init__(self, first: int, end: int, step: int):
+        self.first = first
+        self.end = end
+        self.step = step
+
+
+class PagedJsonStreamReader(DataSourceStreamReader):
+    def __init__(self, options, schema):
+        self.pages = PagedJsonReader(options, schema)
+        self.known = max(self.pages.start, int(options.get("known", self.pages.start)))
+
+    def initialOffset(self):
+        return {"page": self.pages.start}
+
+    def latestOffset(self):
+        """The first page that is missing or beyond ``end_page``."""
+        if not self._there(self.known):
+            return {"page": self.known}
+        step = 1
+        while self._there(self.known + step):
+            step *= 2
+        there, missing = self.known + step // 2, self.known + step
+        while missing - there > 1:
+            middle = (there + missing) // 2
+            there, missing = (middle, missing) if self._there(middle) else (there, middle)
+        self.known = missing
+        return {"page": missing}
+
+    def _there(self, page: int) -> bool:
+        return (self.pages.end is None or page <= self.pages.end) and bool(_fetch(self.pages.url, page))
+
+    def partitions(self, start, end):
+        n = min(self.pages.n, end["page"] - start["page"])
+        return [_Pages(start["page"] + i, end["page"], n) for i in range(n)]
+
+    def read(self, partition):
+        for page in range(partition.first, partition.end, partition.step):
+            records = _fetch(self.pages.url, page)
+            if not records:
+                raise ValueError(f"page {page} is empty, but a later one is not")
+            yield self.pages.batch(records, page)
+
 
 class PagedJsonDataSource(DataSource):
     @classmethod
@@ -119,6 +175,9 @@ class PagedJsonDataSource(DataSource):
     def reader(self, schema):
         return PagedJsonReader(self.options, schema)
 
+    def streamReader(self, schema):
+        return PagedJsonStreamReader(self.options, schema)
+
 
 def register(spark) -> None:
     spark.dataSource.register(PagedJsonDataSource)
