@@ -20,11 +20,12 @@ outcome AS (
          sum(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) bad
   FROM labels WHERE quality IS NOT NULL OR toxic IS NOT NULL GROUP BY doc_id),
 named AS (
-  SELECT host, list_extract(string_split(host, '.'), -1) suffix,
-         CASE WHEN len(string_split(host, '.')) < 2 THEN host
-              ELSE array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') END AS domain,
+  SELECT host, array_to_string(list_slice(string_split(host, '.'), -least(k, len(string_split(host, '.'))), -1), '.') suffix,
+         array_to_string(list_slice(string_split(host, '.'), -least(k + 1, len(string_split(host, '.'))), -1), '.') AS domain,
          sum(coalesce(n, 0))::DOUBLE n, sum(coalesce(bad, 0))::DOUBLE bad
-  FROM parsed LEFT JOIN outcome USING (page_id) GROUP BY host),
+  FROM (SELECT *, CASE WHEN regexp_matches(host,
+          '(^|\\.)(ac|co|com|edu|gob|gov|ltd|mil|net|nom|or|org|plc|sch)\\.[a-z][a-z]$') THEN 2 ELSE 1 END AS k FROM parsed)
+       LEFT JOIN outcome USING (page_id) GROUP BY host, k),
 total AS (SELECT coalesce(sum(bad) / nullif(sum(n), 0), 0.0) mu FROM named),
 s0 AS (SELECT suffix, sum(n) n, sum(bad) bad, any_value(mu) up FROM named, total GROUP BY suffix),
 s AS (SELECT suffix, (bad + m * up) / (n + m) mean FROM s0, ({_STRENGTH.format(groups='s0')})),

@@ -26,6 +26,10 @@ RULES = (
     ("block", "net", "/fr/"),
 )
 
+#: Second labels that are public below a country code (``co.uk``, ``com.au``),
+#: fixed values: names are registered one label further left there.
+SECOND_LEVEL = ("ac", "co", "com", "edu", "gob", "gov", "ltd", "mil", "net", "nom", "or", "org", "plc", "sch")
+
 URL_PATTERN = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
 
@@ -55,7 +59,16 @@ def _strength(groups: str) -> str:
       FROM {groups} WHERE n > 1)"""
 
 
-def host_posteriors(parsed: DataFrame, outcomes: DataFrame, z: float) -> DataFrame:
+def host_levels(host: str, second_level) -> str:
+    """SQL for the registered domain and public suffix of ``host``."""
+    public = rf"(^|\.)({'|'.join(second_level)})\.[a-z][a-z]$" if second_level else "(?!)"
+    n = f"CASE WHEN {host} RLIKE r'{public}' THEN 2 ELSE 1 END"
+    return (f"substring_index({host}, '.', -1 - {n}) AS domain,"
+            f" substring_index({host}, '.', -({n})) AS suffix")
+
+
+def host_posteriors(parsed: DataFrame, outcomes: DataFrame, z: float,
+                    second_level=SECOND_LEVEL) -> DataFrame:
     """(host, n, mean, lower): labelled outcomes of each host, and the mean and
     lower bound of its posterior bad share."""
     spark = parsed.sparkSession
@@ -68,8 +81,7 @@ def host_posteriors(parsed: DataFrame, outcomes: DataFrame, z: float) -> DataFra
       ON p.page_id = l.page_id GROUP BY p.host""", parsed=parsed, outcomes=outcomes), "hosts")
     return spark.sql(f"""
     WITH named AS (
-      SELECT host, n, bad, substring_index(host, '.', -2) AS domain,
-             substring_index(host, '.', -1) AS suffix FROM {{hosts}}),
+      SELECT host, n, bad, {host_levels('host', second_level)} FROM {{hosts}}),
     total AS (
       SELECT coalesce(try_divide(sum(bad), sum(n)), CAST(0.0 AS DOUBLE)) AS mu FROM named),
     suffix_up AS (
@@ -96,7 +108,7 @@ def host_posteriors(parsed: DataFrame, outcomes: DataFrame, z: float) -> DataFra
 
 
 def judge_urls(pages: DataFrame, outcomes: DataFrame, rules=RULES, threshold: float = 0.5,
-               z: float = 1.645) -> DataFrame:
+               z: float = 1.645, second_level=SECOND_LEVEL) -> DataFrame:
     """One row a page: page_id, host, path, rule, verdict, and the posterior.
 
     ``outcomes`` (page_id, bad 0/1) may be empty, have null or repeated rows
@@ -104,7 +116,10 @@ def judge_urls(pages: DataFrame, outcomes: DataFrame, rules=RULES, threshold: fl
     an empty host and path and is judged as the host ''.  Pages of unlabelled
     hosts get the prior of their domain or suffix.  Repeated pages are judged
     once each; an empty table gives no rows; extra columns are not read.
-    ``rules`` is a short list held in the plan.
+    ``rules`` is a short list held in the plan.  The public suffix of a host is
+    its last label, or the last two where ``second_level`` holds the first of
+    them and the other is a country code; the registered domain has one label
+    more.
     """
     spark = pages.sparkSession
     parsed = spark.sql(f"""
@@ -118,7 +133,7 @@ def judge_urls(pages: DataFrame, outcomes: DataFrame, rules=RULES, threshold: fl
                     CASE WHEN b.lower > {threshold} THEN 'block' ELSE 'allow' END) AS verdict,
            b.n AS host_labels, round(b.mean, 6) AS bad_mean, round(b.lower, 6) AS bad_lower
     FROM {{parsed}} p JOIN {{bounds}} b USING (host)
-    """, parsed=parsed, bounds=host_posteriors(parsed, outcomes, z))
+    """, parsed=parsed, bounds=host_posteriors(parsed, outcomes, z, second_level))
 
 
 def page_outcomes(labels: DataFrame) -> DataFrame:

@@ -430,3 +430,25 @@ def test_slots_of_a_hot_id_have_no_gaps(spark):
     for r in sharding.shard_documents(df).collect():
         slots[r.shard].append(r.slot)
     assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and sum(map(len, slots.values())) == 5500
+
+
+def test_registered_domains(spark):
+    cases = {"a.co.uk": ("a.co.uk", "co.uk"), "x.b.co.uk": ("b.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"),
+             "www.shop.com.au": ("shop.com.au", "com.au"), "a.b.example.com": ("example.com", "com"),
+             "co.com": ("co.com", "com"), "x.taco.uk": ("taco.uk", "uk"), "": ("", ""), "localhost": ("localhost", "localhost"),
+             "10.0.0.1": ("0.1", "1"), "a.co.uk:80": ("co.uk:80", "uk:80")}
+    hosts = spark.createDataFrame([(h,) for h in cases], "host string")
+    for second_level, want in ((url_filter.SECOND_LEVEL, cases),
+                               ((), {"a.co.uk": ("co.uk", "uk"), "example.com": ("example.com", "com")})):
+        levels = url_filter.host_levels("host", second_level)
+        got = {r.host: (r.domain, r.suffix) for r in spark.sql(f"SELECT host, {levels} FROM {{h}}", h=hosts).collect()}
+        assert all(got.get(h, w) == w for h, w in want.items())
+
+
+def test_hosts_of_a_public_suffix_do_not_share_a_domain(spark):
+    pages = [(i, f"https://w{i % 5}.{name}.co.uk/p") for i in range(60) for name in [("bad", "good")[i // 30]]]
+    outcomes = spark.createDataFrame([(i, int(i < 30)) for i in range(60) if i % 5], "page_id long, bad int")
+    got = {r.page_id: r for r in url_filter.judge_urls(
+        spark.createDataFrame(pages, "page_id long, url string"), outcomes).collect()}
+    # w0 has no outcome: it takes after its domain
+    assert got[0].host_labels == got[30].host_labels == 0 and got[0].bad_mean > got[30].bad_mean + 0.5
