@@ -153,6 +153,7 @@ def buckets(data: np.ndarray, offsets: np.ndarray, net: WindowNet):
 
 PIECE = 1 << 14
 BATCH = 1 << 13
+LANE_TASKS = 256  # weights that one task averages at once: 16 MB of pieces
 
 
 def _train_task(model, rate: float):
@@ -168,7 +169,7 @@ def _train_task(model, rate: float):
         if n:
             flat = net.weights()
             pieces = [flat[i:i + PIECE] for i in range(0, len(flat), PIECE)]
-            lane = TaskContext.get().partitionId() % 64
+            lane = TaskContext.get().partitionId() // LANE_TASKS
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(len(pieces))), pa.array(np.full(len(pieces), lane)),
                  pa.array(np.full(len(pieces), n)),
