@@ -116,3 +116,42 @@ def test_every_word_is_a_target(spark):
                                        np.cumsum([0, *map(len, texts)]), net)
     # only a target pulls its own bias up within its class
     assert (net.member_bias[padded[at]] > 0).all()
+
+
+def test_steps_follow_the_numerical_gradient():
+    net = lm_scoring.WindowNet(bits=4, width=3, reach=2, seed=5)
+    ids = np.random.default_rng(8).integers(0, 16, 30)
+    padded = np.concatenate(([16, 16], ids, [16, 16]))
+    at = np.arange(2, 32)
+    w, target = net.windows(padded, at), padded[at]
+    before = net.weights()
+    # sums of squares of 1: a step of rate 1 is -g / sqrt(1 + g * g)
+    net.step(w, target, {n: np.ones(getattr(net, n).shape, np.float32) for n in net.NAMES}, 1.0)
+    move = (net.weights() - before).astype(np.float64)
+    analytic = -move / np.sqrt(1 - move * move)
+
+    def loss(flat):
+        return -net.set_weights(flat).log_prob(w, target).mean()
+
+    outside = range(16 * 3, 17 * 3)  # stays zero: what stands beyond a text
+    for i in range(len(before)):
+        up, down = before.copy(), before.copy()
+        up[i] += 0.01
+        down[i] -= 0.01
+        want = 0 if i in outside else (loss(up) - loss(down)) / 0.02
+        assert abs(analytic[i] - want) < 2e-3, i
+
+
+def test_held_out_prose_scores_above_shuffled_words_and_noise(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    net, rng, rows = lm_scoring.train(docs.where("doc_id % 10 <> 7")), random.Random(1), []
+    held = docs.where("doc_id % 10 = 7 AND length(text) > 200").collect()
+    for i, r in enumerate(held):
+        words = r.text.split()
+        noise = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(3, 9))) for _ in words]
+        for j, each in enumerate((words, rng.sample(words, len(words)), noise)):
+            rows.append((3 * i + j, " ".join(each)))
+    got = {r.doc_id: r.per_word for r in lm_scoring.score(frame(spark, rows), net).collect()}
+    scores = np.array([[got[3 * i + j] for j in range(3)] for i in range(len(held))])
+    above_shuffled, above_noise = (scores[:, :1] > scores[:, 1:]).mean(axis=0)
+    assert len(held) > 20 and above_shuffled > 0.6 and above_noise > 0.9, (above_shuffled, above_noise)
