@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from ridelake.operators import dedup, marts, staging
 from ridelake.plans import sqlbits as sb
 from ridelake.plans import tables as tb
+from ridelake.session import scratch_path
+from ridelake.sources import named
+
+#: The raw tables that the staging models are built on.
+RAW_TRIPS = named.RawSource("trips", "raw_trips", ("yellow_tripdata", "green_tripdata"))
 
 # Run window of the incremental models.  It spans every trip in the test
 # tables, so the registered queries process the whole input; narrower
@@ -55,6 +60,18 @@ def q_union_trips(spark, sf):
     return marts.union_trips(green, yellow)
 
 
+def q_named_raw_sources(spark, sf):
+    """The union of both staging models, over raw tables found by name."""
+    t = tb.trips(spark, sf)
+    raw = {"yellow_tripdata": tb.yellow_raw(t), "green_tripdata": tb.green_raw(t)}
+    places = {name: scratch_path(spark, name) for name in raw}
+    for name, rows in raw.items():
+        rows.write.parquet(places[name])
+    named.attach(spark, RAW_TRIPS, places)
+    return marts.union_trips(staging.stg_green(named.lookup(spark, RAW_TRIPS, "green_tripdata")),
+                             staging.stg_yellow(named.lookup(spark, RAW_TRIPS, "yellow_tripdata")))
+
+
 def q_dedup_first(spark, sf):
     green, yellow = _stg_pair(spark, sf)
     return marts.dedup_trips(marts.union_trips(green, yellow))
@@ -133,6 +150,7 @@ QUERIES = {
     "stg_fhv": q_stg_fhv,
     "dim_zones": q_dim_zones,
     "union_trips": q_union_trips,
+    "named_raw_sources": q_named_raw_sources,
     "dedup_first": q_dedup_first,
     "fct_trips": q_fct_trips,
     "monthly_zone_revenue": q_monthly_zone_revenue,
@@ -168,6 +186,7 @@ ORACLE = {
     "stg_fhv": tb.with_ctes(sb.SQL_STG_FHV, "H"),
     "dim_zones": tb.with_ctes("SELECT * FROM Z", "Z"),
     "union_trips": sb.with_fct("SELECT * FROM U"),
+    "named_raw_sources": sb.with_fct("SELECT * FROM U"),
     "dedup_first": sb.with_fct("SELECT * FROM D"),
     "fct_trips": sb.with_fct("SELECT * FROM FCT"),
     "monthly_zone_revenue": sb.with_fct(sb.SQL_MART),
