@@ -1,5 +1,6 @@
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -250,6 +251,28 @@ def test_licence_chains_match_brute_force():
             assert max((c for *_, c in got), default=0) == max((c / 8 for c, _ in ends.values()), default=0)
 
 
+def test_overlapping_spans_match_brute_force():
+    rng = random.Random(3)
+    scanner = licenses.Scanner(licenses.PHRASES, licenses.TEMPLATES, 4, 0.6, 6)
+    for _ in range(300):
+        spans = [(rng.randrange(len(scanner.labels)), s := rng.randrange(40), s + rng.randint(1, 12),
+                  rng.choice((0.6, 0.8, 1.0))) for _ in range(rng.randrange(15))]
+        want = []
+        for k, s, e, c in sorted(spans, key=lambda x: (-x[3] * len(scanner.sequences[x[0]]), -x[3], x[0], x[1])):
+            if all(e <= s2 or e2 <= s or scanner.labels[k] == scanner.labels[k2] for k2, s2, e2, _ in want):
+                want.append((k, s, e, c))
+        assert scanner.best_spans(spans) == want
+
+
+def test_a_long_text_of_notices_is_scanned_in_time(spark):
+    """The spans of one text are settled in about linear time: pairwise, these
+    take over half an hour."""
+    n, begun = 200_000, time.monotonic()
+    r = licenses.scan_licenses(frame(spark, [(1, "the MIT license " * n)])).first()
+    assert (r.n_words, r.n_base, r.first_word, r.last_word, r.labels) == (3 * n, n, 0, 3 * n - 3, "mit")
+    assert time.monotonic() - begun < 240
+
+
 def test_matching_statistics_match_brute_force():
     rng = random.Random(6)
     sequences = [[rng.randrange(4) for _ in range(rng.randrange(2, 25))] for _ in range(8)]
