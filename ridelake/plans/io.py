@@ -70,7 +70,7 @@ def q_scan_union_by_name(spark, sf):
 def q_external_table(spark, sf):
     li = tb.table(spark, sf, "lineitem")
     path = scratch_path(spark, "ext")
-    li.repartition(4).write.parquet(path)
+    li.write.parquet(path)
     return files.external_table(spark, "ext_lineitem", path)
 
 
