@@ -37,8 +37,14 @@ def _writer(df: DataFrame, mode: str, partition_by: list[str] | None, dynamic: b
     return w
 
 
-def append(df: DataFrame, target: str, partition_by: list[str] | None = None) -> None:
-    _writer(df, "append", partition_by).parquet(target)
+def append(df: DataFrame, target: str, partition_by: list[str] | None = None,
+           clustered: bool = False) -> None:
+    """Add rows.  ``clustered``: each task of ``df`` holds few partition values
+    already (files read from folders of one value), so no row is exchanged."""
+    if clustered and partition_by:
+        df.write.mode("append").partitionBy(*partition_by).parquet(target)
+    else:
+        _writer(df, "append", partition_by).parquet(target)
 
 
 def _replace_folder(spark: SparkSession, new: str, path: str, backup: str) -> None:

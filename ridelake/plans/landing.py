@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -17,6 +16,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from ridelake.operators.staging import empty_canonical, standardize
 from ridelake.plans import tables as tb
 from ridelake.session import scratch_path
+from ridelake.sources import fs
 from ridelake.sources.files import existing, month_paths
 from ridelake.sources.footers import schema_groups
 
@@ -33,8 +33,11 @@ def build(spark: SparkSession, sf: str) -> str:
     """Write the monthly files of both types.  The yellow source changes its
     columns and types over the years, and within months, as files do."""
     root = scratch_path(spark, "landing")
-    # all writes read the trip join: keep it for their duration, then release
-    t = tb.trips(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
+    # all writes read the trip join: store it once, so none of them runs it again
+    joined = scratch_path(spark, "landing-trips")
+    t = tb.trips(spark, sf)
+    t.write.parquet(joined)
+    t = spark.read.schema(t.schema).parquet(joined)
 
     def write(raw: DataFrame, typ: str) -> None:
         (raw.withColumn("month", F.date_format(PICKUP[typ], "yyyy-MM"))
@@ -44,14 +47,12 @@ def build(spark: SparkSession, sf: str) -> str:
     yellow, at = tb.yellow_raw(t), F.col(PICKUP["yellow"])
     kind = (F.when((F.year(at) == NO_FEE_YEAR) & (F.day(at) < NO_FEE_BEFORE_DAY), "no fee")
             .when(F.year(at) == WHOLE_COUNT_YEAR, "whole counts").otherwise("plain"))
-    try:
-        write(yellow.where(kind == "plain"), "yellow")
-        write(yellow.where(kind == "no fee").drop("Airport_fee"), "yellow")
-        write(yellow.where(kind == "whole counts")
-              .withColumn("passenger_count", F.col("passenger_count").cast("long")), "yellow")
-        write(tb.green_raw(t), "green")
-    finally:
-        t.unpersist()
+    write(yellow.where(kind == "plain"), "yellow")
+    write(yellow.where(kind == "no fee").drop("Airport_fee"), "yellow")
+    write(yellow.where(kind == "whole counts")
+          .withColumn("passenger_count", F.col("passenger_count").cast("long")), "yellow")
+    write(tb.green_raw(t), "green")
+    fs.delete(spark, joined)
     return root
 
 

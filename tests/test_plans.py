@@ -1,6 +1,11 @@
 """Physical-plan assertions: the plans we want, not only the rows."""
 
-from ridelake.plans import adhoc, io, models
+from pyspark.sql import DataFrameWriter
+from pyspark.sql import functions as F
+
+from ridelake.operators import load
+from ridelake.plans import adhoc, io, landing, models
+from ridelake.session import scratch_path
 
 
 def _plan(df):
@@ -101,3 +106,72 @@ def test_bucketed_tables_join_without_a_shuffle(spark, sf_dir):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+def _written(spark, action):
+    """Physical plans that ``action`` planned for writes."""
+    seen = []
+    real = DataFrameWriter.parquet
+
+    def parquet(self, path, *args, **kwargs):
+        seen.append(self._df._jdf.queryExecution().executedPlan().toString())
+        return real(self, path, *args, **kwargs)
+
+    DataFrameWriter.parquet = parquet
+    try:
+        action()
+    finally:
+        DataFrameWriter.parquet = real
+    return seen
+
+
+def test_shuffles_start_finely_and_merge_up_to_a_bounded_size(spark, sf_dir):
+    """The tasks of a large shuffle stay small whatever the session's number
+    of shuffle partitions (here 8); those of a small one are merged."""
+    assert int(spark.conf.get("spark.sql.shuffle.partitions")) == 8
+    rows = spark.range(4_000_000).select((F.col("id") % 1_000_003).alias("k"), F.xxhash64("id").alias("v"))
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        large = rows.repartition("k").rdd.getNumPartitions()
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    assert large > 16
+    assert spark.range(10).repartition("id").rdd.getNumPartitions() == 1
+    assert before == "32m"
+
+
+def test_an_external_table_is_written_without_a_shuffle(spark, sf_dir):
+    path = _written(spark, lambda: io.q_external_table(spark, sf_dir))
+    assert path and not any("Exchange" in p for p in path)
+
+
+def test_a_few_large_files_are_written_without_shuffled_rows(spark, sf_dir):
+    """Stored files that split finely are joined to n files as they are."""
+    rows = spark.range(0, 1000, numPartitions=8).withColumn("v", F.col("id") * 2)
+    target = scratch_path(spark, "few")
+    plans = _written(spark, lambda: load.repartition_write(rows, target, 4))
+    assert len(plans) == 2 and not any("Exchange" in p for p in plans)
+    got = load.file_stats(spark, target).first()
+    assert (got.num_files, got.total_rows) == (4, 1000)
+    assert sorted(map(tuple, spark.read.parquet(target).collect())) == [(i, 2 * i) for i in range(1000)]
+
+
+def test_rows_in_one_file_are_still_dealt_to_all_files(spark):
+    target = scratch_path(spark, "dealt")
+    got = load.repartition_write(spark.range(0, 1000, numPartitions=1), target, 4).first()
+    assert (got.num_files, got.total_rows) == (4, 1000)
+
+
+def test_monthly_files_join_the_trips_once(spark, sf_dir):
+    plans = _written(spark, lambda: landing.build(spark, sf_dir))
+    assert len(plans) == 5 and sum("Join" in p for p in plans) == 1
+
+
+def test_files_of_one_type_are_appended_without_a_shuffle(spark, sf_dir):
+    root = landing.build(spark, sf_dir)
+    target = scratch_path(spark, "one-type")
+    batch = landing.ingest(spark, root, io.PLAN_START, io.PLAN_END, ["yellow", "green"], "2002-01-01 00:00:00")
+    plans = _written(spark, lambda: load.append(batch, target, ["taxi_type"], clustered=True))
+    assert len(plans) == 1 and "Exchange" not in plans[0]
+    assert spark.read.parquet(target).count() == batch.count()
