@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from ridelake.operators import checks as ck
 from ridelake.operators import load
+from ridelake.operators.joins import broadcast_limit, estimated_bytes
+from ridelake.session import scratch_path
 from ridelake.sources import fs
 
 
@@ -52,23 +54,36 @@ def check_label(check: ck.Check) -> str:
     return f"{check.name}({','.join(check.columns)})"
 
 
+def _stored(df: DataFrame, name: str) -> tuple[DataFrame, bool]:
+    """``df`` written to the scratch area and read back, and whether it may be
+    broadcast: its rows are counted, not estimated, and taken at their size in
+    memory, since files of few different values are far smaller."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    in_memory = stored.count() * (8 + stored._jdf.schema().defaultSize())
+    return stored, max(in_memory, estimated_bytes(stored)) <= broadcast_limit(df.sparkSession)
+
+
 def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """The keys that more than one row has (NULL equals NULL).
 
     Rows are counted by a 64-bit hash of the key first, before any shuffle as
-    far as a task sees them; the keys themselves are exchanged only for hashes
-    that more than one row has."""
+    far as a task sees them.  The hashes that more than one row has are stored;
+    if they are few, they go to the rows, and only the keys they leave are
+    exchanged, else all keys are (counted before the shuffle, too)."""
     hashed = df.select(*keys, F.xxhash64(*keys).alias("_hash"))
-    suspects = hashed.groupBy("_hash").count().where("count > 1").select("_hash")
-    return (hashed.join(suspects, "_hash", "left_semi").groupBy(*keys).count()
-            .where("count > 1").select(*keys))
+    suspects, few = _stored(hashed.groupBy("_hash").count().where("count > 1").select("_hash"), "suspects")
+    rows = hashed.join(F.broadcast(suspects), "_hash", "left_semi") if few else hashed
+    return rows.groupBy(*keys).count().where("count > 1").select(*keys)
 
 
 def mark_failures(df: DataFrame, checks: list[ck.Check], column: str = "failed_checks") -> DataFrame:
     """``df`` with the labels of the checks that each row breaks, in the order
     of ``checks`` (none: an empty array).  Every row of a repeated key breaks
-    ``unique``.  ``df`` is read once more a unique check, so it should be a
-    stored table."""
+    ``unique``: its repeated keys are stored first, and only if they are too
+    many to broadcast are the rows shuffled to them.  ``df`` is read twice more
+    a unique check, so it should be a stored table."""
     if column in df.columns:
         raise ValueError(f"the table has a column {column}")
     labels, out = [], df
@@ -77,7 +92,8 @@ def mark_failures(df: DataFrame, checks: list[ck.Check], column: str = "failed_c
             broken = F.expr(ck._failing_sql(check))
         elif check.name == "unique":
             names = [f"_key{i}_{j}" for j in range(len(check.columns))]
-            again = repeated_keys(df, list(check.columns)).toDF(*names).withColumn(f"_again{i}", F.lit(True))
+            again, few = _stored(repeated_keys(df, list(check.columns)).toDF(*names), "repeated")
+            again = again.withColumn(f"_again{i}", F.lit(True)).hint("broadcast" if few else "merge")
             match = reduce(lambda x, y: x & y, [
                 F.col(ck.ident(c)).eqNullSafe(F.col(k)) for c, k in zip(check.columns, names)])
             out = out.join(again, match, "left")
@@ -98,7 +114,14 @@ def quarantine(df: DataFrame, checks: list[ck.Check], target: str,
     if "accepted" in df.columns:
         raise ValueError("the table has a column accepted")
     marked = mark_failures(df, checks, column)
-    marked.withColumn("accepted", F.size(column) == 0).write.partitionBy("accepted").parquet(target)
+    # both folders' files are open at once, so a task need not sort its rows
+    writers = "spark.sql.maxConcurrentOutputFileWriters"
+    old = spark.conf.get(writers)
+    spark.conf.set(writers, "2")
+    try:
+        marked.withColumn("accepted", F.size(column) == 0).write.partitionBy("accepted").parquet(target)
+    finally:
+        spark.conf.set(writers, old)
     whole = spark.read.schema(f"{_ddl(marked)}, accepted boolean").parquet(target)
     return (whole.where("accepted").drop("accepted", column), whole.where("NOT accepted").drop("accepted"))
 

@@ -104,6 +104,44 @@ def test_repeated_keys_under_a_hot_key(spark):
     assert "partial_count" in plan and "_hash" in plan
 
 
+@pytest.mark.parametrize("limit", [None, "0"])
+def test_rows_stay_in_place_for_few_repeated_keys(spark, limit):
+    """Files and estimates are above the planner's bound, but the repeated keys
+    are few: no row is shuffled to them.  Under a bound of 0 all rows are."""
+    names = ("spark.sql.autoBroadcastJoinThreshold", "ridelake.broadcast.maxBytes")
+    old = {n: spark.conf.get(n, None) for n in names}
+    path = scratch_path(spark, "few")
+    rows = [(i, f"p{i}", float(i)) for i in range(2000)] + [(7, "p7", -1.0), (None, "x", 1.0), (None, "x", 2.0),
+            (8, None, 1.0), (8, "", 1.0), (None, None, 0.0), (None, None, 0.0)]
+    _frame(spark, rows).write.parquet(path)
+    checks = [ck.non_negative("v"), ck.unique("k", "part")]
+    try:
+        spark.conf.set(names[0], "100")
+        if limit is not None:
+            spark.conf.set(names[1], limit)
+        df = spark.read.schema(SCHEMA).parquet(path)
+        marked = guarded.mark_failures(df, checks)
+        plan = marked._jdf.queryExecution().executedPlan().toString()
+        assert ("hashpartitioning" in plan) == (limit is not None)
+        ok, bad = guarded.quarantine(df, checks, scratch_path(spark, "few-split"))
+        again = [r for r in rows if r[:2] in {(7, "p7"), (None, "x"), (None, None)}]
+        assert _rows(bad.drop("failed_checks")) == sorted(again, key=str)
+        assert _rows(bad.where("size(failed_checks) = 2").select("v")) == [(-1.0,)]
+        assert _rows(ok) == sorted([r for r in rows if r not in again], key=str)
+        assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"  # as before the split
+    finally:
+        for n, v in old.items():
+            spark.conf.unset(n) if v is None else spark.conf.set(n, v)
+
+
+def test_equal_hashes_of_different_keys_are_no_repeat(spark):
+    """A NULL does not change the hash, so these keys share one."""
+    df = spark.createDataFrame([(1, "a", None), (2, None, "a"), (3, "b", None), (4, "b", None)], "n int, x string, y string")
+    assert df.select(F.xxhash64("x", "y")).distinct().count() == 2
+    ok, bad = guarded.quarantine(df, [ck.unique("x", "y")], scratch_path(spark, "collide"))
+    assert (sorted(r.n for r in ok.collect()), sorted(r.n for r in bad.collect())) == ([1, 2], [3, 4])
+
+
 # ------------------------------------------------------------------- CSV stream
 
 def _write(folder, name, rows):
