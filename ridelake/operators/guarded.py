@@ -83,7 +83,8 @@ def mark_failures(df: DataFrame, checks: list[ck.Check], column: str = "failed_c
     of ``checks`` (none: an empty array).  Every row of a repeated key breaks
     ``unique``: its repeated keys are stored first, and only if they are too
     many to broadcast are the rows shuffled to them.  ``df`` is read twice more
-    a unique check, so it should be a stored table."""
+    a unique check, so it should be a stored table or derived from one row by
+    row."""
     if column in df.columns:
         raise ValueError(f"the table has a column {column}")
     labels, out = [], df
@@ -106,10 +107,12 @@ def mark_failures(df: DataFrame, checks: list[ck.Check], column: str = "failed_c
 
 
 def quarantine(df: DataFrame, checks: list[ck.Check], target: str,
-               column: str = "failed_checks") -> tuple[DataFrame, DataFrame]:
+               column: str = "failed_checks",
+               compression: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Split ``df`` by its checks into two tables, written in one pass below
     ``target``: accepted rows as they are, rejected rows with the labels of
-    what they break in ``column``.  Each row goes to exactly one of them."""
+    what they break in ``column``.  Each row goes to exactly one of them.
+    ``compression`` names the files' codec (default: the session's)."""
     spark = df.sparkSession
     if "accepted" in df.columns:
         raise ValueError("the table has a column accepted")
@@ -119,7 +122,8 @@ def quarantine(df: DataFrame, checks: list[ck.Check], target: str,
     old = spark.conf.get(writers)
     spark.conf.set(writers, "2")
     try:
-        marked.withColumn("accepted", F.size(column) == 0).write.partitionBy("accepted").parquet(target)
+        marked.withColumn("accepted", F.size(column) == 0).write.parquet(
+            target, partitionBy="accepted", compression=compression)
     finally:
         spark.conf.set(writers, old)
     whole = spark.read.schema(f"{_ddl(marked)}, accepted boolean").parquet(target)

@@ -43,38 +43,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_input(spark, f"{sf_dir}/{name}.parquet")
 
 
-# Select list of the trip view over lineitem l, orders o, supplier s, customer c.
+# Select list of the trip view over the columns of trip_parts.
 _TRIP_COLUMNS = """
-    CASE WHEN l.l_linestatus = 'O' THEN 'green' ELSE 'yellow' END AS taxi_type,
-    NULLIF(l.l_linenumber, 7) AS vendor_id,
-    l.l_linenumber AS rate_code_id,
-    CASE WHEN l.l_linenumber = 6 THEN 264 ELSE s.s_nationkey END AS pickup_location_id,
-    o.c_nationkey AS dropoff_location_id,
-    o.o_orderdate AS pickup_datetime,
-    l.l_shipdate AS dropoff_datetime,
-    l.l_linestatus AS store_and_fwd_flag,
-    l.l_quantity AS passenger_count,
-    l.l_quantity AS trip_distance,
-    CASE l.l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 WHEN 'R' THEN 3 END AS payment_type,
-    l.l_extendedprice AS fare_amount,
-    l.l_tax AS extra, l.l_tax AS mta_tax,
-    l.l_discount AS tip_amount, l.l_discount AS tolls_amount,
-    l.l_tax AS improvement_surcharge,
-    l.l_extendedprice AS total_amount,
-    l.l_tax AS congestion_surcharge,
-    l.l_discount AS airport_fee,
-    o.o_orderpriority AS order_priority"""
-
-
-def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items with their order, supplier and customer.
+    CASE WHEN l_linestatus = 'O' THEN 'green' ELSE 'yellow' END AS taxi_type,
+    NULLIF(l_linenumber, 7) AS vendor_id,
+    l_linenumber AS rate_code_id,
+    CASE WHEN l_linenumber = 6 THEN 264 ELSE s_nationkey END AS pickup_location_id,
+    c_nationkey AS dropoff_location_id,
+    o_orderdate AS pickup_datetime,
+    l_shipdate AS dropoff_datetime,
+    l_linestatus AS store_and_fwd_flag,
+    l_quantity AS passenger_count,
+    l_quantity AS trip_distance,
+    CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 WHEN 'R' THEN 3 END AS payment_type,
+    l_extendedprice AS fare_amount,
+    l_tax AS extra, l_tax AS mta_tax,
+    l_discount AS tip_amount, l_discount AS tolls_amount,
+    l_tax AS improvement_surcharge,
+    l_extendedprice AS total_amount,
+    l_tax AS congestion_surcharge,
+    l_discount AS airport_fee,
+    o_orderpriority AS order_priority"""
+
+
+def trip_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What trips are made of: line items with their order, supplier and
+    customer, each column once (``trips`` repeats half of them).
 
     Customers are joined to orders first (orders are a quarter of the line
     items), so when customer is too large to broadcast only orders are
     shuffled by customer key; the line items are then shuffled once, by
-    order key.  Supplier, customer and the orders-with-customer subquery
-    are broadcast only while their size estimate stays under the session's
-    bound; past it the planner shuffles instead.
+    order key, with the supplier's nation in place of its key.  Supplier,
+    customer and the orders-with-customer subquery are broadcast only while
+    their size estimate stays under the session's bound; past it the planner
+    shuffles instead.
     """
     li = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders")
@@ -84,13 +86,25 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     # as many rows as orders: the orders estimate bounds its size (Catalyst's
     # own estimate of a join without statistics is the product of its inputs)
     return sql(li, f"""
-        SELECT {broadcast_hint({"s": supplier, "o": orders})} {_TRIP_COLUMNS}
+        SELECT {broadcast_hint({"s": supplier, "o": orders})}
+               l.l_linenumber, l.l_linestatus, l.l_returnflag, l.l_shipdate, l.l_quantity,
+               l.l_extendedprice, l.l_discount, l.l_tax, s.s_nationkey,
+               o.c_nationkey, o.o_orderdate, o.o_orderpriority
         FROM {{li}} l
+        JOIN {{s}} s ON l.l_suppkey = s.s_suppkey
         JOIN (SELECT {broadcast_hint({"c": customer})}
                      o.o_orderkey, o.o_orderdate, o.o_orderpriority, c.c_nationkey
               FROM {{o}} o JOIN {{c}} c ON o.o_custkey = c.c_custkey) o
-          ON l.l_orderkey = o.o_orderkey
-        JOIN {{s}} s ON l.l_suppkey = s.s_suppkey""", li=li, o=orders, s=supplier, c=customer)
+          ON l.l_orderkey = o.o_orderkey""", li=li, o=orders, s=supplier, c=customer)
+
+
+def as_trips(parts: DataFrame) -> DataFrame:
+    return sql(parts, f"SELECT {_TRIP_COLUMNS} FROM {{parts}}", parts=parts)
+
+
+def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with their order, supplier and customer, as trips."""
+    return as_trips(trip_parts(spark, sf_dir))
 
 
 def yellow_raw(t: DataFrame) -> DataFrame:

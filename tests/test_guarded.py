@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ridelake.operators import checks as ck
 from ridelake.operators import guarded
+from ridelake.plans import quality
 from ridelake.session import scratch_path
 from ridelake.sources import fs
 from ridelake.streaming import convert
@@ -142,6 +143,53 @@ def test_equal_hashes_of_different_keys_are_no_repeat(spark):
     assert (sorted(r.n for r in ok.collect()), sorted(r.n for r in bad.collect())) == ([1, 2], [3, 4])
 
 
+def _small_trips(spark, folder):
+    """Three line items of two orders; the urgent one comes twice."""
+    tables = {
+        "lineitem": ([(1, 1, 1, "O", "A", 10.0, 5.0, 0.1, 0.2, 3), (1, 1, 2, "O", "N", 20.0, 6.0, 0.1, 0.2, 4),
+                      (2, 1, 7, "F", "A", 30.0, 7.0, 0.1, 0.2, 5)],
+                     "l_orderkey long, l_suppkey long, l_linenumber int, l_linestatus string, l_returnflag string, "
+                     "l_extendedprice double, l_quantity double, l_discount double, l_tax double, d int"),
+        "orders": ([(1, 1, "1-URGENT", 1), (2, 1, "5-LOW", 2)], "o_orderkey long, o_custkey long, o_orderpriority string, d int"),
+        "supplier": ([(1, 8)], "s_suppkey long, s_nationkey int"),
+        "customer": ([(1, 9)], "c_custkey long, c_nationkey int"),
+    }
+    for name, (rows, schema) in tables.items():
+        df = spark.createDataFrame(rows, schema)
+        if "d" in df.columns:
+            day = "l_shipdate" if name == "lineitem" else "o_orderdate"
+            df = df.withColumn(day, F.expr("date_add(DATE '2000-01-01', d)").cast("timestamp_ntz")).drop("d")
+        df.write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_quarantined_trips_are_stored_before_they_widen(spark, tmp_path, monkeypatch):
+    """What is stored between the join and the split has a row a line item
+    and each value once, not the raw trips with second extractions."""
+    paths = {}
+    monkeypatch.setattr(quality, "scratch_path", lambda s, n: paths.setdefault(n, scratch_path(s, n)))
+    data = _small_trips(spark, tmp_path)
+    ok = quality.q_quarantine_accepted(spark, data)
+    stored = [spark.read.parquet(p) for n, p in paths.items() if n != "quarantine"]
+    assert [(t.count(), len(t.columns)) for t in stored] == [(3, 12)]
+    paths.clear()
+    bad = quality.q_quarantine_rejected(spark, data)
+    assert ok.count() == 0 and len(ok.columns) == 21
+    repeat = "unique(" + ",".join(quality.REPEAT_KEY) + ")"
+    assert sorted((r.ratecode_id, r.tip_amount, r.failed_checks) for r in bad.collect()) == [
+        (1, -1.0, f"non_negative(tip_amount);{repeat}"), (1, 0.1, repeat), (2, 0.1, repeat), (2, 1.1, repeat),
+        (7, 0.1, "not_null(vendor_id)")]
+    files = [f for f in fs.list_names(spark, f"{paths['quarantine']}/accepted=false") if f.endswith(".parquet")]
+    assert files and all(".zstd." in f for f in files)
+
+
+def test_the_codec_of_a_split_is_the_callers(spark):
+    target = scratch_path(spark, "codec")
+    guarded.quarantine(_frame(spark, [(1, "a", -1.0)]), [ck.non_negative("v")], target)
+    files = [f for f in fs.list_names(spark, f"{target}/accepted=false") if f.endswith(".parquet")]
+    assert files and all(f".{spark.conf.get('spark.sql.parquet.compression.codec')}." in f for f in files)
+
+
 # ------------------------------------------------------------------- CSV stream
 
 def _write(folder, name, rows):
